@@ -14,7 +14,7 @@ def make_session():
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("varve-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("TEST_SHUFFLE", "8"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")

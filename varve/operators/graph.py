@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varve.operators.blocks import Running, in_blocks, running
-from varve.session import shuffle_partitions
+from varve.session import shuffle_partitions, written
 
 HUB_EDGES = 1_000_000
 NEIGHBORS_PER_ROW = 10_000
@@ -25,7 +25,8 @@ def adjacency_list(edges: DataFrame, per_row: int = NEIGHBORS_PER_ROW) -> DataFr
     A node of more than ``per_row`` distinct targets gets several parts, numbered
     from 0, so no single row has to hold a hub.
     """
-    folded = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
+    # written, because cutting blocks reads it several times
+    folded = written(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies")), "folded")
     ranked = running(
         in_blocks(folded, ["src", "dst"]), ["src"], [Running("_nth", "sum", F.lit(1), before=True)]
     )
@@ -45,17 +46,20 @@ def hubs(edges: DataFrame, parts: int, at_least: int = HUB_EDGES) -> DataFrame:
     return degree.where((F.col("out_degree") > fair_share) & (F.col("out_degree") >= at_least))
 
 
-def edge_shares(edges: DataFrame, parts: int) -> DataFrame:
+def edge_shares(edges: DataFrame, parts: int, fold: bool = True) -> DataFrame:
     """(src, dst, share) hashed on ``src``: the part of a source's rank that dst gets.
 
-    Parallel edges become one row. One exchange serves the fold and the degree,
-    so every source must fit a partition; :func:`hub_shares` takes the others.
+    One exchange serves the degree and, with ``fold``, the merging of parallel
+    edges into one row. Every source must fit a partition; :func:`hub_shares`
+    takes the others.
     """
-    folded = (
-        edges.repartition(parts, "src").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
-    )
+    placed = edges.repartition(parts, "src")
+    if fold:
+        placed = placed.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
+    else:
+        placed = placed.withColumn("copies", F.lit(1))
     degree = F.sum("copies").over(Window.partitionBy("src"))
-    return folded.select("src", "dst", (F.col("copies") / degree).alias("share"))
+    return placed.select("src", "dst", (F.col("copies") / degree).alias("share"))
 
 
 def hub_shares(edges: DataFrame, hub_rows: DataFrame) -> DataFrame:

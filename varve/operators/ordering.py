@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.operators.blocks import Running, global_position, in_blocks, running
+from varve.session import written
 
 COPIES_PER_ROW = 100_000
 
@@ -34,7 +35,8 @@ def sort_position(
     if unique:
         return global_position(df, [*keys, *unique], name=name)
     rest = [c for c in df.columns if c not in keys]
-    folded = fold_copies(df)
+    # written, because cutting blocks reads it several times
+    folded = written(fold_copies(df), "folded")
     blocked = in_blocks(folded, [*keys, *rest, "_piece"])
     placed = running(blocked, (), [Running("_start", "sum", F.col("_copies"), before=True)])
     place = F.explode(F.sequence(F.col("_start"), F.col("_start") + F.col("_copies") - 1))

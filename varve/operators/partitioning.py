@@ -13,7 +13,10 @@ WORD_PARTITIONS = 150
 
 
 def place_by_word_hash(df: DataFrame, key: str, parts: int = WORD_PARTITIONS) -> DataFrame:
-    """Put each row on partition ``djb2(key) % parts``, kept as column ``part``."""
+    """Put each row on partition ``djb2(key) % parts``, kept as column ``part``.
+
+    All rows of a key share a partition, so fold frequent keys first.
+    """
     tagged = df.withColumn("part", (djb2(F.col(key)) % parts).cast("int"))
     return tagged.repartitionById(parts, "part")
 

@@ -21,7 +21,7 @@ def pagerank(
     edges: DataFrame,
     rounds: int = ROUNDS,
     *,
-    store: Literal["plan", "memory", "table"] = "plan",
+    store: Literal["plan", "memory", "table"] = "table",
     parts: int | None = None,
     cut_every: int | None = None,
     hub_edges: int = HUB_EDGES,
@@ -34,9 +34,10 @@ def pagerank(
 
     ``store`` says where the edge shares live between rounds: in the plan (one
     lazy query), in executor memory and disk, or in a table bucketed on ``src``.
-    The last two keep edges and ranks co-partitioned, which leaves one exchange
-    per round. ``cut_every`` writes the ranks to a table every so many rounds, so
-    that lost executors cost at most that many rounds.
+    The last two write the parsed edges once, so that the source is read in one
+    pass, and keep edges and ranks co-partitioned, which leaves one exchange per
+    round. ``cut_every`` writes the ranks to a table every so many rounds, so that
+    lost executors cost at most that many rounds.
 
     Sources with more edges than a partition's fair share are kept apart, spread
     by (src, dst) and joined with a broadcast of their few ranks.
@@ -44,12 +45,18 @@ def pagerank(
     spark = edges.sparkSession
     width = shuffle_partitions(spark)
     parts = parts or width
+    # Both ends are needed. Said here, the rounds need no null filters of their own
+    # and share one edge exchange even when everything stays in the plan.
+    edges = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    if cut_every and store == "plan":
+        store = "table"
+    if store != "plan":
+        edges = written(edges, "edges")
     hub_list = hubs(edges, parts, hub_edges).collect()  # fewer than `parts` rows
     if hub_list:
         # the ranks are read twice per round from here on
         cut_every = 1
-    if cut_every and store == "plan":
-        store = "table"
+        store = "table" if store == "plan" else store
 
     regular, hub_side = edges, None
     if hub_list:
@@ -57,7 +64,8 @@ def pagerank(
             edges.schema["src"].dataType.simpleString()))
         regular = edges.join(F.broadcast(hub_rows), "src", "left_anti")
         hub_side = hub_shares(edges, hub_rows)
-    shares = edge_shares(regular, parts)
+    # a plan repeats the fold in every round, a stored edge set pays for it once
+    shares = edge_shares(regular, parts, fold=store != "plan")
 
     if store == "memory":
         shares = shares.persist(StorageLevel.MEMORY_AND_DISK)

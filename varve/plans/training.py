@@ -17,6 +17,8 @@ from varve.session import written
 REPORT_EVERY = 20
 PROGRESS_LINE = "Train Epoch: %d [%d/%d (%.0f%%)]\tLoss: %.6f"
 
+SLABS = 1_000
+
 PROGRESS_SCHEMA = (
     "epoch int, batch bigint, rows_seen bigint, total bigint, percent double, loss double"
 )
@@ -46,8 +48,9 @@ def train_softmax(
 ) -> Training:
     """Train on ``examples(id, features, label)``; every batch is one Spark job.
 
-    The epoch's rows are written once in batch order, so the scan of a step skips
-    the files and row groups of other batches. Steps follow each other by nature;
+    The epoch's rows are written once in batch order, in folders of neighbouring
+    batches, so a step opens the files of one folder and skips other batches by
+    their row-group statistics. Steps follow each other by nature;
     ``global_batch`` sets how much work one step spreads over the cluster. Only
     the model, whose size is fixed, comes back to the driver between steps.
     """
@@ -57,17 +60,16 @@ def train_softmax(
     schema = "param string, pos int, value double, velocity double"
     total = examples.count()
     steps = -(-(-(-total // shards)) // batch_size(shards, global_batch))
+    per_slab = -(-steps // SLABS) or 1
     progress = []
 
     for epoch in range(epochs):
-        table = written(
-            assign_batches(examples, shards, global_batch, seed, epoch).select(
-                "batch", "shard", "features", "label"
-            ),
-            "batches",
-        )
+        batched = assign_batches(examples, shards, global_batch, seed, epoch)
+        slab = F.floor(F.col("batch") / per_slab).cast("int").alias("slab")
+        table = written(batched.select("batch", "shard", "features", "label", slab), "batches", "slab")
         for step in range(steps):
-            local = G.shard_gradients(table.where(F.col("batch") == step), model)
+            mine = (F.col("slab") == step // per_slab) & (F.col("batch") == step)
+            local = G.shard_gradients(table.where(mine), model)
             if sync == "gather":
                 mean = G.gradient_mean(local)
             else:

@@ -36,10 +36,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and survives lost executors."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*([partition_by] if partition_by else [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

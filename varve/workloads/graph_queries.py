@@ -46,7 +46,7 @@ def pagerank_10(spark, sf_dir):
 
 
 def pagerank_10_links(spark, sf_dir):
-    return _rounded(pagerank(_links(spark, sf_dir)))
+    return _rounded(pagerank(_links(spark, sf_dir), store="plan"))
 
 
 def pagerank_10_partitioned(spark, sf_dir):
@@ -66,7 +66,7 @@ def pagerank_10_hubs(spark, sf_dir):
 
 
 def pagerank_acyclic(spark, sf_dir):
-    return _rounded(pagerank(I.order_edges(spark, sf_dir), rounds=2))
+    return _rounded(pagerank(I.ladder_edges(spark, sf_dir), rounds=2))
 
 
 def scan_text_lines(spark, sf_dir):
@@ -189,7 +189,7 @@ ORACLES = {
     "pagerank_10_persisted": _LINE_RANKS,
     "pagerank_10_checkpointed": _LINE_RANKS,
     "pagerank_10_hubs": pagerank_sql(I.FLAG_SQL, "flags", 10),
-    "pagerank_acyclic": pagerank_sql(I.ORDER_EDGES_SQL, "order_edges", 2),
+    "pagerank_acyclic": pagerank_sql(I.LADDER_SQL, "ladder", 2),
     "scan_text_lines": f"WITH {I.LINK_LINES_SQL} SELECT value FROM lines",
     "scan_whole_files": f"WITH {I.LINK_LINES_SQL} SELECT value, count(*) AS copies FROM lines GROUP BY value",
     "parse_links_line": f"WITH {I.LINK_LINES_SQL} SELECT src, dst FROM links_line",

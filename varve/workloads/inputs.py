@@ -103,11 +103,31 @@ ORDER_EDGES_SQL = """
 order_edges AS (SELECT 'o' || o_orderkey AS src, 'c' || o_custkey AS dst FROM orders)"""
 
 
+def ladder_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order -> customer -> nation -> region, acyclic."""
+    customers = table(spark, sf_dir, "customer")
+    nations = table(spark, sf_dir, "nation")
+
+    def named(prefix: str, key: str):
+        return F.concat(F.lit(prefix), F.col(key).cast("string"))
+
+    upper = customers.select(named("c", "c_custkey").alias("src"), named("n", "c_nationkey").alias("dst"))
+    top = nations.select(named("n", "n_nationkey").alias("src"), named("r", "n_regionkey").alias("dst"))
+    return order_edges(spark, sf_dir).unionByName(upper).unionByName(top)
+
+
+LADDER_SQL = f"""{ORDER_EDGES_SQL},
+ladder AS (
+  SELECT src, dst FROM order_edges
+  UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer
+  UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation)"""
+
+
 # Sort inputs --------------------------------------------------------------
 
 
 def sort_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the sort columns' own names; ``timestamp`` as text in ISO order."""
+    """Events under the sort columns' own names."""
     return table(spark, sf_dir, "events").select(
         "event_id",
         F.col("event_type").alias("cca2"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from varve.functions import images
 from varve.operators import evaluation, gradients, sharding
-from varve.plans.training import progress_lines, train_softmax
+from varve.plans import training
 from varve.workloads import inputs as I
 
 SHARDS = 4
@@ -123,7 +123,7 @@ def sgd_update(spark, sf_dir):
 
 def _training(spark: SparkSession, sf_dir: str, **how):
     train = I.train_examples(spark, sf_dir)
-    return train_softmax(train, I.CLASSES, I.FEATURES, shards=SHARDS, **how)
+    return training.train_softmax(train, I.CLASSES, I.FEATURES, shards=SHARDS, **how)
 
 
 def train_softmax_gather(spark, sf_dir):
@@ -133,7 +133,7 @@ def train_softmax_gather(spark, sf_dir):
     )
 
 
-def train_softmax_allreduce(spark, sf_dir):
+def train_softmax(spark, sf_dir):
     params = _training(spark, sf_dir, sync="allreduce").params
     return params.select(
         "param", "pos", F.round("value", 6).alias("value"), F.round("velocity", 6).alias("velocity")
@@ -148,7 +148,7 @@ def training_progress(spark, sf_dir):
 
 
 def training_report(spark, sf_dir):
-    return progress_lines(_training(spark, sf_dir, global_batch=STEP_BATCH, report_every=3).progress)
+    return training.progress_lines(_training(spark, sf_dir, global_batch=STEP_BATCH, report_every=3).progress)
 
 
 def train_and_test(spark, sf_dir):
@@ -202,7 +202,7 @@ QUERIES = {
         gradient_mean_allreduce,
         sgd_update,
         train_softmax_gather,
-        train_softmax_allreduce,
+        train_softmax,
         training_progress,
         training_report,
         train_and_test,
@@ -376,7 +376,7 @@ moved AS (
   FROM params p JOIN mean m ON m.param = p.param AND m.pos = p.pos)
 SELECT param, pos, round(value - 0.1::DOUBLE * velocity, 6) + 0.0 AS value, round(velocity, 6) + 0.0 AS velocity FROM moved""",
     "train_softmax_gather": _PARAMS,
-    "train_softmax_allreduce": _PARAMS,
+    "train_softmax": _PARAMS,
     "training_progress": _PROGRESS,
     "training_report": f"""SELECT printf('Train Epoch: %d [%d/%d (%.0f%%)]' || chr(9) || 'Loss: %.6f',
   epoch, rows_seen, total, percent, loss) AS line FROM ({_PROGRESS})""",

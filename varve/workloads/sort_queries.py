@@ -55,7 +55,7 @@ def sink_csv_append(spark, sf_dir):
     return _event_rows(spark.read.schema(EVENT_SCHEMA).csv(path))
 
 
-def sink_single_file(spark, sf_dir):
+def sink_sorted_parts(spark, sf_dir):
     path = fresh_path(spark, "orders")
     lines = I.order_lines(spark, sf_dir).select(F.split("value", ",", -1).alias("fields"))
     sinks.write_sorted_lines(lines.select(sinks.join_fields("fields")), path, 2)
@@ -98,7 +98,7 @@ QUERIES = {
         scan_csv_inferred,
         scan_delimited_fields,
         sink_csv_append,
-        sink_single_file,
+        sink_sorted_parts,
         row_count,
         sort_two_keys,
         sort_two_keys_rows,
@@ -117,7 +117,7 @@ ORACLES = {
     "scan_delimited_fields": """SELECT CAST(o_orderkey AS VARCHAR) AS field_0, o_orderpriority AS field_2,
 strftime(o_orderdate, '%Y-%m-%d') AS field_14, CAST(15 AS BIGINT) AS n_fields FROM orders""",
     "sink_csv_append": _EVENTS,
-    "sink_single_file": f"WITH {I.ORDER_LINES_SQL} SELECT value FROM order_lines",
+    "sink_sorted_parts": f"WITH {I.ORDER_LINES_SQL} SELECT value FROM order_lines",
     "row_count": "SELECT count(*) AS rows FROM events",
     "sort_two_keys": """SELECT row_number() OVER (ORDER BY event_type, ts, event_id) - 1 AS position,
 event_id, event_type AS cca2, user_id, value FROM events""",
