@@ -132,6 +132,8 @@ def shard_gradients(examples: DataFrame, model: LinearModel) -> DataFrame:
     sums = examples.select("shard", "features", "label").mapInArrow(
         partial, "shard int, param string, pos int, total double, n bigint"
     )
+    # by parameter only: averaging over shards then needs no exchange of its own
+    sums = sums.repartition("param", "pos")
     value = F.when(F.col("param") == "rows", F.sum("total")).otherwise(F.sum("total") / F.sum("n"))
     return sums.groupBy("shard", "param", "pos").agg(value.alias("value"))
 
@@ -159,10 +161,14 @@ def sgd_update(
     momentum: float = MOMENTUM,
     weight_decay: float = WEIGHT_DECAY,
 ) -> DataFrame:
-    """New (param, pos, value, velocity) from params, their velocity and the mean gradient."""
-    grad = gradients.select("param", "pos", F.col("value").alias("_grad"))
-    joined = params.join(grad, ["param", "pos"])
-    velocity = F.col("velocity") * momentum + F.col("_grad") + F.col("value") * weight_decay
+    """New (param, pos, value, velocity) from params, their velocity and the mean gradient.
+
+    ``gradient`` comes along. Gradient rows that belong to no parameter, such as
+    the loss, are kept with neither value nor velocity.
+    """
+    grad = gradients.select("param", "pos", F.col("value").alias("gradient"))
+    joined = grad.join(params, ["param", "pos"], "left")
+    velocity = F.col("velocity") * momentum + F.col("gradient") + F.col("value") * weight_decay
     return joined.withColumn("velocity", velocity).select(
-        "param", "pos", (F.col("value") - F.col("velocity") * lr).alias("value"), "velocity"
+        "param", "pos", (F.col("value") - F.col("velocity") * lr).alias("value"), "velocity", "gradient"
     )

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from varve.functions.text import in_kept_namespace
 
+TAB = "\t"
+
 
 def parse_links(
     lines: DataFrame, namespace: Literal["line", "field"] = "line", comment: str | None = None
@@ -19,12 +21,13 @@ def parse_links(
     tests each end. Lines without a tab are dropped, as are lines that start with
     ``comment`` when it is given.
     """
-    line = F.lower("value")
-    pair = F.split(line, "\t", 2)
-    kept = F.size(pair) == 2
+    raw = F.col("value")
+    line = F.lower(raw)
+    src = F.substring_index(line, TAB, 1)
+    dst = F.substr(line, F.locate(TAB, line) + 1)
+    kept = F.contains(raw, F.lit(TAB))
     if comment is not None:
-        kept &= ~F.startswith("value", F.lit(comment))
-    src, dst = F.get(pair, 0), F.get(pair, 1)
+        kept &= ~F.startswith(raw, F.lit(comment))
     if namespace == "line":
         kept &= in_kept_namespace(line)
     else:

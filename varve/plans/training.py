@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from typing import Literal
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,19 +75,15 @@ def train_softmax(
                 mean = G.gradient_mean(local)
             else:
                 mean = G.gradient_mean_allreduce(local, shards)
-            mean_rows = mean.toArrow()  # model size
-            is_model = pa.compute.is_in(mean_rows["param"], pa.array(["weight", "bias"]))
-            updated = G.sgd_update(
-                spark.createDataFrame(state, schema),
-                spark.createDataFrame(mean_rows.filter(is_model), "param string, pos int, value double"),
-                lr,
-                momentum,
-                weight_decay,
-            )
-            state = updated.toArrow()  # model size
+            stepped = G.sgd_update(
+                spark.createDataFrame(state, schema), mean, lr, momentum, weight_decay
+            ).toArrow()  # model size
+            is_model = pc.is_valid(stepped["value"])
+            state = stepped.filter(is_model).drop_columns("gradient")
             model = G.LinearModel.from_rows(state, classes, features)
             if step % report_every == 0:
-                extra = dict(zip(mean_rows["param"].to_pylist(), mean_rows["value"].to_pylist()))
+                rest = stepped.filter(pc.invert(is_model))
+                extra = dict(zip(rest["param"].to_pylist(), rest["gradient"].to_pylist()))
                 seen = round(step * extra["rows"] * shards)
                 progress.append((epoch, step, seen, total, 100.0 * step / steps, extra["loss"]))
 

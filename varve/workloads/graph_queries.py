@@ -9,7 +9,7 @@ from varve.functions.text import djb2
 from varve.operators import graph, partitioning
 from varve.operators.links import parse_links
 from varve.plans.pagerank import pagerank
-from varve.session import fresh_path
+from varve.session import fresh_path, written
 from varve.sources import sinks
 from varve.sources.text import scan_file_lines, scan_lines
 from varve.workloads import inputs as I
@@ -117,7 +117,7 @@ def adjacency_list(spark, sf_dir):
 
 
 def rank_contributions(spark, sf_dir):
-    edges = _links(spark, sf_dir)
+    edges = written(_links(spark, sf_dir), "edges")
     return _rounded(graph.rank_contributions(edges, graph.first_ranks(edges)), "contribution")
 
 
