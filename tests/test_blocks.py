@@ -70,9 +70,25 @@ def test_running_uses_one_full_exchange(skewed):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange shufflepartitionidpassthrough") == 1
     assert text.count("Exchange hashpartitioning") == 2  # block totals only, one row per block and group
+    assert "from_json" not in text and "Subquery" not in text  # cut points are folded to a constant
     assert "BroadcastHashJoin" in text and "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_keys_of_every_common_type(spark):
+    df = spark.range(3000).selectExpr(
+        "id", "cast(id % 7 as string) || '\"\\\\é' AS s", "timestamp_micros(id * 1234567) AS t",
+        "cast(id / 7 as double) AS d", "cast(id as decimal(20, 3)) AS m", "date_from_unix_date(id % 50) AS day",
+        "if(id % 3 = 0, null, id % 5) AS n", "id % 2 = 0 AS b", "cast(id / 3 as float) AS f",
+        "cast(timestamp_micros(id * 7654321) as timestamp_ntz) AS z",
+    )
+    for key in ("s", "t", "d", "m", "day", "n", "b", "f", "z"):
+        blocked = in_blocks(df, [key, "id"], blocks=9)
+        assert blocked.blocks > 5
+        placed = running(blocked, (), [Running("at", "sum", F.lit(1), before=True)])
+        got = [r["id"] for r in placed.orderBy("at").select("id").collect()]
+        assert got == [r["id"] for r in df.orderBy(key, "id").select("id").collect()], key
+
+
 def test_group_must_lead_the_keys(skewed):
     df, _ = skewed
     with pytest.raises(ValueError):

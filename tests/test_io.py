@@ -4,6 +4,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from varve.plans import jobs
 from varve.session import fresh_path, scratch_dir
 from varve.sources import sinks, text
 
@@ -72,3 +73,20 @@ def test_scratch_follows_the_session():
     assert scratch_dir(_session("local[2]")) == scratch_dir(_session("local[2]"))
     with pytest.raises(ValueError):
         scratch_dir(_session("spark://host:7077"))
+
+
+def test_jobs_run_from_path_to_path(spark, tmp_path):
+    source = tmp_path / "export.csv"
+    source.write_text("cca2,timestamp,n\nUS,3,a\nFR,2,b\nUS,1,c\nFR,1,d\nUS,1,c\n")
+    jobs.sort_csv(spark, str(source), str(tmp_path / "csv"))
+    ordered = [line for part in _parts(tmp_path / "csv") for line in part]
+    assert ordered == ["FR,1,d", "FR,2,b", "US,1,c", "US,1,c", "US,3,a"]
+
+    jobs.sort_text(spark, str(source), str(tmp_path / "text"), field=0, header="cca2,timestamp,n")
+    ordered = [line for part in _parts(tmp_path / "text") for line in part]
+    assert ordered == ["FR,1,d", "FR,2,b", "US,1,c", "US,1,c", "US,3,a"]
+
+    (tmp_path / "link1").write_text("A\tB\nB\tA\n")
+    (tmp_path / "link2").write_text("b\tc\nTalk:x\ta\nno tab\n")
+    jobs.rank_links(spark, f"{tmp_path}/link*", str(tmp_path / "ranks"), rounds=1)
+    assert sorted(sum(_parts(tmp_path / "ranks"), [])) == ["('a', 0.575)", "('b', 1.0)", "('c', 0.575)"]

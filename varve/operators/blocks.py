@@ -13,12 +13,12 @@ The keys must identify a row, or rows that tie may swap places.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from varve.session import shuffle_partitions
 
@@ -73,27 +73,36 @@ def block_count(rows: int, shuffle_width: int) -> int:
 def in_blocks(
     df: DataFrame, keys: Sequence[str], *, rows: int | None = None, blocks: int | None = None
 ) -> Blocked:
-    """Tag every row with its block along ``keys`` (ascending, nulls first)."""
+    """Tag every row with its block along ``keys`` (ascending, nulls first).
+
+    Keys are of atomic types that survive a cast to text and back, so not binary.
+    ``df`` is read several times; write it first if it is costly to derive.
+    """
+    if any(df.schema[k].dataType.simpleString() == "binary" for k in keys):
+        raise ValueError("binary columns cannot be block keys")
     spark = df.sparkSession
     total = df.count() if rows is None else rows
     wanted = blocks or block_count(total, shuffle_partitions(spark))
     points: list = []
     if wanted > 1 and total > 0:
         fraction = min(1.0, wanted * SAMPLES_PER_BLOCK / total)
-        # about SAMPLES_PER_BLOCK * MAX_BLOCKS keys at the very most
-        sample = df.select(*keys).sample(fraction, seed=17).distinct().orderBy(*keys).collect()
-        step = len(sample) / wanted
-        points = [sample[i] for i in sorted({int(step * n) for n in range(1, wanted)}) if i > 0]
+        sample = df.select(*keys).sample(fraction, seed=17).distinct().orderBy(*keys)
+        # as text; about SAMPLES_PER_BLOCK * MAX_BLOCKS keys at the very most
+        keys_text = sample.select(*[F.col(k).cast("string").alias(k) for k in keys]).collect()
+        step = len(keys_text) / wanted
+        points = [keys_text[i] for i in sorted({int(step * n) for n in range(1, wanted)}) if i > 0]
     if not points:
         return Blocked(df.withColumn(BLOCK, F.lit(0)), tuple(keys), 1, total)
-    point_type = T.StructType([df.schema[k] for k in keys])
-    table = spark.createDataFrame(
-        [(points,)], T.StructType([T.StructField("points", T.ArrayType(point_type))])
-    )
-    block = _points_at_or_below(F.col("_points"), F.struct(*keys), len(points))
-    # a lambda may not hold the subquery itself; the optimizer folds the two projections
-    tagged = df.withColumn("_points", table.scalar()).withColumn(BLOCK, block).drop("_points")
-    return Blocked(tagged, tuple(keys), len(points) + 1, total)
+    block = _points_at_or_below(_as_literal(points, df, keys), F.struct(*keys), len(points))
+    return Blocked(df.withColumn(BLOCK, block), tuple(keys), len(points) + 1, total)
+
+
+def _as_literal(points: Sequence, df: DataFrame, keys: Sequence[str]) -> Column:
+    """The cut points as one constant array, which the optimizer folds before any task runs."""
+    texts = ", ".join(f"`{k}`: string" for k in keys)
+    typed = ", ".join(f"`{k}`: {df.schema[k].dataType.simpleString()}" for k in keys)
+    rows = F.lit(json.dumps([p.asDict() for p in points]))
+    return F.sort_array(F.from_json(rows, f"array<struct<{texts}>>").cast(f"array<struct<{typed}>>"))
 
 
 def _points_at_or_below(points: Column, key: Column, count: int) -> Column:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,9 +144,12 @@ def gradient_mean(gradients: DataFrame) -> DataFrame:
 
 
 def gradient_mean_gather(gradients: DataFrame) -> DataFrame:
-    """Gather, average, and hand the mean back to every shard."""
-    mean = gradient_mean(gradients)
-    return gradients.select("shard", "param", "pos").join(mean, ["param", "pos"])
+    """Gather, average, and hand the mean back to every shard.
+
+    A window's group is one parameter's value per shard.
+    """
+    mean = F.avg("value").over(Window.partitionBy("param", "pos"))
+    return gradients.select("shard", "param", "pos", mean.alias("value"))
 
 
 def gradient_mean_allreduce(gradients: DataFrame, shards: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from varve.functions.text import djb2
 from varve.operators import graph, partitioning
 from varve.operators.links import parse_links
+from varve.plans.jobs import rank_links
 from varve.plans.pagerank import pagerank
 from varve.session import fresh_path, written
 from varve.sources import sinks
@@ -143,9 +144,22 @@ def sink_rank_tsv(spark, sf_dir):
     )
 
 
+def rank_link_files(spark, sf_dir):
+    """Link files in, rank lines out, rank lines read back."""
+    links, ranks = fresh_path(spark, "links"), fresh_path(spark, "ranks")
+    I.link_lines(spark, sf_dir).write.text(links)
+    rank_links(spark, f"{links}/part-*", ranks, "field", "tsv", rounds=3)
+    pair = F.split("value", "\t")
+    node = F.array_join(F.slice(pair, 1, F.size(pair) - 1), "\t")
+    return scan_lines(spark, ranks).select(
+        node.alias("node"), F.round(F.element_at(pair, -1).cast("double"), 6).alias("rank")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        rank_link_files,
         pagerank_1,
         pagerank_10,
         pagerank_10_links,
@@ -182,6 +196,7 @@ def _djb2_sql(column: str) -> str:
 
 
 ORACLES = {
+    "rank_link_files": pagerank_sql(I.LINK_LINES_SQL, "links_field", 3),
     "pagerank_1": pagerank_sql(I.HANDOFF_SQL, "handoff", 1),
     "pagerank_10": pagerank_sql(I.HANDOFF_SQL, "handoff", 10),
     "pagerank_10_links": _LINE_RANKS,

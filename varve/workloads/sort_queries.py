@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from varve.operators import ordering
 from varve.operators.blocks import global_position as position_of
+from varve.plans import jobs
 from varve.session import fresh_path
 from varve.sources import sinks, text
 from varve.workloads import inputs as I
@@ -62,6 +63,15 @@ def sink_sorted_parts(spark, sf_dir):
     return text.scan_lines(spark, path)
 
 
+def sort_csv_file(spark, sf_dir):
+    """CSV with a header in, sorted part files out, rows read back."""
+    source, target = fresh_path(spark, "customers"), fresh_path(spark, "sorted")
+    customers = I.table(spark, sf_dir, "customer")
+    customers.write.option("header", True).csv(source)
+    jobs.sort_csv(spark, source, target, ["c_mktsegment", "c_nationkey"])
+    return spark.read.schema(customers.schema).csv(target)
+
+
 def row_count(spark, sf_dir):
     return I.sort_events(spark, sf_dir).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -99,6 +109,7 @@ QUERIES = {
         scan_delimited_fields,
         sink_csv_append,
         sink_sorted_parts,
+        sort_csv_file,
         row_count,
         sort_two_keys,
         sort_two_keys_rows,
@@ -118,6 +129,7 @@ ORACLES = {
 strftime(o_orderdate, '%Y-%m-%d') AS field_14, CAST(15 AS BIGINT) AS n_fields FROM orders""",
     "sink_csv_append": _EVENTS,
     "sink_sorted_parts": f"WITH {I.ORDER_LINES_SQL} SELECT value FROM order_lines",
+    "sort_csv_file": "SELECT * FROM customer",
     "row_count": "SELECT count(*) AS rows FROM events",
     "sort_two_keys": """SELECT row_number() OVER (ORDER BY event_type, ts, event_id) - 1 AS position,
 event_id, event_type AS cca2, user_id, value FROM events""",
