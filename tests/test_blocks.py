@@ -89,6 +89,14 @@ def test_keys_of_every_common_type(spark):
         assert got == [r["id"] for r in df.orderBy(key, "id").select("id").collect()], key
 
 
+def test_long_text_keys_keep_their_order(spark):
+    df = spark.range(2000).selectExpr("id", "repeat('x', 40 * cast(id % 20 as int)) || id AS s")
+    blocked = in_blocks(df, ["s", "id"], blocks=9)
+    placed = running(blocked, (), [Running("at", "sum", F.lit(1), before=True)])
+    got = [r["id"] for r in placed.orderBy("at").select("id").collect()]
+    assert got == [r["id"] for r in df.orderBy("s", "id").select("id").collect()]
+
+
 def test_group_must_lead_the_keys(skewed):
     df, _ = skewed
     with pytest.raises(ValueError):

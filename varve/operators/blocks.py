@@ -24,6 +24,8 @@ from varve.session import shuffle_partitions
 
 BLOCK = "_block"
 SAMPLES_PER_BLOCK = 40
+MAX_SAMPLES = 200_000
+MAX_POINT_CHARS = 256
 MIN_ROWS_PER_BLOCK = 1_000
 ROWS_PER_BLOCK = 5_000_000
 MAX_BLOCKS = 20_000
@@ -85,10 +87,12 @@ def in_blocks(
     wanted = blocks or block_count(total, shuffle_partitions(spark))
     points: list = []
     if wanted > 1 and total > 0:
-        fraction = min(1.0, wanted * SAMPLES_PER_BLOCK / total)
+        fraction = min(1.0, wanted * SAMPLES_PER_BLOCK / total, MAX_SAMPLES / total)
         sample = df.select(*keys).sample(fraction, seed=17).distinct().orderBy(*keys)
-        # as text; about SAMPLES_PER_BLOCK * MAX_BLOCKS keys at the very most
-        keys_text = sample.select(*[F.col(k).cast("string").alias(k) for k in keys]).collect()
+        # About MAX_SAMPLES short texts reach the driver. A long text key is cut for the
+        # cut points only: any value can serve as a border, rows keep their whole keys.
+        shortened = [F.substring(F.col(k).cast("string"), 1, MAX_POINT_CHARS).alias(k) for k in keys]
+        keys_text = sample.select(*shortened).collect()
         step = len(keys_text) / wanted
         points = [keys_text[i] for i in sorted({int(step * n) for n in range(1, wanted)}) if i > 0]
     if not points:

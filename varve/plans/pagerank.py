@@ -25,6 +25,7 @@ def pagerank(
     parts: int | None = None,
     cut_every: int | None = None,
     hub_edges: int = HUB_EDGES,
+    landed: bool = False,
 ) -> DataFrame:
     """``(node, rank)`` after ``rounds`` rounds of 0.15 + 0.85 * received rank.
 
@@ -35,7 +36,7 @@ def pagerank(
     ``store`` says where the edge shares live between rounds: in the plan (one
     lazy query), in executor memory and disk, or in a table bucketed on ``src``.
     The last two write the parsed edges once, so that the source is read in one
-    pass, and keep edges and ranks co-partitioned, which leaves one exchange per
+    pass (``landed`` says they are a table already), and keep edges and ranks co-partitioned, which leaves one exchange per
     round. ``cut_every`` writes the ranks to a table every so many rounds, so that
     lost executors cost at most that many rounds.
 
@@ -50,7 +51,7 @@ def pagerank(
     edges = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     if cut_every and store == "plan":
         store = "table"
-    if store != "plan":
+    if store != "plan" and not landed:
         edges = written(edges, "edges")
     hub_list = hubs(edges, parts, hub_edges).collect()  # fewer than `parts` rows
     if hub_list:

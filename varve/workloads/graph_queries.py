@@ -63,7 +63,7 @@ def pagerank_10_checkpointed(spark, sf_dir):
 
 
 def pagerank_10_hubs(spark, sf_dir):
-    return _rounded(pagerank(I.flag_edges(spark, sf_dir), hub_edges=1_000))
+    return _rounded(pagerank(I.flag_edges(spark, sf_dir), hub_edges=1_000, landed=True))
 
 
 def pagerank_acyclic(spark, sf_dir):
