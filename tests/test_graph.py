@@ -85,12 +85,46 @@ def test_variants_agree_with_brute_force(spark, hub_graph, how):
 
 
 def test_hubs_are_few_and_found(spark, hub_graph):
-    found = {r["src"]: r["out_degree"] for r in graph.hubs(frame(spark, hub_graph), 8, at_least=1).collect()}
+    rows = graph.hubs(frame(spark, hub_graph), 8, at_least=1).collect()
+    found = {r["src"]: r["out_degree"] for r in rows}
+    assert all(r["slots"] == -(-r["out_degree"] // 150) for r in rows)
     degree = {s: sum(1 for a, _ in hub_graph if a == s) for s in (0, 7)}
     assert found == degree
     assert len(found) < 8
 
 
+def test_no_slot_holds_a_whole_hub(spark):
+    edges = frame(spark, [(0, i) for i in range(4000)] + [(i, 0) for i in range(1, 4001)])
+    hub_rows = graph.hubs(edges, 8, at_least=1)
+    sizes = [r["count"] for r in graph.hub_shares(edges, hub_rows).groupBy("src", "slot").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 1200 and sum(sizes) == 4000
+
+
+def test_hub_rounds_move_ranks_not_edges(spark, hub_graph):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pagerank(frame(spark, hub_graph), rounds=4, store="table", hub_edges=1)
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Bucketed: true") == 3
+    assert text.count("Exchange hashpartitioning(node") == 3  # ranks, in their slots
+    assert text.count("Exchange hashpartitioning(dst") == 4  # amounts
+    assert text.count("Exchange hashpartitioning") == 7
+
+
+def test_lazy_plan_has_no_extra_exchange(spark, hub_graph):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pagerank(frame(spark, hub_graph), rounds=4, store="plan")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning(src") == 4  # one edge exchange, reused when it runs
+    assert text.count("Exchange hashpartitioning(dst") == 4
+    assert text.count("Exchange hashpartitioning") == 8
+
+
 def test_stored_edges_leave_one_exchange_per_round(spark, hub_graph):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

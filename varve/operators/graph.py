@@ -37,48 +37,71 @@ def adjacency_list(edges: DataFrame, per_row: int = NEIGHBORS_PER_ROW) -> DataFr
 
 
 def hubs(edges: DataFrame, parts: int, at_least: int = HUB_EDGES) -> DataFrame:
-    """(src, out_degree) of sources too large for one of ``parts`` partitions.
+    """(src, out_degree, slots) of sources too large for one of ``parts`` partitions.
 
-    Each has more than 1/parts of all edges, so there are fewer than ``parts``.
+    Each has more than 1/parts of all edges, so there are fewer than ``parts``, and
+    their slots, enough for a fair share each, add up to less than twice that.
     """
     degree = out_degree(edges)
-    fair_share = degree.agg((F.sum("out_degree") / parts).alias("share")).scalar()
-    return degree.where((F.col("out_degree") > fair_share) & (F.col("out_degree") >= at_least))
+    fair_share = degree.agg(
+        F.greatest(F.sum("out_degree") / parts, F.lit(float(at_least))).alias("share")
+    ).scalar()
+    return degree.where(F.col("out_degree") > fair_share).withColumn(
+        "slots", F.ceil(F.col("out_degree") / fair_share)
+    )
 
 
-def edge_shares(edges: DataFrame, parts: int, fold: bool = True) -> DataFrame:
+def edge_shares(edges: DataFrame, parts: int, fold: bool = True, slotted: bool = False) -> DataFrame:
     """(src, dst, share) hashed on ``src``: the part of a source's rank that dst gets.
 
     One exchange serves the degree and, with ``fold``, the merging of parallel
     edges into one row. Every source must fit a partition; :func:`hub_shares`
-    takes the others.
+    takes the others, and ``slotted`` adds the slot 0 to go with them.
     """
-    placed = edges.repartition(parts, "src")
+    keys = ["src"]
+    if slotted:
+        keys = ["src", "slot"]
+        edges = edges.withColumn("slot", F.lit(0))
+    placed = edges.repartition(parts, *keys)
     if fold:
-        placed = placed.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
+        placed = placed.groupBy(*keys, "dst").agg(F.count(F.lit(1)).alias("copies"))
     else:
         placed = placed.withColumn("copies", F.lit(1))
-    degree = F.sum("copies").over(Window.partitionBy("src"))
-    return placed.select("src", "dst", (F.col("copies") / degree).alias("share"))
+    degree = F.sum("copies").over(Window.partitionBy(*keys))
+    return placed.select(*keys, "dst", (F.col("copies") / degree).alias("share"))
 
 
 def hub_shares(edges: DataFrame, hub_rows: DataFrame) -> DataFrame:
-    """Edge shares of hub sources, spread by (src, dst); ``hub_rows`` is the bounded hub list."""
+    """Edge shares of hub sources, dealt to their slots by dst; ``hub_rows`` is the bounded hub list."""
     folded = (
         edges.join(F.broadcast(hub_rows.select("src")), "src", "left_semi")
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
+    slot = F.pmod(F.xxhash64("dst"), F.col("slots")).cast("int")
+    share = F.col("copies") / F.col("out_degree")
     return folded.join(F.broadcast(hub_rows), "src").select(
-        "src", "dst", (F.col("copies") / F.col("out_degree")).alias("share")
+        "src", slot.alias("slot"), "dst", share.alias("share")
     )
 
 
+def in_slots(ranks: DataFrame, hub_rows: DataFrame) -> DataFrame:
+    """Ranks with ``slot``, a hub's rank once per slot it has."""
+    slots = F.broadcast(hub_rows.select(F.col("src").alias("node"), "slots"))
+    last = F.coalesce("slots", F.lit(1)) - 1
+    each = F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("slot")
+    return ranks.join(slots, "node", "left").select("node", "rank", each)
+
+
 def spread(shares: DataFrame, ranks: DataFrame) -> DataFrame:
-    """(dst, amount) rows: every edge hands on its share of the source's rank."""
-    return shares.join(ranks, shares.src == ranks.node).select(
-        "dst", (F.col("share") * F.col("rank")).alias("amount")
-    )
+    """(dst, amount) rows: every edge hands on its share of the source's rank.
+
+    Ranks with slots meet the edges of their slot, others all edges of the node.
+    """
+    match = shares.src == ranks.node
+    if "slot" in ranks.columns:
+        match &= shares.slot == ranks.slot
+    return shares.join(ranks, match).select("dst", (F.col("share") * F.col("rank")).alias("amount"))
 
 
 def gathered(amounts: DataFrame, name: str, shape=lambda total: total) -> DataFrame:
@@ -96,12 +119,9 @@ def rank_contributions(edges: DataFrame, ranks: DataFrame) -> DataFrame:
     """What each node receives in one round from ``ranks(node, rank)``."""
     parts = shuffle_partitions(edges.sparkSession)
     hub_rows = hubs(edges, parts)
-    shares = edge_shares(edges.join(F.broadcast(hub_rows), "src", "left_anti"), parts)
-    hub_ranks = ranks.join(F.broadcast(hub_rows.select(F.col("src").alias("node"))), "node", "left_semi")
-    amounts = spread(shares, ranks).unionByName(
-        spread(hub_shares(edges, hub_rows), F.broadcast(hub_ranks))
-    )
-    return gathered(amounts, "contribution")
+    regular = edges.join(F.broadcast(hub_rows), "src", "left_anti")
+    shares = edge_shares(regular, parts, slotted=True).unionByName(hub_shares(edges, hub_rows))
+    return gathered(spread(shares, in_slots(ranks, hub_rows)), "contribution")
 
 
 def source_only_nodes(edges: DataFrame) -> DataFrame:

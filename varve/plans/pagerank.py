@@ -8,7 +8,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varve.operators.graph import HUB_EDGES, edge_shares, gathered, hub_shares, hubs, spread
+from varve.operators.graph import (
+    HUB_EDGES,
+    edge_shares,
+    gathered,
+    hub_shares,
+    hubs,
+    in_slots,
+    spread,
+)
 from varve.session import shuffle_partitions, written, written_bucketed
 
 # Rounds, damping and the constant every ranked node gets.
@@ -40,8 +48,9 @@ def pagerank(
     round. ``cut_every`` writes the ranks to a table every so many rounds, so that
     lost executors cost at most that many rounds.
 
-    Sources with more edges than a partition's fair share are kept apart, spread
-    by (src, dst) and joined with a broadcast of their few ranks.
+    Sources with more edges than a partition's fair share are dealt to slots by
+    target, and their few ranks are repeated per slot. The ranks then need an
+    exchange of their own in each round; the edges stay where they are.
     """
     spark = edges.sparkSession
     width = shuffle_partitions(spark)
@@ -53,47 +62,40 @@ def pagerank(
         store = "table"
     if store != "plan" and not landed:
         edges = written(edges, "edges")
-    hub_list = hubs(edges, parts, hub_edges).collect()  # fewer than `parts` rows
-    if hub_list:
-        # the ranks are read twice per round from here on
-        cut_every = 1
-        store = "table" if store == "plan" else store
+    hub_list = hubs(edges, parts, hub_edges)
+    hub_schema = hub_list.schema
+    hub_list = hub_list.collect()  # fewer than `parts` rows
 
-    regular, hub_side = edges, None
     if hub_list:
-        hub_rows = spark.createDataFrame(hub_list, "src {}, out_degree bigint".format(
-            edges.schema["src"].dataType.simpleString()))
+        store = "table"
+        hub_rows = spark.createDataFrame(hub_list, hub_schema)
         regular = edges.join(F.broadcast(hub_rows), "src", "left_anti")
-        hub_side = hub_shares(edges, hub_rows)
-    # a plan repeats the fold in every round, a stored edge set pays for it once
-    shares = edge_shares(regular, parts, fold=store != "plan")
-
-    if store == "memory":
-        shares = shares.persist(StorageLevel.MEMORY_AND_DISK)
-        shares.count()
-    elif store == "table":
-        shares = written_bucketed(shares, "shares", parts, "src")
-    if hub_side is not None:
-        hub_side = written(hub_side, "hub_shares")
-        hub_nodes = hub_rows.select(F.col("src").alias("node"))
+        shares = edge_shares(regular, parts, slotted=True).unionByName(hub_shares(edges, hub_rows))
+        shares = written_bucketed(shares, "shares", parts, "src", "slot")
+        join_keys = ["node", "slot"]
+    else:
+        # a plan repeats the fold in every round, a stored edge set pays for it once
+        shares = edge_shares(edges, parts, fold=store != "plan")
+        join_keys = ["node"]
+        if store == "memory":
+            shares = shares.persist(StorageLevel.MEMORY_AND_DISK)
+            shares.count()
+        elif store == "table":
+            shares = written_bucketed(shares, "shares", parts, "src")
 
-    ranks = None
+    # every source still has rank 1.0 in the first round: no join needed
+    amounts = shares.select("dst", F.col("share").alias("amount"))
     for number in range(1, rounds + 1):
-        if ranks is None:
-            # every source still has rank 1.0: no join needed
-            amounts = shares.select("dst", F.col("share").alias("amount"))
-            if hub_side is not None:
-                amounts = amounts.unionByName(hub_side.select("dst", F.col("share").alias("amount")))
-        else:
-            if parts != width:
-                ranks = ranks.repartition(parts, "node")
-            amounts = spread(shares, ranks)
-            if hub_side is not None:
-                few = ranks.join(F.broadcast(hub_nodes), "node", "left_semi")
-                amounts = amounts.unionByName(spread(hub_side, F.broadcast(few)))
         ranks = gathered(amounts, "rank", lambda total: F.lit(CONSTANT) + F.lit(DAMPING) * total)
-        if cut_every and number % cut_every == 0 and number < rounds:
+        if number == rounds:
+            break
+        if cut_every and number % cut_every == 0:
             ranks = written_bucketed(ranks, "ranks", width, "node")
+        if hub_list:
+            ranks = in_slots(ranks, hub_rows)
+        if parts != width:
+            ranks = ranks.repartition(parts, *join_keys)
+        amounts = spread(shares, ranks)
 
     if store == "memory":
         ranks = written(ranks, "ranks")

@@ -43,8 +43,8 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written_bucketed(df: DataFrame, label: str, buckets: int, key: str) -> DataFrame:
-    """Like :func:`written`, bucketed on ``key`` so that joins on it need no exchange.
+def written_bucketed(df: DataFrame, label: str, buckets: int, *keys: str) -> DataFrame:
+    """Like :func:`written`, bucketed on ``keys`` so that joins on them need no exchange.
 
     The catalog entry is only a handle for the bucket layout. It is dropped at
     once; the files stay and the returned frame keeps reading them.
@@ -53,8 +53,8 @@ def written_bucketed(df: DataFrame, label: str, buckets: int, key: str) -> DataF
     name = f"{label}_{uuid.uuid4().hex}"
     (
         df.write.format("parquet")
-        .bucketBy(buckets, key)
-        .sortBy(key)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
         .option("path", fresh_path(spark, label))
         .saveAsTable(name)
     )
