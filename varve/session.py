@@ -36,6 +36,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """Deal a scan of fewer splits than cores evenly over the cores.
+
+    Such a scan is small, or coarse, and would keep the work on it in a few tasks.
+    Anything larger is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and survives lost executors."""
     path = fresh_path(df.sparkSession, label)
