@@ -46,7 +46,7 @@ def phase_durations(marks: DataFrame) -> DataFrame:
 
 
 def tagged_log(log: DataFrame) -> DataFrame:
-    """The log with ``iteration``, and on tick rows the ``seconds`` of the interval they close."""
+    """The log with ``iteration``, and on tick rows the microseconds ``took`` of the interval they close."""
     is_tick = F.col("phase") == TICK
     at = F.col("us")
     tagged = running(
@@ -59,16 +59,16 @@ def tagged_log(log: DataFrame) -> DataFrame:
         ],
     )
     iteration = F.col("ticks") - is_tick.cast("bigint")
-    seconds = F.when(is_tick, (at - F.coalesce("last_tick", "run_start")) / 1e6)
+    took = F.when(is_tick, at - F.coalesce("last_tick", "run_start"))
     return tagged.select(
-        "run", "ts", "event_id", "phase", "duration", iteration.alias("iteration"), seconds.alias("seconds")
+        "run", "ts", "event_id", "phase", "duration", iteration.alias("iteration"), took.alias("took")
     )
 
 
 def iteration_intervals(tagged: DataFrame, skip: int = SKIP_INTERVALS) -> DataFrame:
     """Closed intervals after the warm-up."""
     return tagged.where((F.col("phase") == TICK) & (F.col("iteration") >= skip)).select(
-        "run", "iteration", "seconds"
+        "run", "iteration", (F.col("took") / 1e6).alias("seconds")
     )
 
 
@@ -80,12 +80,14 @@ def iteration_summary(tagged: DataFrame, skip: int = SKIP_INTERVALS) -> DataFram
     """
     kept = tagged.where((F.col("phase") == TICK) & (F.col("iteration") >= skip))
     count = F.count(F.lit(1))
+    # whole microseconds add up exactly, whatever the order
+    total = F.sum("took")
     return kept.groupBy("run").agg(
         count.alias("intervals"),
-        F.sum("seconds").alias("total"),
-        F.max("seconds").alias("longest"),
-        F.min("seconds").alias("shortest"),
-        F.when(count > skip, F.avg("seconds")).otherwise(0.0).alias("average"),
+        (total / 1e6).alias("total"),
+        (F.max("took") / 1e6).alias("longest"),
+        (F.min("took") / 1e6).alias("shortest"),
+        F.when(count > skip, total / count / 1e6).otherwise(0.0).alias("average"),
     )
 
 
@@ -95,7 +97,7 @@ def phase_pivot(tagged: DataFrame, skip: int = SKIP_INTERVALS) -> DataFrame:
     spent = [
         F.coalesce(F.sum(F.when(F.col("phase") == p, F.col("duration"))), F.lit(0.0)).alias(p) for p in PHASES
     ]
-    report = kept.groupBy("run", "iteration").agg(F.max("seconds").alias("seconds"), *spent)
+    report = kept.groupBy("run", "iteration").agg((F.max("took") / 1e6).alias("seconds"), *spent)
     return report.where(F.col("seconds").isNotNull())
 
 

@@ -230,5 +230,5 @@ ticked AS (
   FROM log WINDOW w AS (PARTITION BY run ORDER BY us, event_id ROWS UNBOUNDED PRECEDING)),
 tagged AS (
   SELECT run, event_id, phase, duration, CAST(ticks - CASE WHEN is_tick THEN 1 ELSE 0 END AS BIGINT) AS iteration,
-    CASE WHEN is_tick THEN (us - coalesce(last_tick, run_start)) / 1e6::DOUBLE END AS seconds
+    CASE WHEN is_tick THEN us - coalesce(last_tick, run_start) END AS took
   FROM ticked)"""

@@ -35,17 +35,15 @@ def phase_durations(spark, sf_dir):
 
 
 def iteration_intervals(spark, sf_dir):
-    return _rounded(timing.iteration_intervals(_tagged(spark, sf_dir)), "seconds")
+    return timing.iteration_intervals(_tagged(spark, sf_dir))
 
 
 def iteration_summary(spark, sf_dir):
-    return _rounded(
-        timing.iteration_summary(_tagged(spark, sf_dir)), "total", "longest", "shortest", "average"
-    )
+    return timing.iteration_summary(_tagged(spark, sf_dir))
 
 
 def phase_pivot(spark, sf_dir):
-    return _rounded(timing.phase_pivot(_tagged(spark, sf_dir)), "seconds", *timing.PHASES)
+    return _rounded(timing.phase_pivot(_tagged(spark, sf_dir)), *timing.PHASES)
 
 
 def phase_summary(spark, sf_dir):
@@ -103,14 +101,15 @@ seen AS (
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS started FROM marks)
 SELECT run, phase, event_id, us, round((us - started) / 1e6::DOUBLE, 6) AS duration FROM seen WHERE edge = 'end'""",
     "iteration_intervals": f"""WITH {I.TAGGED_SQL}
-SELECT run, iteration, round(seconds, 6) AS seconds FROM tagged WHERE phase = 'tick' AND iteration >= 1""",
+SELECT run, iteration, took / 1e6::DOUBLE AS seconds FROM tagged WHERE phase = 'tick' AND iteration >= 1""",
     "iteration_summary": f"""WITH {I.TAGGED_SQL}
-SELECT run, count(*) AS intervals, round(sum(seconds), 6) AS total, round(max(seconds), 6) AS longest,
-  round(min(seconds), 6) AS shortest, round(CASE WHEN count(*) > 1 THEN avg(seconds) ELSE 0.0 END, 6) AS average
+SELECT run, count(*) AS intervals, CAST(sum(took) AS BIGINT) / 1e6::DOUBLE AS total, max(took) / 1e6::DOUBLE AS longest,
+  min(took) / 1e6::DOUBLE AS shortest,
+  CASE WHEN count(*) > 1 THEN CAST(sum(took) AS DOUBLE) / count(*) / 1e6::DOUBLE ELSE 0.0::DOUBLE END AS average
 FROM tagged WHERE phase = 'tick' AND iteration >= 1 GROUP BY run""",
     "phase_pivot": f"""WITH {I.TAGGED_SQL}
-SELECT run, iteration, round(max(seconds), 6) AS seconds, {_SPENT} FROM tagged
-WHERE iteration >= 1 GROUP BY run, iteration HAVING max(seconds) IS NOT NULL""",
+SELECT run, iteration, max(took) / 1e6::DOUBLE AS seconds, {_SPENT} FROM tagged
+WHERE iteration >= 1 GROUP BY run, iteration HAVING max(took) IS NOT NULL""",
     "phase_summary": f"WITH {I.TAGGED_SQL}, {_SUMMARY} SELECT * FROM summary",
     "phase_report": f"""WITH {I.TAGGED_SQL}, {_SUMMARY}
 SELECT run, phase, printf('%s times total: %f max: %f  min: %f avg per stage time: %f avg round time: %f',
