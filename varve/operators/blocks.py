@@ -88,7 +88,7 @@ def in_blocks(
     points: list = []
     if wanted > 1 and total > 0:
         fraction = min(1.0, wanted * SAMPLES_PER_BLOCK / total, MAX_SAMPLES / total)
-        sample = df.select(*keys).sample(fraction, seed=17).distinct().orderBy(*keys)
+        sample = df.select(*keys).sample(fraction=fraction, seed=17).distinct().orderBy(*keys)
         # About MAX_SAMPLES short texts reach the driver. A long text key is cut for the
         # cut points only: any value can serve as a border, rows keep their whole keys.
         shortened = [F.substring(F.col(k).cast("string"), 1, MAX_POINT_CHARS).alias(k) for k in keys]
@@ -112,13 +112,18 @@ def _as_literal(points: Sequence, df: DataFrame, keys: Sequence[str]) -> Column:
 def _points_at_or_below(points: Column, key: Column, count: int) -> Column:
     """How many sorted cut points are <= key, by bisection."""
     strides = F.array(*[F.lit(1 << bit) for bit in reversed(range(count.bit_length()))])
-    return F.aggregate(
-        strides,
-        F.lit(0),
-        lambda low, stride: F.when(
-            F.get(points, low + stride - 1) <= key, low + stride
-        ).otherwise(low),
-    )
+
+    def search(bound: Column) -> Column:
+        return F.aggregate(
+            strides,
+            F.lit(0),
+            lambda low, stride: F.when(
+                F.get(points, low + stride - 1) <= bound, low + stride
+            ).otherwise(low),
+        )
+
+    # a lambda variable, so that the key is put together once and not in every step
+    return F.get(F.transform(F.array(key), search), 0)
 
 
 def running(blocked: Blocked, group: Sequence[str], measures: Sequence[Running]) -> DataFrame:
