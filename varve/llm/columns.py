@@ -103,6 +103,11 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mixed(out + sizes.astype(np.uint64) * BASE)
 
 
+def byte_symbols(buf: np.ndarray) -> np.ndarray:
+    """A random 64-bit number for each byte."""
+    return _BYTE[buf]
+
+
 def powers(count: int, base: np.uint64 = BASE) -> np.ndarray:
     """``base`` to the powers 0 to ``count - 1`` modulo 2**64."""
     out = np.full(count, base, np.uint64)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varve.llm import bpe, decontamination, main_text, sharding
+from varve.llm import bpe, decontamination, main_text, sharding, substrings, suffixes
 
 SHARDS = 24
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -47,6 +47,16 @@ def op3_byte_bpe(spark, sf_dir):
     )
 
 
+def op4_substring_dedup(spark, sf_dir):
+    kept = substrings.without_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_suffix_dedup(spark, sf_dir):
+    kept = suffixes.without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_sharding(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     stored = sharding.write_shards(docs, sharding.shards_in(spark), SHARDS)
@@ -61,5 +71,15 @@ def op8_sharding(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_main_text, op3_byte_bpe, op8_sharding)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_main_text,
+        op3_byte_bpe,
+        op4_substring_dedup,
+        op7_suffix_dedup,
+        op8_sharding,
+    )
+}
 ORACLES: dict[str, str] = {}
