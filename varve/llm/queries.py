@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varve.llm import bpe, decontamination, main_text, sharding, substrings, suffixes
+from varve.llm import bpe, decontamination, jaccard, main_text, sharding, substrings, suffixes
 
 SHARDS = 24
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -52,6 +52,11 @@ def op4_substring_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_jaccard_join(spark, sf_dir):
+    found = jaccard.similarity_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op7_suffix_dedup(spark, sf_dir):
     kept = suffixes.without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -78,6 +83,7 @@ QUERIES = {
         op2_main_text,
         op3_byte_bpe,
         op4_substring_dedup,
+        op6_jaccard_join,
         op7_suffix_dedup,
         op8_sharding,
     )
