@@ -1,9 +1,67 @@
-"""Cleaning of a training corpus in stages over the table ``documents``."""
+"""Cleaning of a training corpus: five stages over the table ``documents``, each on what the one before kept.
+
+Toxic documents go; of near duplicates one stays; passages that an earlier document has are cut out; documents
+contaminated by the benchmark go; the rest is encoded.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from varve.llm import bpe, decontamination, jaccard, substrings, toxicity
+from varve.session import written
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents that the tagger doesn't call toxic."""
+    tagged = toxicity.tag_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return tagged.where("predicted = 0").select(*docs.columns)
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """Of each group of linked documents the one of smallest id."""
+    return jaccard.one_of_each_group(docs)
+
+
+def cut_repeated_passages(spark, docs, sf_dir):
+    """All documents, without the words of passages that an earlier one has; ``n_chars`` follows the text."""
+    cut = substrings.without_duplicates(docs)
+    counted = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", counted).select(*docs.columns)
+
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+def drop_contaminated(spark, docs, sf_dir):
+    """Documents that the benchmark doesn't contaminate."""
+    return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark, docs, sf_dir):
+    """The documents with their token ids."""
+    return bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_passages", cut_repeated_passages),
+    ("decontamination", drop_contaminated),
+    ("encoding", encode),
+]
+
+
+def run(spark, sf_dir):
+    """All stages over ``documents``; each one's result is written and read again by the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return docs
+
+
+#: The tagger is fitted, which SQL can't express; tests compare each stage with brute force.
 ORACLE_SQL = None
+
+QUERIES = {"pipeline": run}
+ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varve.llm import bpe, decontamination, jaccard, main_text, sharding, substrings, suffixes
+from varve.llm import bpe, cotraining, decontamination, jaccard, main_text, quality, sharding, substrings, suffixes, toxicity
 
 SHARDS = 24
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -52,6 +52,12 @@ def op4_substring_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_quality_rules(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality_score")
+
+
 def op6_jaccard_join(spark, sf_dir):
     found = jaccard.similarity_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
@@ -76,6 +82,17 @@ def op8_sharding(spark, sf_dir):
     )
 
 
+def op9_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    tagged = toxicity.tag_documents(docs, _table(spark, sf_dir, "labels"))
+    return tagged.select("doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "spans")
+
+
+def op10_quality_classifier(spark, sf_dir):
+    scored = cotraining.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "text_p", "meta_p", "quality_score", "kept")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,9 +100,12 @@ QUERIES = {
         op2_main_text,
         op3_byte_bpe,
         op4_substring_dedup,
+        op5_quality_rules,
         op6_jaccard_join,
         op7_suffix_dedup,
         op8_sharding,
+        op9_toxicity,
+        op10_quality_classifier,
     )
 }
 ORACLES: dict[str, str] = {}
