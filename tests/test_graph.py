@@ -71,7 +71,7 @@ def hub_graph():
         {"store": "memory"},
         {"store": "table"},
         {"store": "table", "cut_every": 2},
-        {"store": "plan", "cut_every": 4},
+        {"store": "memory", "cut_every": 3},
         {"store": "table", "parts": 5},
         {"store": "table", "hub_edges": 1},
         {"store": "memory", "hub_edges": 1},
@@ -84,6 +84,35 @@ def test_variants_agree_with_brute_force(spark, hub_graph, how):
     assert got == pytest.approx(brute_force(hub_graph, 4))
 
 
+def test_a_lazy_plan_refuses_to_be_cut(spark, hub_graph):
+    with pytest.raises(ValueError):
+        pagerank(frame(spark, hub_graph), rounds=4, store="plan", cut_every=2)
+
+
+def test_any_number_of_parts_costs_one_exchange_per_round_and_no_sort(spark, hub_graph, monkeypatch):
+    texts = []
+    from varve.plans import pagerank as module
+
+    def spy(df, label, *more):
+        if label == "ranks":
+            texts.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, label, *more)
+
+    from varve.session import written
+
+    monkeypatch.setattr(module, "written", spy)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = ranks_of(pagerank(frame(spark, hub_graph), rounds=5, store="table", parts=150))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == pytest.approx(brute_force(hub_graph, 5))
+    assert spark.conf.get("spark.sql.shuffle.partitions") != "150"
+    (text,) = texts
+    assert text.count("Exchange hashpartitioning") == 5 and text.count(", 150)") >= 5
+    assert text.count("Sort [") == 0 and text.count("ShuffledHashJoin") == 4
+
+
 def test_hubs_are_few_and_found(spark, hub_graph):
     rows = graph.hubs(frame(spark, hub_graph), 8, at_least=1).collect()
     found = {r["src"]: r["out_degree"] for r in rows}

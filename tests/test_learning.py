@@ -149,3 +149,19 @@ def test_image_expressions(spark):
         assert np.allclose(got, padded[:, top:top + 2, left:left + 2])
     draws = [r[0] for r in spark.range(400).select(images.draw(9, 1, F.col("id").cast("string"))).collect()]
     assert set(draws) == set(range(9))
+
+
+def test_parameters_without_gradient_stay(spark):
+    params = spark.createDataFrame(
+        [("weight", 0, 2.0, 0.5), ("weight", 1, 3.0, 0.25)], "param string, pos int, value double, velocity double"
+    )
+    grads = spark.createDataFrame([("weight", 0, 0.1), ("loss", 0, 9.0)], "param string, pos int, value double")
+    rows = {(r["param"], r["pos"]): r for r in gradients.sgd_update(params, grads).collect()}
+    assert rows.keys() == {("weight", 0), ("weight", 1), ("loss", 0)}
+    assert (rows["weight", 1]["value"], rows["weight", 1]["velocity"]) == (3.0, 0.25)
+    assert rows["loss", 0]["value"] is None and rows["loss", 0]["gradient"] == 9.0
+
+
+def test_more_shards_than_batch_rows_are_refused():
+    with pytest.raises(ValueError):
+        sharding.batch_size(300, 256)

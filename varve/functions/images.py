@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the reference's image pipeline: per-channel mean and deviation
+# Fixed values of the image pipeline: per-channel mean and deviation
 # on the 0..255 scale, and the crop padding in pixels.
 CHANNEL_MEAN = (125.3, 123.0, 113.9)
 CHANNEL_STD = (63.0, 62.1, 66.7)

@@ -1,47 +1,45 @@
 """Ordered blocks: running totals, neighbours and positions without giant groups.
 
-A window over a group that holds a third of the table would sort that third in
-one task. Here rows are first cut into blocks of similar size along the order
-keys, so a large group spans several blocks. Each block is one task; what the
-earlier (or later) blocks of the same group add is a carry of at most one row
-per block.
-
-The cut points are sampled once and then fixed, which makes a row's block a
-function of its keys alone: any task can be run again and gets the same rows.
-The keys must identify a row, or rows that tie may swap places.
+A window over a group that holds a third of the table would sort that third in one task. Here rows first
+go through one range exchange on their whole keys, are sorted within it, and are written with their partition's number (the
+block) and their place in it. A large group spans several blocks; what the earlier (or later) blocks add to a
+block is a carry of at most two rows per block.
+
+Once written, a row's block is data: any task can be run again and gets the same rows. The keys must
+identify a row, or rows that tie may swap places.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varve.session import shuffle_partitions
+from varve.session import shuffle_partitions, written
 
 BLOCK = "_block"
-SAMPLES_PER_BLOCK = 40
-MAX_SAMPLES = 200_000
-MAX_POINT_CHARS = 256
-MIN_ROWS_PER_BLOCK = 1_000
-ROWS_PER_BLOCK = 5_000_000
-MAX_BLOCKS = 20_000
+PLACE = "_place"
+# Spark's increasing ids: the partition above, the row's place in it below this bit
+_PLACE_BITS = 33
 
 
 @dataclass(frozen=True)
 class Blocked:
-    """Rows tagged with ``_block``; blocks are contiguous along ``keys``."""
+    """Written rows with ``_block`` and ``_place``; blocks are contiguous along ``keys``, places along each block."""
 
     rows: DataFrame
     keys: tuple[str, ...]
     blocks: int
-    total: int
+
+    @cached_property
+    def total(self) -> int:
+        return self.rows.count()
 
     def placed(self) -> DataFrame:
-        """One block per partition, by a single exchange."""
+        """One block per partition."""
         return self.rows.repartitionById(self.blocks, BLOCK)
 
 
@@ -57,73 +55,26 @@ class Running:
     def over(self, column: Column) -> Column:
         return {"sum": F.sum, "max": F.max, "min": F.min}[self.how](column)
 
-    def merge(self, local: Column, carry: Column | None) -> Column:
+    def merge(self, local: Column, carry: Column) -> Column:
         if self.how == "sum":
-            parts = [local] if carry is None else [local, carry]
-            parts = [F.coalesce(part, F.lit(0)) for part in parts]
-            return parts[0] if carry is None else parts[0] + parts[1]
-        if carry is None:
-            return local
+            return F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0))
         return (F.greatest if self.how == "max" else F.least)(local, carry)
 
 
-def block_count(rows: int, shuffle_width: int) -> int:
-    wanted = max(shuffle_width, rows // ROWS_PER_BLOCK)
-    return max(1, min(wanted, rows // MIN_ROWS_PER_BLOCK + 1, MAX_BLOCKS))
-
+def in_blocks(df: DataFrame, keys: Sequence[str], *, blocks: int | None = None) -> Blocked:
+    """Rows in ``blocks`` ordered blocks along ``keys`` (ascending, nulls first); the session's shuffle width by default."""
+    wanted = blocks or shuffle_partitions(df.sparkSession)
+    return as_blocks(df.repartitionByRange(wanted, *keys).sortWithinPartitions(*keys), keys, wanted)
 
-def in_blocks(
-    df: DataFrame, keys: Sequence[str], *, rows: int | None = None, blocks: int | None = None
-) -> Blocked:
-    """Tag every row with its block along ``keys`` (ascending, nulls first).
 
-    Keys are of atomic types that survive a cast to text and back, so not binary.
-    ``df`` is read several times; write it first if it is costly to derive.
-    """
-    if any(df.schema[k].dataType.simpleString() == "binary" for k in keys):
-        raise ValueError("binary columns cannot be block keys")
-    spark = df.sparkSession
-    total = df.count() if rows is None else rows
-    wanted = blocks or block_count(total, shuffle_partitions(spark))
-    points: list = []
-    if wanted > 1 and total > 0:
-        fraction = min(1.0, wanted * SAMPLES_PER_BLOCK / total, MAX_SAMPLES / total)
-        sample = df.select(*keys).sample(fraction=fraction, seed=17).distinct().orderBy(*keys)
-        # About MAX_SAMPLES short texts reach the driver. A long text key is cut for the
-        # cut points only: any value can serve as a border, rows keep their whole keys.
-        shortened = [F.substring(F.col(k).cast("string"), 1, MAX_POINT_CHARS).alias(k) for k in keys]
-        keys_text = sample.select(*shortened).collect()
-        step = len(keys_text) / wanted
-        points = [keys_text[i] for i in sorted({int(step * n) for n in range(1, wanted)}) if i > 0]
-    if not points:
-        return Blocked(df.withColumn(BLOCK, F.lit(0)), tuple(keys), 1, total)
-    block = _points_at_or_below(_as_literal(points, df, keys), F.struct(*keys), len(points))
-    return Blocked(df.withColumn(BLOCK, block), tuple(keys), len(points) + 1, total)
-
-
-def _as_literal(points: Sequence, df: DataFrame, keys: Sequence[str]) -> Column:
-    """The cut points as one constant array, which the optimizer folds before any task runs."""
-    texts = ", ".join(f"`{k}`: string" for k in keys)
-    typed = ", ".join(f"`{k}`: {df.schema[k].dataType.simpleString()}" for k in keys)
-    rows = F.lit(json.dumps([p.asDict() for p in points]))
-    return F.sort_array(F.from_json(rows, f"array<struct<{texts}>>").cast(f"array<struct<{typed}>>"))
-
-
-def _points_at_or_below(points: Column, key: Column, count: int) -> Column:
-    """How many sorted cut points are <= key, by bisection."""
-    strides = F.array(*[F.lit(1 << bit) for bit in reversed(range(count.bit_length()))])
-
-    def search(bound: Column) -> Column:
-        return F.aggregate(
-            strides,
-            F.lit(0),
-            lambda low, stride: F.when(
-                F.get(points, low + stride - 1) <= bound, low + stride
-            ).otherwise(low),
-        )
-
-    # a lambda variable, so that the key is put together once and not in every step
-    return F.get(F.transform(F.array(key), search), 0)
+def as_blocks(ordered: DataFrame, keys: Sequence[str] = (), blocks: int | None = None) -> Blocked:
+    """An ordered frame's own partitions as blocks, written once."""
+    tagged = ordered.withColumn(PLACE, F.monotonically_increasing_id()).select(
+        *ordered.columns,
+        F.shiftright(PLACE, _PLACE_BITS).cast("int").alias(BLOCK),
+        F.col(PLACE).bitwiseAND((1 << _PLACE_BITS) - 1).alias(PLACE),
+    )
+    return Blocked(written(tagged, "blocks"), tuple(keys), blocks or shuffle_partitions(ordered.sparkSession))
 
 
 def running(blocked: Blocked, group: Sequence[str], measures: Sequence[Running]) -> DataFrame:
@@ -131,8 +82,8 @@ def running(blocked: Blocked, group: Sequence[str], measures: Sequence[Running])
 
     ``group`` must be a leading part of the keys (or empty for the whole table).
     """
-    order = _order(blocked, group)
-    within = Window.partitionBy(BLOCK, *group).orderBy(*order)
+    _check_group(blocked, group)
+    within = Window.partitionBy(BLOCK, *group).orderBy(PLACE)
     rows = blocked.placed().select(
         "*",
         *[
@@ -142,66 +93,72 @@ def running(blocked: Blocked, group: Sequence[str], measures: Sequence[Running])
             for m in measures
         ],
     )
-    kept = [c for c in rows.columns if c != BLOCK and c not in {m.name for m in measures}]
-    if blocked.blocks == 1:
-        return rows.select(*kept, *[m.merge(F.col(m.name), None).alias(m.name) for m in measures])
-
-    totals = blocked.rows.groupBy(BLOCK, *group).agg(
-        *[m.over(m.column).alias(m.name) for m in measures]
+    kept = [c for c in rows.columns if c not in (BLOCK, PLACE) and c not in {m.name for m in measures}]
+    totals = (
+        _at_borders(blocked, group).groupBy(BLOCK, *group).agg(*[m.over(m.column).alias(m.name) for m in measures])
     )
-    across = Window.partitionBy(*(group or [F.lit(0)])).orderBy(BLOCK)
-    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        BLOCK,
-        *group,
-        F.row_number().over(across).alias("_carry_order"),
-        *[m.over(F.col(m.name)).over(earlier).alias(m.name) for m in measures],
-    ).where("_carry_order > 1")
-    joined = _with_carry(rows, carry, group)
+    # at most two rows per block, whatever the table's size
+    earlier = Window.partitionBy(*(group or [F.lit(0)])).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(BLOCK, *group, *[m.over(F.col(m.name)).over(earlier).alias(m.name) for m in measures])
+    joined = rows.alias("r").join(F.broadcast(carry.alias("c")), _same(BLOCK, *group), "left")
     return joined.select(
         *[F.col(f"r.{c}") for c in kept],
         *[m.merge(F.col(f"r.{m.name}"), F.col(f"c.{m.name}")).alias(m.name) for m in measures],
     )
 
 
-def next_value(blocked: Blocked, group: Sequence[str], column: str, name: str) -> DataFrame:
-    """``column`` of the following row of the group; null on its last row."""
-    order = _order(blocked, group)
-    within = Window.partitionBy(BLOCK, *group).orderBy(*order)
-    ahead = F.struct(*order, F.col(column).alias("_value"))
-    rows = blocked.placed().withColumn("_ahead", F.lead(ahead).over(within))
-    kept = [c for c in rows.columns if c not in (BLOCK, "_ahead")]
-    if blocked.blocks == 1:
-        return rows.select(*kept, F.col("_ahead._value").alias(name))
-
-    firsts = blocked.rows.groupBy(BLOCK, *group).agg(F.min(ahead).alias("_ahead"))
-    across = Window.partitionBy(*(group or [F.lit(0)])).orderBy(BLOCK)
-    carry = firsts.select(
-        BLOCK, *group, F.lead("_ahead").over(across).alias("_ahead")
-    ).where("_ahead is not null")
-    joined = _with_carry(rows, carry, group)
-    found = F.coalesce(F.col("r._ahead"), F.col("c._ahead"))
-    return joined.select(*[F.col(f"r.{c}") for c in kept], found["_value"].alias(name))
+def _at_borders(blocked: Blocked, group: Sequence[str]) -> DataFrame:
+    """Rows of the first and the last group of each block, the only ones that can go on in another block."""
+    if not group:
+        return blocked.rows
+    key = F.struct(*group)
+    ends = blocked.rows.groupBy(BLOCK).agg(
+        F.array_distinct(F.array(F.min_by(key, PLACE), F.max_by(key, PLACE))).alias("_ends")
+    )
+    ends = ends.select(BLOCK, F.inline("_ends"))
+    return blocked.rows.alias("r").join(F.broadcast(ends.alias("c")), _same(BLOCK, *group), "left_semi")
 
 
-def _order(blocked: Blocked, group: Sequence[str]) -> list[str]:
+def _same(*names: str) -> Column:
+    match = F.lit(True)
+    for name in names:
+        match &= F.col(f"r.{name}").eqNullSafe(F.col(f"c.{name}"))
+    return match
+
+
+def _check_group(blocked: Blocked, group: Sequence[str]) -> None:
     if tuple(group) != blocked.keys[: len(group)]:
         raise ValueError(f"group {list(group)} must lead the block keys {list(blocked.keys)}")
-    return list(blocked.keys[len(group):])
 
 
-def _with_carry(rows: DataFrame, carry: DataFrame, group: Sequence[str]) -> DataFrame:
-    # Groups are contiguous over blocks, so at most one group crosses each block
-    # border: carry has fewer rows than there are blocks (<= MAX_BLOCKS).
-    match = F.col(f"r.{BLOCK}") == F.col(f"c.{BLOCK}")
-    for name in group:
-        match &= F.col(f"r.{name}").eqNullSafe(F.col(f"c.{name}"))
-    return rows.alias("r").join(F.broadcast(carry.alias("c")), match, "left")
+def next_value(blocked: Blocked, group: Sequence[str], column: str, name: str) -> DataFrame:
+    """``column`` of the following row of the group; null on its last row."""
+    _check_group(blocked, group)
+    within = Window.partitionBy(BLOCK, *group).orderBy(PLACE)
+    value = F.struct(F.col(column).alias("_value"))
+    rows = blocked.placed().withColumn("_ahead", F.lead(value).over(within))
+    kept = [c for c in rows.columns if c not in (BLOCK, PLACE, "_ahead")]
+    # a group goes on, if at all, in the first row of the next block: one row per block
+    heads = blocked.rows.where(F.col(PLACE) == 0).select(BLOCK, F.struct(*group, value.alias("_ahead")).alias("_head"))
+    carry = heads.select(
+        F.lag(BLOCK).over(Window.orderBy(BLOCK)).alias(BLOCK), *[F.col(f"_head.{c}") for c in (*group, "_ahead")]
+    )
+    joined = rows.alias("r").join(F.broadcast(carry.alias("c")), _same(BLOCK, *group), "left")
+    found = F.coalesce(F.col("r._ahead"), F.col("c._ahead"))
+    return joined.select(*[F.col(f"r.{c}") for c in kept], found["_value"].alias(name))
+
+
+def positions(blocked: Blocked, name: str = "position") -> DataFrame:
+    """Every row with its 0-based position: the block's offset and the place in it, so no exchange of rows."""
+    sizes = blocked.rows.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(BLOCK, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    kept = [c for c in blocked.rows.columns if c not in (BLOCK, PLACE, name)]
+    return blocked.rows.join(F.broadcast(offsets), BLOCK).select(
+        *kept, (F.col("_offset") + F.col(PLACE)).alias(name)
+    )
 
 
-def global_position(
-    df: DataFrame, keys: Sequence[str], *, name: str = "position", rows: int | None = None
-) -> DataFrame:
+def global_position(df: DataFrame, keys: Sequence[str], *, name: str = "position") -> DataFrame:
     """0-based position of every row in the order of ``keys``."""
-    blocked = in_blocks(df, keys, rows=rows)
-    return running(blocked, (), [Running(name, "sum", F.lit(1), before=True)])
+    return positions(in_blocks(df, keys), name)

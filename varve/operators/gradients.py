@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed values of the reference's optimizer.
+# Fixed values of the optimizer.
 LEARNING_RATE = 0.1
 MOMENTUM = 0.9
 WEIGHT_DECAY = 1e-4
@@ -138,11 +138,6 @@ def shard_gradients(examples: DataFrame, model: LinearModel) -> DataFrame:
     return sums.groupBy("shard", "param", "pos").agg(value.alias("value"))
 
 
-def gradient_mean(gradients: DataFrame) -> DataFrame:
-    """Gather: element-wise mean over the shards that are there."""
-    return gradients.groupBy("param", "pos").agg(F.avg("value").alias("value"))
-
-
 def gradient_mean_gather(gradients: DataFrame) -> DataFrame:
     """Gather, average, and hand the mean back to every shard.
 
@@ -167,11 +162,13 @@ def sgd_update(
     """New (param, pos, value, velocity) from params, their velocity and the mean gradient.
 
     ``gradient`` comes along. Gradient rows that belong to no parameter, such as
-    the loss, are kept with neither value nor velocity.
+    the loss, are kept with neither value nor velocity. A parameter without a
+    gradient stays as it is.
     """
     grad = gradients.select("param", "pos", F.col("value").alias("gradient"))
-    joined = grad.join(params, ["param", "pos"], "left")
+    joined = grad.join(params, ["param", "pos"], "full")
+    moving = F.col("gradient").isNotNull()
     velocity = F.col("velocity") * momentum + F.col("gradient") + F.col("value") * weight_decay
-    return joined.withColumn("velocity", velocity).select(
-        "param", "pos", (F.col("value") - F.col("velocity") * lr).alias("value"), "velocity", "gradient"
-    )
+    stepped = joined.withColumn("velocity", F.when(moving, velocity).otherwise(F.col("velocity")))
+    value = F.when(moving, F.col("value") - F.col("velocity") * lr).otherwise(F.col("value"))
+    return stepped.select("param", "pos", value.alias("value"), "velocity", "gradient")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varve.operators.blocks import Running, in_blocks, running
-from varve.session import shuffle_partitions, written
+from varve.session import shuffle_partitions
 
 HUB_EDGES = 1_000_000
 NEIGHBORS_PER_ROW = 10_000
@@ -25,8 +25,7 @@ def adjacency_list(edges: DataFrame, per_row: int = NEIGHBORS_PER_ROW) -> DataFr
     A node of more than ``per_row`` distinct targets gets several parts, numbered
     from 0, so no single row has to hold a hub.
     """
-    # written, because cutting blocks reads it several times
-    folded = written(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies")), "folded")
+    folded = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
     ranked = running(
         in_blocks(folded, ["src", "dst"]), ["src"], [Running("_nth", "sum", F.lit(1), before=True)]
     )
@@ -96,12 +95,13 @@ def in_slots(ranks: DataFrame, hub_rows: DataFrame) -> DataFrame:
 def spread(shares: DataFrame, ranks: DataFrame) -> DataFrame:
     """(dst, amount) rows: every edge hands on its share of the source's rank.
 
-    Ranks with slots meet the edges of their slot, others all edges of the node.
+    Ranks with slots meet the edges of their slot, others all edges of the node. The ranks, one row per
+    node, become the hash table; the edges stream past it unsorted.
     """
     match = shares.src == ranks.node
     if "slot" in ranks.columns:
         match &= shares.slot == ranks.slot
-    return shares.join(ranks, match).select("dst", (F.col("share") * F.col("rank")).alias("amount"))
+    return shares.join(ranks.hint("shuffle_hash"), match).select("dst", (F.col("share") * F.col("rank")).alias("amount"))
 
 
 def gathered(amounts: DataFrame, name: str, shape=lambda total: total) -> DataFrame:
@@ -117,8 +117,11 @@ def first_ranks(edges: DataFrame) -> DataFrame:
 
 def rank_contributions(edges: DataFrame, ranks: DataFrame) -> DataFrame:
     """What each node receives in one round from ``ranks(node, rank)``."""
-    parts = shuffle_partitions(edges.sparkSession)
-    hub_rows = hubs(edges, parts)
+    spark = edges.sparkSession
+    parts = shuffle_partitions(spark)
+    edges = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    hub_list = hubs(edges, parts)
+    hub_rows = spark.createDataFrame(hub_list.collect(), hub_list.schema)  # fewer than `parts` rows
     regular = edges.join(F.broadcast(hub_rows), "src", "left_anti")
     shares = edge_shares(regular, parts, slotted=True).unionByName(hub_shares(edges, hub_rows))
     return gathered(spread(shares, in_slots(ranks, hub_rows)), "contribution")

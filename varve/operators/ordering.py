@@ -7,68 +7,45 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varve.operators.blocks import Running, global_position, in_blocks, running
-from varve.session import written
+from varve.operators.blocks import global_position
 
-COPIES_PER_ROW = 100_000
+_TIE = "_tie"
+
+
+def _ordered_by(df: DataFrame, keys: Sequence[str], unique: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The frame and the columns that order it, down to single rows.
+
+    Without ``unique`` columns all others are tie-breakers, and last an id that is fixed per input row: exact
+    copies are interchangeable, but with it even one row that fills a third of the table is spread.
+    """
+    if unique:
+        return df, [*keys, *unique]
+    rest = [f.name for f in df.schema.fields if f.name not in keys and "map<" not in f.dataType.simpleString()]
+    return df.withColumn(_TIE, F.monotonically_increasing_id()), [*keys, *rest, _TIE]
 
 
 def sort_rows(df: DataFrame, keys: Sequence[str], unique: Sequence[str] = ()) -> DataFrame:
-    """Ascending global sort on ``keys``, nulls first.
+    """Ascending global sort on ``keys``, nulls first, in one range exchange.
 
     ``unique`` names columns that tell rows with equal keys apart. They join the
-    range partitioning, so one frequent key is spread over many partitions. With
-    no such columns, exact copies are counted first and written out again after
-    the sort.
+    range partitioning, so one frequent key is spread over many partitions.
     """
-    if unique:
-        return df.orderBy(*keys, *unique)
-    rest = [c for c in df.columns if c not in keys]
-    ordered = fold_copies(df).orderBy(*keys, *rest, "_piece")
-    return unfold_copies(ordered)
+    tied, order = _ordered_by(df, keys, unique)
+    return tied.orderBy(*order).drop(_TIE)
 
 
 def sort_position(
     df: DataFrame, keys: Sequence[str], unique: Sequence[str] = (), name: str = "position"
 ) -> DataFrame:
     """Every row with its 0-based position in the order of :func:`sort_rows`."""
-    if unique:
-        return global_position(df, [*keys, *unique], name=name)
-    rest = [c for c in df.columns if c not in keys]
-    # written, because cutting blocks reads it several times
-    folded = written(fold_copies(df), "folded")
-    blocked = in_blocks(folded, [*keys, *rest, "_piece"])
-    placed = running(blocked, (), [Running("_start", "sum", F.col("_copies"), before=True)])
-    place = F.explode(F.sequence(F.col("_start"), F.col("_start") + F.col("_copies") - 1))
-    return placed.select(*df.columns, place.alias(name))
-
-
-def fold_copies(df: DataFrame, per_row: int = COPIES_PER_ROW) -> DataFrame:
-    """Exact copies as (row, _piece, _copies), no piece above ``per_row`` copies.
-
-    Counting combines copies before the shuffle. Pieces let a sort spread even a
-    single row that fills a third of the table.
-    """
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    last = F.floor((F.col("_n") - 1) / per_row)
-    return counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).select(
-        *df.columns,
-        "_piece",
-        F.least(F.lit(per_row).cast("bigint"), F.col("_n") - F.col("_piece") * per_row).alias("_copies"),
-    )
-
-
-def unfold_copies(folded: DataFrame) -> DataFrame:
-    kept = [c for c in folded.columns if c not in ("_piece", "_copies", "_copy")]
-    each = F.explode(F.array_repeat(F.lit(True), F.col("_copies").cast("int")))
-    return folded.withColumn("_copy", each).select(*kept)
+    tied, order = _ordered_by(df, keys, unique)
+    return global_position(tied, order, name=name).drop(_TIE)
 
 
 def keyed_lines(lines: DataFrame, index: int, header: str | None = None, sep: str = ",") -> DataFrame:
     """(sort_key, value): field ``index`` of each raw line, split on every separator.
 
-    The reference data flow sorts the header among the rows; pass ``header`` to
-    leave it out.
+    A header is sorted among the rows; pass ``header`` to leave it out.
     """
     if header is not None:
         lines = lines.where(F.col("value") != F.lit(header))

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.functions.text import djb2
-from varve.operators.graph import out_degree
+from varve.operators.graph import adjacency_list, out_degree
 
-# Fixed partition count of the reference's partitioned run.
+# Fixed value: how many partitions nodes are placed on.
 WORD_PARTITIONS = 150
 
 
@@ -27,3 +27,12 @@ def nodes_by_word_hash(edges: DataFrame, parts: int = WORD_PARTITIONS) -> DataFr
     Sources are counted before they move, so a hub costs its partition one row.
     """
     return place_by_word_hash(out_degree(edges), "src", parts)
+
+
+def adjacency_by_word_hash(edges: DataFrame, parts: int = WORD_PARTITIONS, **how) -> DataFrame:
+    """Adjacency lists placed by word hash: (src, list_part, neighbors, part).
+
+    Lists come in numbered parts of bounded length, so a hub moves as several rows, none of them large.
+    """
+    lists = adjacency_list(edges, **how).withColumnRenamed("part", "list_part")
+    return place_by_word_hash(lists, "src", parts)

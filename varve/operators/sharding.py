@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varve.operators.blocks import Running, global_position, in_blocks, running
+from varve.operators.blocks import global_position, in_blocks, positions
 
-# Fixed values of the reference's training runs.
+# Fixed values of the training runs.
 GLOBAL_BATCH = 256
 SEED = 314
 
@@ -32,7 +32,7 @@ def assign_shards(examples: DataFrame, shards: int, seed: int = SEED, epoch: int
     blocked = in_blocks(drawn, ["_draw", "id"])
     total = blocked.total
     padded = -(-total // shards) * shards
-    ordered = running(blocked, (), [Running("_position", "sum", F.lit(1), before=True)])
+    ordered = positions(blocked, "_position")
     if total:
         first = F.col("_position").cast("bigint")
         dealt = F.explode(F.sequence(first, F.lit(padded - 1).cast("bigint"), F.lit(total).cast("bigint")))
@@ -59,6 +59,8 @@ def assign_batches(
 
 
 def batch_size(shards: int, global_batch: int = GLOBAL_BATCH) -> int:
+    if not 0 < shards <= global_batch:
+        raise ValueError(f"{shards} shards need a global batch of at least as many rows, not {global_batch}")
     return global_batch // shards
 
 

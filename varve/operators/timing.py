@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from varve.operators.blocks import Running, in_blocks, running
 
 # The phases in report order, the tick mark, the warm-up, and the
-# layouts of the two report lines.
+# layouts of the report lines.
 PHASES = ("forward", "backward", "optimize", "communication")
 TICK = "tick"
 SKIP_INTERVALS = 1
 SHORT_LINE = "%s times total: %f max: %f  min: %f "
 LONG_LINE = "%s times total: %f max: %f  min: %f avg per stage time: %f avg round time: %f"
+INTERVAL_LINE = "iteration times total: %f max: %f  min: %f average:%f"
+AVERAGE_LINE = "iteration average time: %f"
 
 
 def micros(ts: str) -> Column:
@@ -33,10 +35,11 @@ def micros(ts: str) -> Column:
 def phase_durations(marks: DataFrame) -> DataFrame:
     """Durations from ``(run, phase, us, event_id, edge)`` with edges 'start' and 'end', ``us`` in microseconds.
 
-    Each end is measured from the latest start of its phase before it.
+    Each end is measured from the latest start of its phase before it; of one event, the start comes first
+    even when both fall on the same microsecond.
     """
     started = running(
-        in_blocks(marks, ["run", "phase", "us", "event_id", "edge"]),
+        in_blocks(marks.withColumn("_ends", F.col("edge") == "end"), ["run", "phase", "us", "event_id", "_ends"]),
         ["run", "phase"],
         [Running("started", "max", F.when(F.col("edge") == "start", F.col("us")), before=True)],
     )
@@ -133,13 +136,24 @@ def phase_summary(tagged: DataFrame, skip: int = SKIP_INTERVALS) -> DataFrame:
     return wide.select("run", F.inline("stats"))
 
 
-def phase_lines(summary: DataFrame, averages: bool = True) -> DataFrame:
-    """One text line per run and phase."""
-    columns = ["phase", "total", "longest", "shortest"]
-    if averages:
-        columns += ["average_interval", "average_call"]
-    layout = LONG_LINE if averages else SHORT_LINE
-    return summary.select("run", "phase", F.format_string(layout, *[F.col(c) for c in columns]).alias("line"))
+def phase_lines(summary: DataFrame, intervals: DataFrame, skip: int = SKIP_INTERVALS) -> DataFrame:
+    """One text line per run and phase, as the run's intervals after the warm-up allow.
+
+    ``intervals`` is :func:`iteration_summary`. A run prints long lines if it has more than ``skip`` of them, short
+    lines if it has any, and none otherwise.
+    """
+    columns = [F.col(c) for c in ("phase", "total", "longest", "shortest", "average_interval", "average_call")]
+    line = F.when(F.col("intervals") > skip, F.format_string(LONG_LINE, *columns)).otherwise(
+        F.format_string(SHORT_LINE, *columns[:4])
+    )
+    return summary.join(intervals.select("run", "intervals"), "run").select("run", "phase", line.alias("line"))
+
+
+def interval_lines(intervals: DataFrame) -> DataFrame:
+    """The two lines of each run's interval report; ``intervals`` is :func:`iteration_summary`."""
+    figures = F.format_string(INTERVAL_LINE, "total", "longest", "shortest", "average")
+    lines = F.array(figures, F.format_string(AVERAGE_LINE, "average"))
+    return intervals.select("run", F.posexplode(lines).alias("number", "line"))
 
 
 def epoch_durations(log: DataFrame) -> DataFrame:

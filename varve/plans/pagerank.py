@@ -17,7 +17,7 @@ from varve.operators.graph import (
     in_slots,
     spread,
 )
-from varve.session import shuffle_partitions, written, written_bucketed
+from varve.session import shuffle_partitions, shuffle_width, written, written_bucketed
 
 # Rounds, damping and the constant every ranked node gets.
 ROUNDS = 10
@@ -46,20 +46,31 @@ def pagerank(
     The last two write the parsed edges once, so that the source is read in one
     pass (``landed`` says they are a table already), and keep edges and ranks co-partitioned, which leaves one exchange per
     round. ``cut_every`` writes the ranks to a table every so many rounds, so that
-    lost executors cost at most that many rounds.
+    lost executors cost at most that many rounds; a plan that is one lazy query can't be cut.
+
+    ``parts`` is the number of partitions of edges and ranks, the session's shuffle width by default. With another
+    number the rounds are planned at that width and their result is written.
 
     Sources with more edges than a partition's fair share are dealt to slots by
     target, and their few ranks are repeated per slot. The ranks then need an
     exchange of their own in each round; the edges stay where they are.
     """
+    if cut_every and store == "plan":
+        raise ValueError("store='plan' is one lazy query and can't be cut; take 'table' or 'memory'")
     spark = edges.sparkSession
-    width = shuffle_partitions(spark)
-    parts = parts or width
     # Both ends are needed. Said here, the rounds need no null filters of their own
     # and share one edge exchange even when everything stays in the plan.
     edges = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    if cut_every and store == "plan":
-        store = "table"
+    how = (rounds, store, cut_every, hub_edges, landed)
+    if parts is None or parts == shuffle_partitions(spark):
+        return _ranked(edges, shuffle_partitions(spark), *how)
+    with shuffle_width(spark, parts):
+        return written(_ranked(edges, parts, *how), "ranks")
+
+
+def _ranked(edges, parts, rounds, store, cut_every, hub_edges, landed) -> DataFrame:
+    """All rounds, where shuffles have ``parts`` partitions."""
+    spark = edges.sparkSession
     if store != "plan" and not landed:
         edges = written(edges, "edges")
     hub_list = hubs(edges, parts, hub_edges)
@@ -67,21 +78,21 @@ def pagerank(
     hub_list = hub_list.collect()  # fewer than `parts` rows
 
     if hub_list:
-        store = "table"
         hub_rows = spark.createDataFrame(hub_list, hub_schema)
         regular = edges.join(F.broadcast(hub_rows), "src", "left_anti")
         shares = edge_shares(regular, parts, slotted=True).unionByName(hub_shares(edges, hub_rows))
-        shares = written_bucketed(shares, "shares", parts, "src", "slot")
-        join_keys = ["node", "slot"]
+        keys = ["src", "slot"]
+        if store == "memory":
+            shares = shares.repartition(parts, *keys)
     else:
         # a plan repeats the fold in every round, a stored edge set pays for it once
         shares = edge_shares(edges, parts, fold=store != "plan")
-        join_keys = ["node"]
-        if store == "memory":
-            shares = shares.persist(StorageLevel.MEMORY_AND_DISK)
-            shares.count()
-        elif store == "table":
-            shares = written_bucketed(shares, "shares", parts, "src")
+        keys = ["src"]
+    if store == "memory":
+        shares = shares.persist(StorageLevel.MEMORY_AND_DISK)
+        shares.count()
+    elif store == "table":
+        shares = written_bucketed(shares, "shares", parts, *keys)
 
     # every source still has rank 1.0 in the first round: no join needed
     amounts = shares.select("dst", F.col("share").alias("amount"))
@@ -90,12 +101,8 @@ def pagerank(
         if number == rounds:
             break
         if cut_every and number % cut_every == 0:
-            ranks = written_bucketed(ranks, "ranks", width, "node")
-        if hub_list:
-            ranks = in_slots(ranks, hub_rows)
-        if parts != width:
-            ranks = ranks.repartition(parts, *join_keys)
-        amounts = spread(shares, ranks)
+            ranks = written_bucketed(ranks, "ranks", parts, "node")
+        amounts = spread(shares, in_slots(ranks, hub_rows) if hub_list else ranks)
 
     if store == "memory":
         ranks = written(ranks, "ranks")

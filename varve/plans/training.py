@@ -18,7 +18,8 @@ from varve.session import written
 REPORT_EVERY = 20
 PROGRESS_LINE = "Train Epoch: %d [%d/%d (%.0f%%)]\tLoss: %.6f"
 
-SLABS = 1_000
+#: Rows that a folder of neighbouring batches holds, about; a step reads one folder.
+FOLDER_ROWS = 100_000
 
 PROGRESS_SCHEMA = (
     "epoch int, batch bigint, rows_seen bigint, total bigint, percent double, loss double"
@@ -61,18 +62,20 @@ def train_softmax(
     schema = "param string, pos int, value double, velocity double"
     total = examples.count()
     steps = -(-(-(-total // shards)) // batch_size(shards, global_batch))
-    per_slab = -(-steps // SLABS) or 1
+    per_folder = max(1, FOLDER_ROWS // (batch_size(shards, global_batch) * shards))
     progress = []
 
     for epoch in range(epochs):
         batched = assign_batches(examples, shards, global_batch, seed, epoch)
-        slab = F.floor(F.col("batch") / per_slab).cast("int").alias("slab")
+        slab = F.floor(F.col("batch") / per_folder).cast("int").alias("slab")
         table = written(batched.select("batch", "shard", "features", "label", slab), "batches", "slab")
         for step in range(steps):
-            mine = (F.col("slab") == step // per_slab) & (F.col("batch") == step)
+            mine = (F.col("slab") == step // per_folder) & (F.col("batch") == step)
             local = G.shard_gradients(table.where(mine), model)
             if sync == "gather":
-                mean = G.gradient_mean(local)
+                # every shard has the mean back; they are equal, so any one's copy makes the step
+                handed = G.gradient_mean_gather(local)
+                mean = handed.groupBy("param", "pos").agg(F.min_by("value", "shard").alias("value"))
             else:
                 mean = G.gradient_mean_allreduce(local, shards)
             stepped = G.sgd_update(

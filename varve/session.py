@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,14 +37,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread_out(df: DataFrame) -> DataFrame:
-    """Deal a scan of fewer splits than cores evenly over the cores.
-
-    Such a scan is small, or coarse, and would keep the work on it in a few tasks.
-    Anything larger is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+@contextmanager
+def shuffle_width(spark: SparkSession, width: int):
+    """Shuffles planned inside have ``width`` partitions; frames must be written inside to be so planned."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

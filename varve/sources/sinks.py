@@ -17,15 +17,23 @@ RANK_TSV_SEPARATOR = "\t"
 MICROS_LAYOUT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def plain_number(column: str):
+    """A double as text without an exponent from 1e7 on, where the text of a cast has one; up to 1e16."""
+    text = F.col(column).cast("string")
+    # the shortest digits that give the number back, with zeros behind them cut down to one
+    digits = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.abs(F.col(column)).between(1e7, 1e16), digits).otherwise(text)
+
+
 def write_rank_tuples(ranks: DataFrame, path: str) -> None:
     """One ``('node', rank)`` line per node."""
-    node, rank = F.col("node").cast("string"), F.col("rank").cast("string")
+    node, rank = F.col("node").cast("string"), plain_number("rank")
     ranks.select(F.format_string(RANK_TUPLE_LAYOUT, node, rank).alias("value")).write.text(path)
 
 
 def write_rank_tsv(ranks: DataFrame, path: str) -> None:
     """One ``node<TAB>rank`` line per node."""
-    node, rank = F.col("node").cast("string"), F.col("rank").cast("string")
+    node, rank = F.col("node").cast("string"), plain_number("rank")
     ranks.select(F.concat_ws(RANK_TSV_SEPARATOR, node, rank).alias("value")).write.text(path)
 
 

@@ -51,7 +51,7 @@ def pagerank_10_links(spark, sf_dir):
 
 
 def pagerank_10_partitioned(spark, sf_dir):
-    return _rounded(pagerank(_links(spark, sf_dir, "field"), store="table"))
+    return _rounded(pagerank(_links(spark, sf_dir, "field"), store="table", parts=150))
 
 
 def pagerank_10_persisted(spark, sf_dir):
@@ -63,7 +63,7 @@ def pagerank_10_checkpointed(spark, sf_dir):
 
 
 def pagerank_10_hubs(spark, sf_dir):
-    return _rounded(pagerank(I.flag_edges(spark, sf_dir), hub_edges=1_000, landed=True))
+    return _rounded(pagerank(I.flag_edges(spark, sf_dir), hub_edges=1_000))
 
 
 def pagerank_acyclic(spark, sf_dir):
@@ -122,13 +122,30 @@ def rank_contributions(spark, sf_dir):
     return _rounded(graph.rank_contributions(edges, graph.first_ranks(edges)), "contribution")
 
 
+def adjacency_by_djb2(spark, sf_dir):
+    lists = partitioning.adjacency_by_word_hash(_links(spark, sf_dir, "field"), per_row=20)
+    neighbors = F.array_join(F.transform("neighbors", lambda n: F.concat_ws("x", n["dst"], n["copies"].cast("string"))), " ")
+    return lists.select(
+        "src", "list_part", neighbors.alias("neighbors"), "part", F.spark_partition_id().alias("placed_on")
+    )
+
+
+def sink_rank_text(spark, sf_dir):
+    """Raw rank lines of large ranks: order prices in hundredths, with halves."""
+    path = fresh_path(spark, "ranks")
+    orders = I.table(spark, sf_dir, "orders")
+    rank = F.round(F.col("o_totalprice") * 100) + F.when(F.col("o_orderkey") % 2 == 0, 0.5).otherwise(0.0)
+    sinks.write_rank_tsv(orders.select(F.col("o_orderkey").alias("node"), rank.alias("rank")), path)
+    return scan_lines(spark, path)
+
+
 def source_only_nodes(spark, sf_dir):
     return graph.source_only_nodes(I.order_edges(spark, sf_dir))
 
 
 def sink_rank_tuple(spark, sf_dir):
     path = fresh_path(spark, "ranks")
-    sinks.write_rank_tuples(pagerank(I.handoff_edges(spark, sf_dir), rounds=2), path)
+    sinks.write_rank_tuples(pagerank(I.handoff_edges(spark, sf_dir)), path)
     line = F.col("value")
     found = F.regexp_extract(line, r"^\('(.*)', ([^ ]+)\)$", 1)
     rank = F.regexp_extract(line, r"^\('(.*)', ([^ ]+)\)$", 2)
@@ -137,7 +154,7 @@ def sink_rank_tuple(spark, sf_dir):
 
 def sink_rank_tsv(spark, sf_dir):
     path = fresh_path(spark, "ranks")
-    sinks.write_rank_tsv(pagerank(I.handoff_edges(spark, sf_dir), rounds=2), path)
+    sinks.write_rank_tsv(pagerank(I.handoff_edges(spark, sf_dir)), path)
     pair = F.split("value", "\t", 2)
     return scan_lines(spark, path).select(
         F.get(pair, 0).alias("node"), F.round(F.get(pair, 1).cast("double"), 6).alias("rank")
@@ -148,7 +165,7 @@ def rank_link_files(spark, sf_dir):
     """Link files in, rank lines out, rank lines read back."""
     links, ranks = fresh_path(spark, "links"), fresh_path(spark, "ranks")
     I.link_lines(spark, sf_dir).write.text(links)
-    rank_links(spark, f"{links}/part-*", ranks, "field", "tsv", rounds=3)
+    rank_links(spark, f"{links}/part-*", ranks, "field", "tsv")
     pair = F.split("value", "\t")
     node = F.array_join(F.slice(pair, 1, F.size(pair) - 1), "\t")
     return scan_lines(spark, ranks).select(
@@ -181,12 +198,13 @@ QUERIES = {
         source_only_nodes,
         sink_rank_tuple,
         sink_rank_tsv,
+        sink_rank_text,
+        adjacency_by_djb2,
     )
 }
 
 _LINE_RANKS = pagerank_sql(I.LINK_LINES_SQL, "links_line", 10)
-_TWO_ROUNDS = pagerank_sql(I.HANDOFF_SQL, "handoff", 2)
-_TWO_ROUNDS_TEXT = f"SELECT CAST(node AS VARCHAR) AS node, rank FROM ({_TWO_ROUNDS})"
+_RANKS_TEXT = f"SELECT CAST(node AS VARCHAR) AS node, rank FROM ({pagerank_sql(I.HANDOFF_SQL, 'handoff', 10)})"
 
 
 def _djb2_sql(column: str) -> str:
@@ -196,7 +214,7 @@ def _djb2_sql(column: str) -> str:
 
 
 ORACLES = {
-    "rank_link_files": pagerank_sql(I.LINK_LINES_SQL, "links_field", 3),
+    "rank_link_files": pagerank_sql(I.LINK_LINES_SQL, "links_field", 10),
     "pagerank_1": pagerank_sql(I.HANDOFF_SQL, "handoff", 1),
     "pagerank_10": pagerank_sql(I.HANDOFF_SQL, "handoff", 10),
     "pagerank_10_links": _LINE_RANKS,
@@ -224,8 +242,15 @@ SELECT src, part, string_agg(dst || 'x' || copies, ' ' ORDER BY dst) AS neighbor
 deg AS (SELECT src, count(*) AS n FROM links_line GROUP BY src)
 SELECT dst AS node, round(sum(1.0::DOUBLE / n), 6) AS contribution
 FROM links_line JOIN deg USING (src) GROUP BY dst""",
+    "adjacency_by_djb2": f"""WITH {I.LINK_LINES_SQL},
+folded AS (SELECT src, dst, count(*) AS copies FROM links_field GROUP BY src, dst),
+ranked AS (SELECT *, CAST((row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 20 AS BIGINT) AS list_part FROM folded),
+lists AS (SELECT src, list_part, string_agg(dst || 'x' || copies, ' ' ORDER BY dst) AS neighbors FROM ranked GROUP BY ALL)
+SELECT *, CAST({_djb2_sql('src')} % 150 AS INTEGER) AS part, CAST({_djb2_sql('src')} % 150 AS INTEGER) AS placed_on FROM lists""",
+    "sink_rank_text": """SELECT o_orderkey || chr(9) || CAST(round(o_totalprice * 100) + CASE WHEN o_orderkey % 2 = 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS VARCHAR)
+AS value FROM orders""",
     "source_only_nodes": f"""WITH {I.ORDER_EDGES_SQL}
 SELECT DISTINCT src AS node, 0.0::DOUBLE AS rank FROM order_edges WHERE src NOT IN (SELECT dst FROM order_edges)""",
-    "sink_rank_tuple": _TWO_ROUNDS_TEXT,
-    "sink_rank_tsv": _TWO_ROUNDS_TEXT,
+    "sink_rank_tuple": _RANKS_TEXT,
+    "sink_rank_tsv": _RANKS_TEXT,
 }

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from varve.operators.blocks import in_blocks, next_value
 from varve.operators.sharding import split_of
-from varve.session import spread_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +33,7 @@ handoff AS (
 
 def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two link lines per line item, part <-> supplier, with namespaces, stray tabs and missing tabs."""
-    items = spread_out(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber"))
+    items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber")
     part = (
         F.when(F.col("l_partkey") % 10 == 0, "Category:Part_")
         .when(F.col("l_partkey") % 10 == 1, "Talk:Part_")
@@ -76,7 +75,7 @@ links_field AS (
 
 def flag_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """return flag <-> supplier: three nodes hold half of all edges as sources."""
-    items = spread_out(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_suppkey"))
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_suppkey")
     flag = F.col("l_returnflag")
     supplier = F.col("l_suppkey").cast("string")
     both = F.array(

@@ -121,6 +121,17 @@ def sgd_update(spark, sf_dir):
     )
 
 
+def sgd_update_sparse(spark, sf_dir):
+    """A step in which only every other place of a parameter has a gradient."""
+    params = spark.createDataFrame(probe_model().to_rows(), "param string, pos int, value double")
+    params = params.withColumn("velocity", F.col("pos") % 5 / 100)
+    mean = gradients.gradient_mean_allreduce(_model_rows(_shard_gradients(spark, sf_dir)), SHARDS)
+    updated = gradients.sgd_update(params, mean.where("pos % 2 = 0"))
+    return updated.select(
+        "param", "pos", F.round("value", 6).alias("value"), F.round("velocity", 6).alias("velocity")
+    )
+
+
 def _training(spark: SparkSession, sf_dir: str, **how):
     train = I.train_examples(spark, sf_dir)
     return training.train_softmax(train, I.CLASSES, I.FEATURES, shards=SHARDS, **how)
@@ -201,6 +212,7 @@ QUERIES = {
         gradient_mean_gather,
         gradient_mean_allreduce,
         sgd_update,
+        sgd_update_sparse,
         train_softmax_gather,
         train_softmax,
         training_progress,
@@ -217,7 +229,7 @@ QUERIES = {
 
 SHARDED_SQL = f"""{I.EXAMPLES_SQL},
 drawn AS (
-  SELECT id, x, label, row_number() OVER (ORDER BY md5('{sharding.SEED}:0:' || id), id) - 1 AS p FROM train),
+  SELECT id, x, label, row_number() OVER (ORDER BY md5('314:0:' || id), id) - 1 AS p FROM train),
 sized AS (SELECT count(*) AS n, CAST(ceil(count(*) / {SHARDS}.0) AS BIGINT) * {SHARDS} AS padded FROM train),
 dealt AS (
   SELECT id, x, label, p AS position FROM drawn
@@ -280,10 +292,10 @@ state AS (
     list_transform(range({width}), lambda j: 0.0::DOUBLE) AS v, 0.0::DOUBLE AS loss, CAST(0 AS BIGINT) AS n_rows
   FROM range({I.CLASSES})
   UNION ALL
-  SELECT step, class, list_transform(list_zip(w, v2), lambda z: z[1] - {gradients.LEARNING_RATE} * z[2]), v2, loss, n_rows
+  SELECT step, class, list_transform(list_zip(w, v2), lambda z: z[1] - 0.1::DOUBLE * z[2]), v2, loss, n_rows
   FROM (
     SELECT step + 1 AS step, class, w, loss, n_rows,
-      list_transform(list_zip(v, g, w), lambda z: {gradients.MOMENTUM} * z[1] + z[2] + {gradients.WEIGHT_DECAY} * z[3]) AS v2
+      list_transform(list_zip(v, g, w), lambda z: 0.9::DOUBLE * z[1] + z[2] + 0.0001::DOUBLE * z[3]) AS v2
     FROM (
       SELECT step, class, any_value(w) AS w, any_value(v) AS v, list(g ORDER BY j) AS g,
         any_value(loss) AS loss, any_value(n_rows) AS n_rows
@@ -375,6 +387,17 @@ moved AS (
     0.9::DOUBLE * (p.pos % 5 / 100.0::DOUBLE) + m.value + 0.0001::DOUBLE * p.value AS velocity
   FROM params p JOIN mean m ON m.param = p.param AND m.pos = p.pos)
 SELECT param, pos, round(value - 0.1::DOUBLE * velocity, 6) + 0.0 AS value, round(velocity, 6) + 0.0 AS velocity FROM moved""",
+    "sgd_update_sparse": f"""WITH {GRADIENTS_SQL},
+params AS (
+  SELECT 'weight' AS param, CAST(class * {I.FEATURES} + j AS INTEGER) AS pos, w[j + 1] AS value FROM model, range({I.FEATURES}) f(j)
+  UNION ALL SELECT 'bias', class, b FROM model),
+moved AS (
+  SELECT p.param, p.pos, p.value, m.value IS NOT NULL AS moves,
+    CASE WHEN m.value IS NULL THEN p.pos % 5 / 100.0::DOUBLE
+      ELSE 0.9::DOUBLE * (p.pos % 5 / 100.0::DOUBLE) + m.value + 0.0001::DOUBLE * p.value END AS velocity
+  FROM params p LEFT JOIN mean m ON m.param = p.param AND m.pos = p.pos AND m.pos % 2 = 0)
+SELECT param, pos, round(CASE WHEN moves THEN value - 0.1::DOUBLE * velocity ELSE value END, 6) + 0.0 AS value,
+  round(velocity, 6) + 0.0 AS velocity FROM moved""",
     "train_softmax_gather": _PARAMS,
     "train_softmax": _PARAMS,
     "training_progress": _PROGRESS,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from varve.operators import ordering
+from varve.operators.blocks import Running, as_blocks, in_blocks, positions, running
 from varve.operators.blocks import global_position as position_of
 from varve.plans import jobs
 from varve.session import fresh_path
@@ -15,8 +16,21 @@ EVENT_SCHEMA = "event_id bigint, cca2 string, timestamp timestamp_ntz, user_id b
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def _event_rows(df):
-    return df.select("event_id", "cca2", F.date_format("timestamp", MICROS).alias("timestamp"), "user_id", "value")
+def _event_rows(df, *more):
+    stamp = F.date_format("timestamp", MICROS).alias("timestamp")
+    return df.select("event_id", "cca2", stamp, "user_id", "value", *more)
+
+
+_FILE, _START, _ROW = "_file", "_start", "_row"
+
+
+def _in_file_order(read, *within):
+    """Rows of part files with ``position``: files by name, rows as they stand in them; per ``within`` if given."""
+    rows = read.select("*", F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.file_block_start").alias(_START))
+    # within a file the reader's increasing ids follow the lines
+    rows = rows.withColumn(_ROW, F.monotonically_increasing_id())
+    placed = running(in_blocks(rows, [*within, _FILE, _START, _ROW]), within, [Running("position", "sum", F.lit(1), before=True)])
+    return placed.drop(_FILE, _START, _ROW).withColumn("position", F.col("position").cast("bigint"))
 
 
 def scan_csv_header(spark, sf_dir):
@@ -50,17 +64,19 @@ def scan_delimited_fields(spark, sf_dir):
 def sink_csv_append(spark, sf_dir):
     path = fresh_path(spark, "events")
     events = I.sort_events(spark, sf_dir)
-    for early in (True, False):
-        half = events.where((F.col("cca2") < "p") if early else (F.col("cca2") >= "p"))
+    early = F.coalesce(F.col("cca2") < "p", F.lit(True))  # nulls sort first
+    for half in (events.where(early), events.where(~early)):
         sinks.append_sorted_csv(half, path, ["cca2", "timestamp"], ["event_id"])
-    return _event_rows(spark.read.schema(EVENT_SCHEMA).csv(path))
+    # one folder, two sorted appends: each is in order by itself
+    written_rows = _in_file_order(spark.read.schema(EVENT_SCHEMA).csv(path).withColumn("early", early), "early")
+    return _event_rows(written_rows, F.col("early").cast("int").alias("early"), "position")
 
 
 def sink_sorted_parts(spark, sf_dir):
     path = fresh_path(spark, "orders")
     lines = I.order_lines(spark, sf_dir).select(F.split("value", ",", -1).alias("fields"))
     sinks.write_sorted_lines(lines.select(sinks.join_fields("fields")), path, 2)
-    return text.scan_lines(spark, path)
+    return _in_file_order(text.scan_lines(spark, path))
 
 
 def sort_csv_file(spark, sf_dir):
@@ -69,7 +85,7 @@ def sort_csv_file(spark, sf_dir):
     customers = I.table(spark, sf_dir, "customer")
     customers.write.option("header", True).csv(source)
     jobs.sort_csv(spark, source, target, ["c_mktsegment", "c_nationkey"])
-    return spark.read.schema(customers.schema).csv(target)
+    return _in_file_order(spark.read.schema(customers.schema).csv(target))
 
 
 def row_count(spark, sf_dir):
@@ -82,7 +98,8 @@ def sort_two_keys(spark, sf_dir):
 
 
 def sort_two_keys_rows(spark, sf_dir):
-    return _event_rows(ordering.sort_rows(I.sort_events(spark, sf_dir), ["cca2", "timestamp"], ["event_id"]))
+    rows = _event_rows(ordering.sort_rows(I.sort_events(spark, sf_dir), ["cca2", "timestamp"], ["event_id"]))
+    return positions(as_blocks(rows))
 
 
 def sort_by_first_key(spark, sf_dir):
@@ -96,6 +113,12 @@ def sort_common_rows(spark, sf_dir):
     return ordering.sort_position(flags, ["l_returnflag"])
 
 
+def position_long_text(spark, sf_dir):
+    """Keys that share a long beginning."""
+    texts = I.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.repeat(F.lit("p"), 300), "text").alias("key"))
+    return position_of(texts, ["key", "doc_id"]).select("doc_id", "position")
+
+
 def global_position(spark, sf_dir):
     orders = I.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
     return position_of(orders, ["o_custkey", "o_orderkey"])
@@ -116,6 +139,7 @@ QUERIES = {
         sort_by_first_key,
         sort_common_rows,
         global_position,
+        position_long_text,
     )
 }
 
@@ -127,17 +151,23 @@ ORACLES = {
     "scan_csv_inferred": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "scan_delimited_fields": """SELECT CAST(o_orderkey AS VARCHAR) AS field_0, o_orderpriority AS field_2,
 strftime(o_orderdate, '%Y-%m-%d') AS field_14, CAST(15 AS BIGINT) AS n_fields FROM orders""",
-    "sink_csv_append": _EVENTS,
-    "sink_sorted_parts": f"WITH {I.ORDER_LINES_SQL} SELECT value FROM order_lines",
-    "sort_csv_file": "SELECT * FROM customer",
+    "sink_csv_append": f"""SELECT *, CAST(row_number() OVER (PARTITION BY early ORDER BY cca2 NULLS FIRST, timestamp, event_id) - 1 AS BIGINT) AS position
+FROM (SELECT *, CAST(coalesce(cca2 < 'p', true) AS INTEGER) AS early FROM ({_EVENTS}))""",
+    "sink_sorted_parts": f"""WITH {I.ORDER_LINES_SQL}
+SELECT value, CAST(row_number() OVER (ORDER BY sort_key, value) - 1 AS BIGINT) AS position FROM order_lines""",
+    "sort_csv_file": """SELECT *, CAST(row_number() OVER (ORDER BY c_mktsegment, c_nationkey, c_custkey) - 1 AS BIGINT) AS position
+FROM customer""",
     "row_count": "SELECT count(*) AS rows FROM events",
     "sort_two_keys": """SELECT row_number() OVER (ORDER BY event_type, ts, event_id) - 1 AS position,
 event_id, event_type AS cca2, user_id, value FROM events""",
-    "sort_two_keys_rows": _EVENTS,
+    "sort_two_keys_rows": f"""SELECT *, CAST(row_number() OVER (ORDER BY cca2 NULLS FIRST, timestamp, event_id) - 1 AS BIGINT) AS position
+FROM ({_EVENTS})""",
     "sort_by_first_key": f"""WITH {I.ORDER_LINES_SQL}
 SELECT sort_key, value, row_number() OVER (ORDER BY sort_key, value) - 1 AS position FROM order_lines""",
     "sort_common_rows": """SELECT l_returnflag, l_linestatus,
 row_number() OVER (ORDER BY l_returnflag, l_linestatus) - 1 AS position FROM lineitem""",
+    "position_long_text": """SELECT doc_id,
+CAST(row_number() OVER (ORDER BY repeat('p', 300) || text, doc_id) - 1 AS BIGINT) AS position FROM documents""",
     "global_position": """SELECT o_custkey, o_orderkey, o_totalprice,
 row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS position FROM orders""",
 }

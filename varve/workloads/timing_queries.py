@@ -19,7 +19,8 @@ def _tagged(spark, sf_dir):
 def phase_durations(spark, sf_dir):
     log = I.phase_log(spark, sf_dir).where(F.col("phase") != timing.TICK)
     at = timing.micros("ts")
-    length = F.round(F.col("duration") * 1000000).cast("bigint")
+    # every tenth phase ends in the microsecond it starts
+    length = F.when(F.col("event_id") % 10 == 0, 0).otherwise(F.round(F.col("duration") * 1000000)).cast("bigint")
     marks = log.select(
         "run",
         "phase",
@@ -52,8 +53,13 @@ def phase_summary(spark, sf_dir):
 
 
 def phase_report(spark, sf_dir):
-    summary = timing.phase_summary(_tagged(spark, sf_dir))
-    return timing.phase_lines(_rounded(summary, "total", "average_call", "average_interval"))
+    tagged = _tagged(spark, sf_dir)
+    summary = _rounded(timing.phase_summary(tagged), "total", "average_call", "average_interval")
+    return timing.phase_lines(summary, timing.iteration_summary(tagged))
+
+
+def interval_report(spark, sf_dir):
+    return timing.interval_lines(_rounded(timing.iteration_summary(_tagged(spark, sf_dir)), "average"))
 
 
 def epoch_duration(spark, sf_dir):
@@ -70,12 +76,14 @@ QUERIES = {
         phase_pivot,
         phase_summary,
         phase_report,
+        interval_report,
         epoch_duration,
     )
 }
 
+PHASES = ("forward", "backward", "optimize", "communication")
 _SPENT = ", ".join(
-    f"round(coalesce(sum(CASE WHEN phase = '{p}' THEN duration END), 0.0::DOUBLE), 6) AS {p}" for p in timing.PHASES
+    f"round(coalesce(sum(CASE WHEN phase = '{p}' THEN duration END), 0.0::DOUBLE), 6) AS {p}" for p in PHASES
 )
 _SUMMARY = f"""
 kept AS (SELECT * FROM tagged WHERE iteration >= 1 AND phase <> 'tick'),
@@ -84,7 +92,7 @@ by_call AS (SELECT run, phase, sum(duration) AS total, max(duration) AS longest,
   avg(duration) AS average_call FROM kept GROUP BY ALL),
 by_interval AS (SELECT run, phase, avg(spent) AS average_interval FROM sums WHERE spent > 0 GROUP BY ALL),
 listed AS (SELECT run, phase FROM (SELECT DISTINCT run FROM tagged),
-  (VALUES {", ".join(f"('{p}')" for p in timing.PHASES)}) v(phase)),
+  (VALUES {", ".join(f"('{p}')" for p in PHASES)}) v(phase)),
 summary AS (
   SELECT run, phase, round(coalesce(total, 0), 6) AS total, round(coalesce(longest, 0), 6) AS longest,
     round(coalesce(shortest, 0), 6) AS shortest, round(coalesce(average_call, 0), 6) AS average_call,
@@ -95,9 +103,9 @@ ORACLES = {
     "phase_durations": f"""WITH {I.PHASE_LOG_SQL},
 marks AS (
   SELECT run, phase, event_id, us, 'start' AS edge FROM log WHERE phase <> 'tick'
-  UNION ALL SELECT run, phase, event_id, us + CAST(round(duration * 1000000) AS BIGINT), 'end' FROM log WHERE phase <> 'tick'),
+  UNION ALL SELECT run, phase, event_id, us + CASE WHEN event_id % 10 = 0 THEN 0 ELSE CAST(round(duration * 1000000) AS BIGINT) END, 'end' FROM log WHERE phase <> 'tick'),
 seen AS (
-  SELECT *, max(CASE WHEN edge = 'start' THEN us END) OVER (PARTITION BY run, phase ORDER BY us, event_id, edge
+  SELECT *, max(CASE WHEN edge = 'start' THEN us END) OVER (PARTITION BY run, phase ORDER BY us, event_id, edge DESC
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS started FROM marks)
 SELECT run, phase, event_id, us, round((us - started) / 1e6::DOUBLE, 6) AS duration FROM seen WHERE edge = 'end'""",
     "iteration_intervals": f"""WITH {I.TAGGED_SQL}
@@ -111,9 +119,19 @@ FROM tagged WHERE phase = 'tick' AND iteration >= 1 GROUP BY run""",
 SELECT run, iteration, max(took) / 1e6::DOUBLE AS seconds, {_SPENT} FROM tagged
 WHERE iteration >= 1 GROUP BY run, iteration HAVING max(took) IS NOT NULL""",
     "phase_summary": f"WITH {I.TAGGED_SQL}, {_SUMMARY} SELECT * FROM summary",
-    "phase_report": f"""WITH {I.TAGGED_SQL}, {_SUMMARY}
-SELECT run, phase, printf('%s times total: %f max: %f  min: %f avg per stage time: %f avg round time: %f',
-  phase, total, longest, shortest, average_interval, average_call) AS line FROM summary""",
+    "phase_report": f"""WITH {I.TAGGED_SQL}, {_SUMMARY},
+intervals AS (SELECT run, count(*) AS n FROM tagged WHERE phase = 'tick' AND iteration >= 1 GROUP BY run)
+SELECT run, phase, CASE WHEN n > 1 THEN printf('%s times total: %f max: %f  min: %f avg per stage time: %f avg round time: %f',
+  phase, total, longest, shortest, average_interval, average_call)
+  ELSE printf('%s times total: %f max: %f  min: %f ', phase, total, longest, shortest) END AS line
+FROM summary JOIN intervals USING (run)""",
+    "interval_report": f"""WITH {I.TAGGED_SQL},
+took AS (SELECT run, count(*) AS n, CAST(sum(took) AS BIGINT) / 1e6::DOUBLE AS total, max(took) / 1e6::DOUBLE AS longest,
+  min(took) / 1e6::DOUBLE AS shortest, round(CAST(sum(took) AS DOUBLE) / count(*) / 1e6::DOUBLE, 6) AS mean
+  FROM tagged WHERE phase = 'tick' AND iteration >= 1 GROUP BY run)
+SELECT run, 0 AS number, printf('iteration times total: %f max: %f  min: %f average:%f',
+  total, longest, shortest, CASE WHEN n > 1 THEN mean ELSE 0 END) AS line FROM took
+UNION ALL SELECT run, 1, printf('iteration average time: %f', CASE WHEN n > 1 THEN mean ELSE 0 END) FROM took""",
     "epoch_duration": f"""WITH {I.PHASE_LOG_SQL},
 epochs AS (SELECT run, CAST(ts AS DATE) - DATE '2024-01-01' AS epoch, min(us) AS opened, max(us) AS closed FROM log GROUP BY ALL),
 runs AS (SELECT run, min(opened) AS begin_at, max(closed) AS finish FROM epochs GROUP BY run)
