@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varve.llm.columns import as_strings
+from varve.session import written
 
 #: A subtree is template on so many different pages of a host, if that is also this share of them.
 MIN_PAGES = 3
@@ -264,12 +265,13 @@ def site_templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: flo
 
 def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """``pages`` without ``html``, with ``text`` (blocks joined by an empty line) and ``n_chars``."""
-    from varve.session import written
-
     parsed = written(parsed_pages(pages), "pages")
     templates = site_templates(parsed, min_pages, min_share)
+    # a block with no candidate around it can't be template, so most texts need not meet the list
+    open_ = F.exists("blocks", lambda b: F.size(b["within"]) > 0)
     deleted = (
-        parsed.select("site", "page_hash", F.explode("subtrees").alias("subtree"))
+        parsed.where(open_)
+        .select("site", "page_hash", F.explode("subtrees").alias("subtree"))
         .distinct()
         .join(templates, ["site", "subtree"])
         .groupBy("site", "page_hash")
@@ -280,6 +282,8 @@ def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: f
         lambda b: ~F.coalesce(F.arrays_overlap(b["within"], F.col("deleted")), F.lit(False)),
     )
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
-    joined = parsed.join(deleted, ["site", "page_hash"], "left").withColumn("text", text)
+    joined = parsed.where(open_).join(deleted, ["site", "page_hash"], "left").select(*parsed.columns, "deleted")
+    sure = parsed.where(~open_).withColumn("deleted", F.array().cast("array<string>"))
+    joined = sure.unionByName(joined).withColumn("text", text)
     names = [c for c in pages.columns if c not in ("html", "text", "n_chars", "site", "page_hash", "blocks", "subtrees")]
     return joined.select(*names, "text", F.length("text").cast("bigint").alias("n_chars"))
