@@ -12,6 +12,7 @@ TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
     "double": "DOUBLE",
 }
 

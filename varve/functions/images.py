@@ -45,6 +45,19 @@ def normalize(
     )
 
 
+def flat(image: Column) -> Column:
+    """A grid as one array again."""
+    return F.flatten(F.flatten(image))
+
+
+def augmented(image: Column, key: Column, seed: int, epoch: int, rows: int, columns: int, padding: int = CROP_PADDING) -> Column:
+    """Crop and flip by draws that are fixed per seed, epoch and ``key``."""
+    top = draw(2 * padding + 1, seed, epoch, key, "top").cast("int")
+    left = draw(2 * padding + 1, seed, epoch, key, "left").cast("int")
+    heads = draw(2, seed, epoch, key, "flip") == 1
+    return flip(crop(image, top, left, rows, columns, padding), heads)
+
+
 def draw(limit: int, *parts: Column | int | str) -> Column:
     """A repeatable pseudo-random integer in [0, limit) from the given parts."""
     text = F.concat_ws(":", *[p if isinstance(p, Column) else F.lit(str(p)) for p in parts])

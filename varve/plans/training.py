@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Literal
 
@@ -47,6 +48,7 @@ def train_softmax(
     momentum: float = G.MOMENTUM,
     weight_decay: float = G.WEIGHT_DECAY,
     report_every: int = REPORT_EVERY,
+    transform: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> Training:
     """Train on ``examples(id, features, label)``; every batch is one Spark job.
 
@@ -55,6 +57,7 @@ def train_softmax(
     their row-group statistics. Steps follow each other by nature;
     ``global_batch`` sets how much work one step spreads over the cluster. Only
     the model, whose size is fixed, comes back to the driver between steps.
+    ``transform`` maps the examples and the epoch's number to what that epoch trains on.
     """
     spark = examples.sparkSession
     model = G.LinearModel.zeros(classes, features)
@@ -66,7 +69,8 @@ def train_softmax(
     progress = []
 
     for epoch in range(epochs):
-        batched = assign_batches(examples, shards, global_batch, seed, epoch)
+        seen_now = transform(examples, epoch) if transform else examples
+        batched = assign_batches(seen_now, shards, global_batch, seed, epoch)
         slab = F.floor(F.col("batch") / per_folder).cast("int").alias("slab")
         table = written(batched.select("batch", "shard", "features", "label", slab), "batches", "slab")
         for step in range(steps):

@@ -168,6 +168,21 @@ def train_and_test(spark, sf_dir):
     return _rounded_evaluation(evaluation.evaluate(scored))
 
 
+def _image_features(df: DataFrame, epoch: int | None) -> DataFrame:
+    """Examples as normalised images; augmented first when they train an epoch."""
+    image = images.to_grid(F.col("features").cast("array<double>"), CHANNELS, ROWS, COLUMNS)
+    if epoch is not None:
+        image = images.augmented(image, F.col("id").cast("string"), sharding.SEED, epoch, ROWS, COLUMNS, PADDING)
+    return df.withColumn("features", images.flat(images.normalize(image, MEAN, STD)))
+
+
+def train_augmented(spark, sf_dir):
+    """Transform, train, evaluate: augmented epochs, and test rows that are normalised only."""
+    model = _training(spark, sf_dir, transform=_image_features).model
+    test = _image_features(I.test_examples(spark, sf_dir), None)
+    return _rounded_evaluation(evaluation.evaluate(gradients.linear_scores(test, model)))
+
+
 # Evaluation ---------------------------------------------------------------
 
 
@@ -218,6 +233,7 @@ QUERIES = {
         training_progress,
         training_report,
         train_and_test,
+        train_augmented,
         judged_rows,
         evaluate_classifier,
         evaluate_batch_mean,
@@ -339,7 +355,7 @@ pixels AS (
 
 
 def _draw_sql(limit: int, tag: str) -> str:
-    text = f"'{sharding.SEED}:0:' || id || ':{tag}'"
+    text = f"'314:0:' || id || ':{tag}'"
     return f"(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) % {limit})"
 
 
@@ -347,6 +363,27 @@ def _list_sql(values) -> str:
     return "[" + ", ".join(f"{v}::DOUBLE" for v in values) + "]"
 
 
+def _image_list_sql(crop_and_flip: bool) -> str:
+    """The features of a row as a normalised image; ``t``, ``l`` and ``f`` are its draws."""
+    row, col = "j // 4 % 4", "j % 4"
+    if crop_and_flip:
+        row, col = f"({row}) + t - {PADDING}", f"(CASE WHEN f = 1 THEN 3 - {col} ELSE {col} END) + l - {PADDING}"
+    inside = f"({row}) BETWEEN 0 AND 3 AND ({col}) BETWEEN 0 AND 3"
+    pixel = f"CASE WHEN {inside} THEN x[CAST((j // 16) * 16 + ({row}) * 4 + ({col}) + 1 AS INTEGER)] ELSE 0.0::DOUBLE END"
+    mean, std = f"{_list_sql(MEAN)}[CAST(j // 16 + 1 AS INTEGER)]", f"{_list_sql(STD)}[CAST(j // 16 + 1 AS INTEGER)]"
+    return f"list_transform(range({I.FEATURES}), lambda j: ({pixel} / 255.0::DOUBLE - {mean} / 255.0::DOUBLE) / ({std} / 255.0::DOUBLE))"
+
+
+_IMAGES_SQL = I.EXAMPLES_SQL.replace(
+    "train AS (SELECT id, x, label FROM examples WHERE split = 'train')",
+    f"""drawn_offsets AS MATERIALIZED (
+  SELECT *, {_draw_sql(2 * PADDING + 1, "top")} AS t, {_draw_sql(2 * PADDING + 1, "left")} AS l, {_draw_sql(2, "flip")} AS f FROM examples),
+train AS (SELECT id, {_image_list_sql(True)} AS x, label FROM drawn_offsets WHERE split = 'train')""",
+).replace(
+    "test AS (SELECT id, x, label FROM examples WHERE split = 'test')",
+    f"test AS (SELECT id, {_image_list_sql(False)} AS x, label FROM examples WHERE split = 'test')",
+)
+
 _EVALUATION = "CAST(sum(CASE WHEN predicted = label THEN 1 ELSE 0 END) AS BIGINT)"
 
 ORACLES = {
@@ -407,6 +444,16 @@ SELECT param, pos, round(CASE WHEN moves THEN value - 0.1::DOUBLE * velocity ELS
 scored AS (
   SELECT id, label, class, list_dot_product(list_append(x, 1.0::DOUBLE), w) AS score FROM test, final),
 softened AS (SELECT *, max(score) OVER (PARTITION BY id) AS top FROM scored),
+judged AS (
+  SELECT id, label, min(class) FILTER (score = top) AS predicted,
+    min(top) + ln(sum(exp(score - top))) - min(score) FILTER (class = label) AS loss
+  FROM softened GROUP BY id, label)
+SELECT {_EVALUATION} AS correct, count(*) AS total,
+  round({_EVALUATION} * 100.0::DOUBLE / count(*), 6) AS accuracy, round(avg(loss), 6) AS loss FROM judged""",
+    "train_augmented": f"""{_TRAINED.replace(I.EXAMPLES_SQL, _IMAGES_SQL).rstrip()},
+scored AS (
+  SELECT id, label, class, list_dot_product(list_append(x, 1.0::DOUBLE), w) AS score FROM test, final),
+softened AS (SELECT *, max(score) OVER (PARTITION BY id) AS top FROM scored),
 judged AS (
   SELECT id, label, min(class) FILTER (score = top) AS predicted,
     min(top) + ln(sum(exp(score - top))) - min(score) FILTER (class = label) AS loss
