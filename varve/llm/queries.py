@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.llm import bpe, cotraining, decontamination, jaccard, main_text, quality, sharding, substrings, suffixes, toxicity
+from varve.llm.twins import ORACLES  # noqa: F401  the registry reads it here
 
 SHARDS = 24
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -108,4 +109,3 @@ QUERIES = {
         op10_quality_classifier,
     )
 }
-ORACLES: dict[str, str] = {}
