@@ -1,4 +1,5 @@
 import base64
+import random
 
 import public_tokenizers
 import pytest
@@ -39,6 +40,18 @@ def test_odd_texts(library):
         assert codec.decode(codec.encode(text)) == text.encode()
 
 
+def test_neighbours_as_merging_has_them():
+    codec = bpe.codec(PATH, PATTERN)
+    assert codec.ordered
+    rng = random.Random(5)
+    known = sorted(codec.parts)
+    short = [r for r in known if codec.size[r] <= 3] + list(range(256))
+    for _ in range(20_000):
+        left, right = rng.choice(short if rng.random() < 0.5 else known), rng.choice(short if rng.random() < 0.5 else known)
+        pair = [codec.tokens[left], codec.tokens[right]]
+        assert codec.may_meet(left, right) == (codec.merged(b"".join(pair)) == pair), pair
+
+
 def test_small_memory_and_unreachable_tokens():
     # "abc" is no merge of two tokens: only a piece that is "abc" itself may be it
     ranks = {bytes([b]): b for b in range(256)} | {b"bc": 256, b"aa": 257, b"xyz": 258, b"aaa": 259}
@@ -51,7 +64,7 @@ def test_small_memory_and_unreachable_tokens():
 def test_nulls_repeats_and_clashing_names(spark):
     docs = frame(spark, [(1, None, 7), (2, "", 7), (3, "hi there", 7), (3, "hi there", 7)], "doc_id bigint, text string, n_tokens int")
     encoded = bpe.encode(docs, PATH, PATTERN)
-    rows = bpe.decode(encoded, PATH, PATTERN).collect()
+    rows = bpe.decode(encoded, PATH).collect()
     assert sorted((r["doc_id"], r["n_tokens"], bytes(r["decoded"])) for r in rows) == [
         (1, 0, b""), (2, 0, b""), (3, 2, b"hi there"), (3, 2, b"hi there")]
     assert bpe.encode(docs.limit(0), PATH, PATTERN).count() == 0

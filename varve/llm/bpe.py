@@ -24,7 +24,9 @@ from pyspark.sql import types as T
 from varve.llm.columns import texts_of
 
 #: Pieces and pairs that a worker remembers before it starts afresh.
-MEMORY = 400_000
+MEMORY = 600_000
+#: Rows whose ids a worker holds as Python numbers at once.
+ROWS = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,63 +40,88 @@ class BpeCodec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = MEMORY):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.size = {rank: len(token) for token, rank in ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self.memory = memory
         self.known: dict[str, tuple[int, ...]] = {}
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
+        self.fits: dict[tuple[int, int], bool] = {}
+        self.parts: dict[int, tuple[int, int]] = {}
         self.automaton = ahocorasick.Automaton()
-        for token in ranks:
-            if len(token) == 1 or self.merged(token) == [token]:
-                self.automaton.add_word(token.decode("latin-1"), token)
+        for token, rank in ranks.items():
+            if len(token) == 1 or self._reached(token):
+                self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
+        # where every token ranks above its parts, merges happen in the order of rank
+        self.ordered = all(max(pair) < rank for rank, pair in self.parts.items())
 
-    def merged(self, piece: bytes) -> list[bytes]:
+    def merged(self, piece: bytes, until: int = 1) -> list[bytes]:
         """Merging by rank, the lowest and then the leftmost first; quadratic, so for short pieces only."""
         parts = [piece[i : i + 1] for i in range(len(piece))]
         ranks = self.ranks
-        while len(parts) > 1:
+        while len(parts) > until:
             best, at = min((ranks.get(a + b, len(ranks) + 1), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
             if parts[at] + parts[at + 1] not in ranks:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def may_meet(self, left: bytes, right: bytes) -> bool:
-        key = (left, right)
-        fits = self.fits.get(key)
-        if fits is None:
-            if len(self.fits) >= self.memory:
-                self.fits.clear()
-            fits = self.fits[key] = self.merged(left + right) == [left, right]
-        return fits
+    def _reached(self, token: bytes) -> bool:
+        """Whether merging gives the token as one; if so, its last two parts are kept."""
+        last = self.merged(token, until=2)
+        if len(last) == 2:
+            self.parts[self.ranks[token]] = (self.ranks[last[0]], self.ranks[last[1]])
+        return len(last) == 2
+
+    def may_meet(self, left: int, right: int) -> bool:
+        """Whether merging the joined bytes gives the two tokens back."""
+        if not self.ordered:
+            pair = [self.tokens[left], self.tokens[right]]
+            return self.merged(b"".join(pair)) == pair
+        tokens, ranks, parts = self.tokens, self.ranks, self.parts
+        below = len(ranks) + 1  # merges from this rank on had not happened yet
+        while True:
+            across = ranks.get(tokens[left] + tokens[right])
+            if across is not None and across < below:
+                return False
+            # take the later of the two tokens apart again
+            if left > right and left in parts:
+                below, left = left, parts[left][1]
+            elif right in parts and (right >= left or left not in parts):
+                below, right = right + 1, parts[right][0]  # of equal ranks, the left merge comes first
+            else:
+                return True
 
-    def split(self, piece: bytes) -> list[bytes]:
+    def split(self, piece: bytes) -> list[int]:
         """The tokens of a piece that is no token."""
-        size = len(piece)
-        at: list[list[bytes]] = [[] for _ in range(size)]
+        length = len(piece)
+        size, fits = self.size, self.fits
+        at: list[list[int]] = [[] for _ in range(length)]
         for end, token in self.automaton.iter(piece.decode("latin-1")):
-            at[end + 1 - len(token)].append(token)  # of one start, shorter ones come first
-        chosen: list[bytes] = []
-        tried = [len(tokens) for tokens in at]  # of each place, how many are left to try
-        place = 0
-        while place < size:
-            left = chosen[-1] if chosen else None
-            while tried[place]:
-                tried[place] -= 1
-                token = at[place][tried[place]]
-                end = place + len(token)
-                if (end == size or tried[end]) and (left is None or self.may_meet(left, token)):
+            at[end + 1 - size[token]].append(token)  # of one start, shorter ones come first
+        chosen: list[int] = []
+        place, left = 0, -1
+        while place < length:
+            options = at[place]  # what is left to try here; a place with nothing left is dead
+            while options:
+                token = options.pop()
+                end = place + size[token]
+                if end == length or at[end]:
+                    if left >= 0:
+                        good = fits.get((left, token))
+                        if good is None:
+                            if len(fits) >= self.memory:
+                                fits.clear()
+                            good = fits[left, token] = self.may_meet(left, token)
+                        if not good:
+                            continue
                     chosen.append(token)
-                    place = end
+                    place, left = end, token
                     break
             else:
-                # no token fits here after what came before
                 if not chosen:
                     raise ValueError("the rank table lacks a byte of the text")
-                back = chosen.pop()
-                if place < size:
-                    tried[place] = 0
-                place -= len(back)
+                place -= size[chosen.pop()]
+                left = chosen[-1] if chosen else -1
         return chosen
 
     def ids(self, piece: str) -> tuple[int, ...]:
@@ -102,7 +129,7 @@ class BpeCodec:
         if found is None:
             data = piece.encode()
             rank = self.ranks.get(data)
-            found = (rank,) if rank is not None else tuple(self.ranks[t] for t in self.split(data))
+            found = (rank,) if rank is not None else tuple(self.split(data))
             if len(self.known) >= self.memory:
                 self.known.clear()
             self.known[piece] = found
@@ -120,6 +147,7 @@ class BpeCodec:
 
 
 _codecs: dict[tuple[str, str], BpeCodec] = {}
+_tokens: dict[str, dict[int, bytes]] = {}
 
 
 def codec(path: str, pattern: str) -> BpeCodec:
@@ -130,6 +158,13 @@ def codec(path: str, pattern: str) -> BpeCodec:
     return _codecs[key]
 
 
+def tokens_of(path: str) -> dict[int, bytes]:
+    """The bytes of each id, which is all that decoding needs."""
+    if path not in _tokens:
+        _tokens[path] = {rank: token for token, rank in read_ranks(path).items()}
+    return _tokens[path]
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``ids``; a column of such a name is replaced.
 
@@ -141,8 +176,8 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches):
         bpe = codec(path, pattern)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
                 ids = [bpe.encode(t.decode()) for t in texts_of(part.column("text"))]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
@@ -152,20 +187,18 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return plain.mapInArrow(run, T.StructType(plain.schema.fields + own))
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes that ``ids`` stand for; null ids are none."""
     plain = encoded.select(*[c for c in encoded.columns if c != "decoded"])
 
     def run(batches):
-        bpe = codec(path, pattern)
+        bytes_of_id = tokens_of(path).__getitem__
         for batch in batches:
-            ids = batch.column("ids")
-            flat, offsets = ids.flatten().to_pylist(), [0]
-            for size in ids.value_lengths().fill_null(0).to_pylist():
-                offsets.append(offsets[-1] + size)
-            data = [bpe.decode(flat[a:b]) for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(data, pa.binary())], [*batch.schema.names, "decoded"]
-            )
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                data = [b"".join(map(bytes_of_id, ids.as_py() or ())) for ids in part.column("ids")]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(data, pa.binary())], [*part.schema.names, "decoded"]
+                )
 
     return plain.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField("decoded", T.BinaryType())]))

@@ -39,7 +39,7 @@ def op2_main_text(spark, sf_dir):
 def op3_byte_bpe(spark, sf_dir):
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     encoded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern)
-    decoded = bpe.decode(encoded.drop("text"), path, pattern)
+    decoded = bpe.decode(encoded.drop("text"), path)
     return decoded.select(
         "doc_id",
         "n_tokens",
