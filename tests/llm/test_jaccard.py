@@ -48,14 +48,14 @@ def test_clusters_chains_and_hot_shingles(spark, seed):
 def test_edges(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  B"), (6, "a b c"), (7, long), (8, long + " tail"), (8, long + " tail")]
-    docs = frame(spark, [(*r, 0) for r in rows], "doc_id bigint, text string, component int")
+    docs = frame(spark, [(*r, 0, "mine") for r in rows], "doc_id bigint, text string, component int, doc string")
     got = J.similarity_components(docs).collect()
     assert len(got) == len(rows)
     assert {(r["doc"], r["n_shingles"], r["component"]) for r in got} == {
         (1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4), (6, 1, 6), (7, 59_996, 7), (8, 59_997, 7)}
     kept = J.one_of_each_group(docs)
     assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 6, 7]
+    assert sorted((r["doc_id"], r["doc"]) for r in kept.collect()) == [(i, "mine") for i in (1, 2, 3, 4, 6, 7)]
     assert J.similarity_components(docs.limit(0)).count() == 0
 
 

@@ -6,8 +6,8 @@ and size form one group, and only groups are joined; group pairs pass a size and
 are left are expanded to the groups' members and verified on the whole texts.
 
 A hot shingle or a large cluster of near copies must not become all pairs. So candidates come in
-two rounds. In the first, each group meets one hub per shingle and size range; verified links give components. In the
-second, candidates are all pairs that the prefixes allow between different components, for pairs within one
+two rounds. In the first, each group meets one hub per shingle and size range, for one shingle in ``HUB_SHINGLES``
+(near copies share many); verified links give components. In the second, over all shingles, candidates are all pairs that the prefixes allow between different components, for pairs within one
 component can't change it. Both rounds together lose no link that matters to reachability.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; equal sets are
@@ -30,13 +30,15 @@ from varve.session import shuffle_partitions, written, written_bucketed
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-#: A shingle is frequent from this share of the documents on; at most so many are told apart, which only
-#: decides the order, never the result.
-FREQUENT_SHARE = 1 / 5_000
-MAX_FREQUENT = 100_000
+#: A shingle is frequent that so many documents have; at most so many of these are told apart. Which are only decides the
+#: order of shingles, and so the number of candidates, never the result.
+FREQUENT_TIMES = 6
+MAX_FREQUENT = 1_000_000
 STEP_BYTES = 2_000_000
 #: Entries that a task gathers before it packs them by bucket.
 PACK_ENTRIES = 500_000
+#: One shingle in so many takes part in the first round, which only has to find most of the components.
+HUB_SHINGLES = 6
 #: Pairs that read one copy of their hub's text.
 PAIRS_PER_COPY = 2_000
 LEAST = -(2**63)
@@ -73,7 +75,7 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n + (-percent * n) // 100 + 1
 
 
-def in_order(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
+def in_order(tokens: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> np.ndarray:
     """``tokens``, sorted by hash, in the global order."""
     if not len(frequent):
         return tokens
@@ -81,48 +83,110 @@ def in_order(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.n
     at[at == len(frequent)] = 0
     often = frequent[at] == tokens
     last = tokens[often]
-    return np.concatenate((tokens[~often], last[np.argsort(rank[at[often]], kind="stable")]))
+    return np.concatenate((tokens[~often], last[np.argsort(times[at[often]], kind="stable")]))
+
+
+def _by_bucket(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order by bucket and hash, the buckets there are, and where each begins and ends."""
+    bucket = (tokens >> np.uint64(20)) % np.uint64(buckets)
+    order = np.lexsort((tokens, bucket))
+    bucket = bucket[order]
+    first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    return order, bucket[first].astype(np.int32), first, np.append(first[1:], len(bucket))
+
+
+def _packs(bucket, first, stop, pieces):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket), pa.array(stop - first, pa.int32()), pa.array(pieces, pa.binary())], ["bucket", "entries", "packed"]
+    )
+
+
+_PACKS = "bucket int, entries int, packed binary"
+
+
+def _bucketed(packed: DataFrame, width: int) -> DataFrame:
+    return packed.repartition(width, "bucket").sortWithinPartitions("bucket")
+
+
+def _each_bucket(batches, unpack) -> Iterator[list]:
+    """What a task holds of one bucket after the other."""
+    held, last = [], None
+    for batch in batches:
+        for bucket, count, packed in zip(*(batch.column(c).to_pylist() for c in ("bucket", "entries", "packed"))):
+            if bucket != last and held:
+                yield held
+                held = []
+            last = bucket
+            held.append(unpack(count, packed))
+    if held:
+        yield held
 
 
 def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles, sorted by hash, and their rank by count; a bounded list whatever the table's size.
+    """Frequent shingles, sorted by hash, and their counts; a bounded list whatever the table's size.
 
-    All documents are counted: a task sums up what it meets and passes on what it met more than once.
+    All shingles of all documents are counted; only packed hashes are shuffled, about three bytes each.
     """
+    width = shuffle_partitions(texts.sparkSession)
 
-    def run(batches):
+    def pack(batches):
+        held, size = [], 0
         for batch in batches:
-            held, size = [], 0
             for _, tokens in shingle_sets(batch.column("text")):
                 held.append(tokens)
                 size += len(tokens)
-                if size >= 2_000_000:
-                    yield counted(held)
+                if size >= PACK_ENTRIES:
+                    yield packed(np.concatenate(held))
                     held, size = [], 0
-            if held:
-                yield counted(held)
-
-    def counted(held):
-        tokens, times = np.unique(np.concatenate(held), return_counts=True)
-        more = times > 1
-        return pa.RecordBatch.from_arrays(
-            [pa.array(tokens[more].view(np.int64)), pa.array(times[more], pa.int64())], ["token", "times"]
-        )
+        if size:
+            yield packed(np.concatenate(held))
+
+    def packed(tokens):
+        order, bucket, first, stop = _by_bucket(tokens, width)
+        tokens = tokens[order]
+        steps_ = np.diff(tokens, prepend=np.uint64(0))  # small within a bucket, so they compress
+        return _packs(bucket, first, stop, [_packed_steps(tokens[a], steps_[a + 1 : b]) for a, b in zip(first, stop)])
+
+    def count(batches):
+        for held in _each_bucket(batches, _unpacked_steps):
+            tokens, times = np.unique(np.concatenate(held), return_counts=True)
+            often = times >= FREQUENT_TIMES
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens[often].view(np.int64)), pa.array(times[often], pa.int64())], ["token", "times"]
+            )
 
-    total = texts.count()
-    often = texts.select("text").mapInArrow(run, "token bigint, times bigint").groupBy("token").agg(F.sum("times").alias("times"))
-    often = often.where(F.col("times") >= max(4, FREQUENT_SHARE * total))
-    rows = often.orderBy(F.desc("times"), "token").limit(MAX_FREQUENT).collect()
-    tokens = np.array([r["token"] for r in rows], np.int64).view(np.uint64)
+    often = _bucketed(texts.select("text").mapInArrow(pack, _PACKS), width).mapInArrow(count, "token bigint, times bigint")
+    often = written(often, "frequent")
+    # the most frequent ones, down to the power of two from which they fit the bound
+    level = F.floor(F.log2("times")).cast("int")
+    least, total = 63, 0
+    for row in sorted(often.groupBy(level.alias("level")).count().collect(), reverse=True):
+        total += row["count"]
+        if total > MAX_FREQUENT:
+            break
+        least = row["level"]
+    rows = often.where(level >= least).toArrow()
+    tokens = rows.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], -order.astype(np.int64)
+    return tokens[order], rows.column("times").to_numpy()[order].astype(np.int32)
+
+
+def _packed_steps(start: np.uint64, steps_: np.ndarray) -> bytes:
+    """Bytes of equal significance stand together: the high ones are nearly all zero."""
+    wide = np.concatenate(([start], steps_)).astype("<u8").view(np.uint8).reshape(-1, 8)
+    return zlib.compress(wide.T.tobytes(), 1)
+
+
+def _unpacked_steps(count: int, packed: bytes) -> np.ndarray:
+    wide = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, count)
+    return np.cumsum(np.ascontiguousarray(wide.T).view("<u8").ravel(), dtype=np.uint64)
 
 
 def _described(shared):
     """Per document: size of the set, two hashes of it, and one of its prefix."""
 
     def run(batches):
-        frequent, rank = shared.value
+        frequent, times = shared.value
         for batch in batches:
             sizes, first, second, prefix = [], [], [], []
             for _, tokens in shingle_sets(batch.column("text")):
@@ -130,7 +194,7 @@ def _described(shared):
                 sizes.append(n)
                 first.append(tokens.sum())
                 second.append(mixed(tokens ^ np.uint64(n)).sum())
-                prefix.append(mixed(in_order(tokens, frequent, rank)[: prefix_size(n)]).sum() if n else 0)
+                prefix.append(mixed(in_order(tokens, frequent, times)[: prefix_size(n)]).sum() if n else 0)
             hashes = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (first, second, prefix)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), pa.array(sizes, pa.int64()), *hashes], ["doc", "n", "set_a", "set_b", "prefix"]
@@ -139,42 +203,35 @@ def _described(shared):
     return run
 
 
-def _packed(shared, buckets: int):
-    """Prefix entries of the entities, packed by bucket of the shingle."""
+def _packed(shared, buckets: int, one_in: int):
+    """Prefix entries of the entities, packed by bucket of the shingle; of all shingles one in ``one_in``."""
 
     def pack(held):
         entries = np.concatenate(held)
-        bucket = (entries["token"] >> np.uint64(20)) % np.uint64(buckets)
-        order = np.lexsort((entries["token"], bucket))
-        entries, bucket = entries[order], bucket[order]
-        first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-        stop = np.append(first[1:], len(bucket))
+        order, bucket, first, stop = _by_bucket(entries["token"], buckets)
+        entries = entries[order]
         pieces = []
         for a, b in zip(first, stop):
             part = entries[a:b]
-            # column by column, so that it compresses
-            pieces.append(zlib.compress(b"".join(part[name].tobytes() for name in _ENTRY.names), 1))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(bucket[first].astype(np.int32)),
-                pa.array(stop - first, pa.int32()),
-                pa.array(pieces, pa.binary()),
-            ],
-            ["bucket", "entries", "packed"],
-        )
+            # byte by byte, so that it compresses
+            wide = part.view(np.uint8).reshape(len(part), _ENTRY.itemsize)
+            pieces.append(zlib.compress(wide.T.tobytes(), 1))
+        return _packs(bucket, first, stop, pieces)
 
     def run(batches):
-        frequent, rank = shared.value
+        frequent, times = shared.value
         held, size = [], 0
         for batch in batches:
             parts = batch.column("part").to_pylist()
             docs = batch.column("doc").to_pylist()
             for row, tokens in shingle_sets(batch.column("text")):
                 n = len(tokens)
-                prefix = in_order(tokens, frequent, rank)[: prefix_size(n)]
+                prefix = in_order(tokens, frequent, times)[: prefix_size(n)]
                 entries = np.empty(len(prefix), _ENTRY)
                 entries["token"], entries["id"], entries["part"] = prefix, docs[row], parts[row]
                 entries["size"], entries["at"] = n, np.arange(len(prefix))
+                if one_in > 1:
+                    entries = entries[(prefix >> np.uint64(8)) % np.uint64(one_in) == 0]
                 held.append(entries)
                 size += len(entries)
                 if size >= PACK_ENTRIES:
@@ -187,44 +244,35 @@ def _packed(shared, buckets: int):
 
 
 def _unpacked(count: int, packed: bytes) -> np.ndarray:
-    data, at = zlib.decompress(packed), 0
-    out = np.empty(count, _ENTRY)
-    for name in _ENTRY.names:
-        kind = _ENTRY[name]
-        out[name] = np.frombuffer(data, kind, count, at)
-        at += count * kind.itemsize
-    return out
+    wide = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(_ENTRY.itemsize, count)
+    return np.ascontiguousarray(wide.T).view(_ENTRY).ravel()
 
 
 def _candidates(pairs_of):
-    """Distinct pairs of each bucket; buckets arrive sorted."""
+    """Distinct pairs of each bucket."""
 
     def solve(held):
         entries = np.concatenate(held)
-        entries = entries[np.lexsort((entries["id"], entries["size"], entries["token"]))]
-        found = [np.zeros((0, 2), np.int64)]
+        entries = entries[np.lexsort((entries["size"], entries["token"]))]
         token = entries["token"]
         first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-        stop = np.append(first[1:], len(token))
-        more = stop - first > 1
-        for a, b in zip(first[more], stop[more]):
-            found.append(pairs_of(entries[a:b]))
+        count = np.diff(np.append(first, len(token)))
+        # most shared shingles are of two
+        two = first[count == 2]
+        x, y = entries[two], entries[two + 1]
+        fits = (x["id"] != y["id"]) & _allowed(x, y)
+        if pairs_of is cross_pairs:
+            fits &= x["part"] != y["part"]
+        found = [np.sort(np.stack([x["id"][fits], y["id"][fits]], 1), 1)]
+        for a, n in zip(first[count > 2], count[count > 2]):
+            found.append(pairs_of(entries[a : a + n]))
             if len(found) > 5_000:
                 found = [np.unique(np.concatenate(found), axis=0)]
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["x", "y"])
 
     def run(batches):
-        held, last = [], None
-        for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("bucket", "entries", "packed")))
-            for bucket, count, packed in rows:
-                if bucket != last and held:
-                    yield solve(held)
-                    held = []
-                last = bucket
-                held.append(_unpacked(count, packed))
-        if held:
+        for held in _each_bucket(batches, _unpacked):
             yield solve(held)
 
     return run
@@ -268,18 +316,11 @@ def cross_pairs(entries: np.ndarray, block: int = 256) -> np.ndarray:
     return np.concatenate(found)
 
 
-def _joined(texts: DataFrame, entities: DataFrame, shared, pairs_of) -> DataFrame:
-    """Candidate pairs (x, y) of the ``entities`` (doc, part)."""
+def _joined(texts: DataFrame, entities: DataFrame, shared, pairs_of, one_in: int = 1) -> DataFrame:
+    """Candidate pairs (x, y) of the ``entities`` (doc, part) that meet at some shingle, or at one in ``one_in`` of them."""
     width = shuffle_partitions(texts.sparkSession)
-    packed = texts.join(entities.hint("shuffle_hash"), "doc").mapInArrow(
-        _packed(shared, width), "bucket int, entries int, packed binary"
-    )
-    return (
-        packed.repartition(width, "bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(_candidates(pairs_of), "x bigint, y bigint")
-        .distinct()
-    )
+    packed = texts.join(entities.hint("shuffle_hash"), "doc").mapInArrow(_packed(shared, width, one_in), _PACKS)
+    return _bucketed(packed, width).mapInArrow(_candidates(pairs_of), "x bigint, y bigint").distinct()
 
 
 def _squeezed(batches):
@@ -326,11 +367,19 @@ def verified_links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def similarity_components(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """(doc, n_shingles, component): one row per row of ``docs``, whose ids stand in ``doc``."""
-    spark = docs.sparkSession
-    width = shuffle_partitions(spark)
-    keyed = docs.select(F.coalesce(F.col(id_column).cast("bigint"), F.lit(LEAST)).alias("doc"), "text")
-    # bucketed by document: no later step shuffles texts by document again
-    texts = written_bucketed(keyed.repartition(width, "doc"), "texts", width, "doc")
+    return _components_of(_placed(docs.select(F.col(id_column).alias("id"), "text"), "id"))
+
+
+def _placed(docs: DataFrame, id_column: str) -> DataFrame:
+    """``docs`` written once with ``doc``, bucketed by it: no later step shuffles texts by document again."""
+    width = shuffle_partitions(docs.sparkSession)
+    keyed = docs.withColumn("doc", F.coalesce(F.col(id_column).cast("bigint"), F.lit(LEAST)))
+    return written_bucketed(keyed.repartition(width, "doc"), "texts", width, "doc")
+
+
+def _components_of(rows: DataFrame) -> DataFrame:
+    spark = rows.sparkSession
+    texts = rows.select("doc", "text")
     shared = spark.sparkContext.broadcast(frequent_shingles(texts))  # at most MAX_FREQUENT
     described = written(
         texts.mapInArrow(_described(shared), "doc bigint, n bigint, set_a bigint, set_b bigint, prefix bigint"), "sets"
@@ -342,7 +391,8 @@ def similarity_components(docs: DataFrame, id_column: str = "doc_id") -> DataFra
     members = written(sets.join(heads, ["n", "prefix"]).select("head", "member"), "groups")
 
     # first round: hubs; the hub group's head stands for it
-    first = written(_joined(texts, heads.select(F.col("head").alias("doc"), F.lit(0).alias("part")), shared, hub_pairs), "pairs")
+    entities = heads.select(F.col("head").alias("doc"), F.lit(0).alias("part"))
+    first = written(_joined(texts, entities, shared, hub_pairs, HUB_SHINGLES), "pairs")
     met = first.join(members.withColumnRenamed("head", "y"), "y").select("x", F.col("member").alias("y"))
     own = members.where("member <> head").select(F.col("head").alias("x"), F.col("member").alias("y"))
     links = written(verified_links(texts, met.unionByName(own)), "links")
@@ -376,9 +426,9 @@ def similarity_components(docs: DataFrame, id_column: str = "doc_id") -> DataFra
 
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """``docs`` without near duplicates: of each component the row of smallest id stays, once."""
-    marks = similarity_components(docs, id_column)
-    kept = marks.where("doc = component").select("doc").distinct()
-    keyed = docs.withColumn("_doc", F.coalesce(F.col(id_column).cast("bigint"), F.lit(LEAST)))
-    return (
-        keyed.join(kept.withColumnRenamed("doc", "_doc"), "_doc", "left_semi").dropDuplicates(["_doc"]).select(*docs.columns)
+    own = "_own_doc"  # a column of the input that is called like the key
+    rows = _placed(docs.withColumnRenamed("doc", own), own if id_column == "doc" else id_column)
+    kept = _components_of(rows).where("doc = component").select("doc").distinct()
+    return rows.join(kept.hint("shuffle_hash"), "doc", "left_semi").dropDuplicates(["doc"]).select(
+        *[F.col(own).alias("doc") if c == "doc" else F.col(c) for c in docs.columns]
     )
