@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varve.llm.columns import BASE, SOLID, mixed, powers, steps, word_ends, word_hashes
+from varve.llm.columns import BASE, mixed, steps, word_ends, word_hashes
 
 
 def fraction(*columns) -> F.Column:

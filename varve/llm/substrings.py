@@ -11,7 +11,7 @@ duplicate spans.
 
 Defined results: a null or empty text has no words; a null id comes before all others; rows that
 share an id are one document seen again, so they are no sources for each other, and what is found for the
-id holds for each; columns named like a result are replaced.
+id holds for each; columns named like a result are replaced, and ``doc`` and ``spans`` are dropped.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ hashed, and their first positions found by an aggregation that combines before t
 
 Defined results: a null or empty text has no bytes; a null id comes before all others; rows that share an
 id are one document seen again: they are no sources for each other, and what is found for the id holds for each;
-columns named like a result are replaced.
+columns named like a result are replaced, and ``doc`` and ``spans`` are dropped.
 """
 
 from __future__ import annotations
