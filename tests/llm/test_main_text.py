@@ -63,3 +63,11 @@ def test_copies_of_a_page_are_no_template(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert {r["text"] for r in got.collect()} == {"same story", "reprint"}
     assert M.extract_main_text(df.limit(0)).count() == 0
+
+
+def test_wrapped_articles_of_a_host_stay(spark):
+    for part in ("article", "main"):
+        page = f"<body><div id=wrap><p>Legal text</p><section><{part}><h1>T</h1><p>story {{}}</p></{part}></section></div></body>"
+        rows = [(i, "http://a.example/", page.format(i)) for i in range(6)]
+        got = rows_by(M.extract_main_text(frame(spark, rows, SCHEMA)), "page_id")
+        assert {k: r["text"] for k, r in got.items()} == {i: f"T\n\nstory {i}" for i in range(6)}

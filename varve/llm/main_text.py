@@ -128,8 +128,7 @@ class PageBlocks:
 
     def _add(self, raw: str) -> None:
         element = self.stack[-1]
-        if element.place == "body" or element.dropped:
-            element.inner.append(raw)
+        element.inner.append(raw)
         if not element.dropped:
             self.text.append(raw)
 
@@ -201,11 +200,11 @@ class PageBlocks:
         if self.stack[-1].tag in BLOCKS:
             self._flush()
         element = self.stack.pop()
-        if element.place == "body" or element.dropped:
-            hashed = _digest(element.inner)
-            self.stack[-1].inner.append(hashed)
-            if element.number is not None:
-                self.hashes[element.number] = hashed
+        # whatever the element is: what holds an article recurs only if the article does
+        hashed = _digest(element.inner)
+        self.stack[-1].inner.append(hashed)
+        if element.number is not None:
+            self.hashes[element.number] = hashed
 
 
 def host() -> F.Column:
