@@ -71,3 +71,27 @@ def test_wrapped_articles_of_a_host_stay(spark):
         rows = [(i, "http://a.example/", page.format(i)) for i in range(6)]
         got = rows_by(M.extract_main_text(frame(spark, rows, SCHEMA)), "page_id")
         assert {k: r["text"] for k, r in got.items()} == {i: f"T\n\nstory {i}" for i in range(6)}
+
+
+def test_recurring_parts_inside_articles_go(spark):
+    # on a host of many other pages, whose number plays no part
+    note = "<div class=x1><p>Read our offers</p></div>"
+    tail = "<article class=x2>Say what you think</article>"
+    page = "<body><article><h1>News</h1>" + note + "<p>story {0} goes on</p><ul><li>item {0}</ul>" + tail + "</article></body>"
+    rows = [(i, "http://a.example/", page.format(i)) for i in range(4)]
+    rows += [(i, "http://a.example/", f"<body><article><p>other {i}</p></article></body>") for i in range(10, 50)]
+    got = rows_by(M.extract_main_text(frame(spark, rows, SCHEMA)), "page_id")
+    assert {k: r["text"] for k, r in got.items()} == {
+        **{i: f"News\n\nstory {i} goes on\n\nitem {i}" for i in range(4)},
+        **{i: f"other {i}" for i in range(10, 50)},
+    }
+
+
+def test_reprints_stay_whole(spark):
+    story = "<div id=text><p>A story that is printed again</p><ul><li>own list</ul></div>"
+    page = "<body><p>head {0}</p><div id=wrap><article><h1>T</h1>" + story + "<div><p>ad {0}</p></div></article></div></body>"
+    rows = [(i, "http://a.example/", page.format(i)) for i in range(5)]
+    got = rows_by(M.extract_main_text(frame(spark, rows, SCHEMA)), "page_id")
+    assert {k: r["text"] for k, r in got.items()} == {
+        i: f"T\n\nA story that is printed again\n\nown list\n\nad {i}" for i in range(5)
+    }

@@ -1,10 +1,14 @@
 """Main text of web pages: site templates out, then the article's blocks.
 
-Element subtrees outside the article are hashed, and counted per host in Spark by the number
-of different pages that hold them. Subtrees that recur across many pages of their host are the site's
-template and are deleted. Of the rest, elements that are page furniture by their kind or class
-go too, and what remains of the article (else of the main part, else of the body) is the main
-text. An article's own paragraphs are never template: reprints of an article stay whole.
+Element subtrees outside the article, and those inside it that are no paragraphs, are hashed, and counted per
+host in Spark by the number of different pages that hold them. Subtrees that recur on ``MIN_PAGES``
+pages, however many the host has, are the site's template and are deleted. Of the rest, elements that are page
+furniture by their kind or class go too, and what remains of the article (else of the main part, else of
+the body) is the main text.
+
+An article's own paragraphs are never template: reprints of an article stay whole. So what holds text of an
+article is counted by the different articles beside it, told apart by their first heading and longest own block, and not on
+pages where it has more than half of the article's text.
 
 Defined results: a null or empty page gives the empty text; a null url is a host of its own
 name, the empty one; repeated pages count once and each keeps its row; a tag that the page's end cuts off is
@@ -25,9 +29,8 @@ from pyspark.sql import types as T
 from varve.llm.columns import as_strings
 from varve.session import written
 
-#: A subtree is template on so many different pages of a host, if that is also this share of them.
+#: A subtree is template on so many different pages of a host.
 MIN_PAGES = 3
-MIN_SHARE = 0.3
 
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 RAW = set("script style textarea title xmp noembed noframes".split())
@@ -41,6 +44,9 @@ BLOCKS = set(
 )
 #: Elements whose subtrees may be template.
 CANDIDATES = set("aside div dl footer form header nav ol p section table ul".split())
+#: The same inside an article or main part.
+CANDIDATES_INSIDE = CANDIDATES - {"p"} | {"article", "details", "fieldset", "figure"}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 FURNITURE = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice "
     "notices popup modal sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead comment comments "
@@ -84,7 +90,7 @@ class PageBlocks:
     def __init__(self, page: str):
         self.stack = [_Element("", False, "body", [], None)]
         self.hashes: list[str | None] = []
-        self.found: list[tuple[str, str, tuple[int, ...]]] = []
+        self.found: list[tuple[str, str, tuple[int, ...], bool]] = []
         self.text: list[str] = []
         self._read(page)
         self._flush()
@@ -93,8 +99,38 @@ class PageBlocks:
 
     def blocks(self) -> list[tuple[str, list[str]]]:
         """(text, hashes of the candidates around it) of the best part that the page has."""
+        return [(text, [self.hashes[i] for i in path]) for text, _, path, _ in self._best()]
+
+    def subtrees(self) -> dict[str, str | None]:
+        """Hash of each candidate to what tells its page from others: None is the page itself.
+
+        Candidates that have most of an article are left out.
+        """
+        votes = dict.fromkeys(self.hashes)
+        best = self._best()
+        if not best or best[0][1] == "body":
+            return votes
+        blocks = [(text, {self.hashes[i] for i in path}, heading) for text, _, path, heading in best]
+        total = sum(len(text) for text, _, _ in blocks)
+        held: dict[str, int] = {}
+        for text, within, _ in blocks:
+            for subtree in within:
+                held[subtree] = held.get(subtree, 0) + len(text)
+        most = {subtree for subtree, size in held.items() if 2 * size > total}
+        # the article's own blocks, which nothing smaller encloses, come before all others
+        by_length = sorted(blocks, key=lambda block: (not block[1] <= most, -len(block[0])))
+        headings = [block for block in blocks if block[2]]
+        for subtree in held:
+            if subtree in most:
+                del votes[subtree]
+                continue
+            beside = (next((text for text, within, _ in order if subtree not in within), "") for order in (headings, by_length))
+            votes[subtree] = _digest(list(beside))
+        return votes
+
+    def _best(self) -> list[tuple[str, str, tuple[int, ...], bool]]:
         for place in ("article", "main", "body"):
-            kept = [(text, [self.hashes[i] for i in path]) for text, where, path in self.found if where == place]
+            kept = [block for block in self.found if block[1] == place]
             if kept:
                 return kept
         return []
@@ -139,7 +175,8 @@ class PageBlocks:
             if words:
                 element = self.stack[-1]
                 path = tuple(e.number for e in self.stack if e.number is not None)
-                self.found.append((" ".join(words), element.place, path))
+                heading = any(e.tag in HEADINGS for e in self.stack)
+                self.found.append((" ".join(words), element.place, path, heading))
 
     def _open(self, name: str, given: str) -> None:
         if name in BLOCKS:
@@ -169,7 +206,8 @@ class PageBlocks:
         if not dropped and (name == "article" or name == "main" and place == "body"):
             place = name
         number = None
-        if name in CANDIDATES and place == "body":
+        # the outermost article or main part is no candidate: all of its text is in it
+        if name in CANDIDATES if place == "body" else name in CANDIDATES_INSIDE and above.place != "body":
             number = len(self.hashes)
             self.hashes.append(None)
         head = " ".join([name, *(f"{k}={v}" for k, v in sorted(named.items()))])
@@ -215,13 +253,14 @@ def host() -> F.Column:
 _PARSED = T.StructType(
     [
         T.StructField("blocks", T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("within", T.ArrayType(T.StringType()))]))),
-        T.StructField("subtrees", T.ArrayType(T.StringType())),
+        T.StructField("subtrees", T.ArrayType(T.StructType([T.StructField("subtree", T.StringType()), T.StructField("vote", T.StringType())]))),
     ]
 )
 
 
 def _parse(batches):
-    kinds = [pa.list_(pa.struct([("text", pa.string()), ("within", pa.list_(pa.string()))])), pa.list_(pa.string())]
+    kinds = [pa.list_(pa.struct([("text", pa.string()), ("within", pa.list_(pa.string()))]))]
+    kinds.append(pa.list_(pa.struct([("subtree", pa.string()), ("vote", pa.string())])))
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
             part = batch.slice(start, 512)
@@ -230,7 +269,7 @@ def _parse(batches):
             for page in as_strings(part.column(at)).to_pylist():
                 parsed = PageBlocks(page)
                 blocks.append([{"text": t, "within": w} for t, w in parsed.blocks()])
-                subtrees.append(sorted(set(parsed.hashes)))
+                subtrees.append([{"subtree": s, "vote": v} for s, v in parsed.subtrees().items()])
             columns = [c for i, c in enumerate(part.columns) if i != at]
             names = [n for i, n in enumerate(part.schema.names) if i != at]
             yield pa.RecordBatch.from_arrays(
@@ -249,28 +288,29 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
     return keyed.mapInArrow(_parse, T.StructType([*fields, *_PARSED.fields]))
 
 
-def site_templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def site_templates(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(site, subtree) of the subtrees that recur across many different pages of their site."""
-    pages = parsed.select("site", "page_hash").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
-    held = (
-        parsed.select("site", "page_hash", F.explode("subtrees").alias("subtree"))
+    return (
+        parsed.select("site", "page_hash", F.explode("subtrees").alias("held"))
+        .select("site", "held.subtree", F.coalesce("held.vote", F.col("page_hash").cast("string")).alias("vote"))
         .distinct()
         .groupBy("site", "subtree")
         .agg(F.count(F.lit(1)).alias("held"))
         .where(F.col("held") >= min_pages)
+        .select("site", "subtree")
     )
-    return held.join(pages, "site").where(F.col("held") >= min_share * F.col("pages")).select("site", "subtree")
 
 
-def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` without ``html``, with ``text`` (blocks joined by an empty line) and ``n_chars``."""
     parsed = written(parsed_pages(pages), "pages")
-    templates = site_templates(parsed, min_pages, min_share)
-    # a block with no candidate around it can't be template, so most texts need not meet the list
+    templates = site_templates(parsed, min_pages)
+    # a block with no candidate around it can't be template, so texts without such need not meet the list
     open_ = F.exists("blocks", lambda b: F.size(b["within"]) > 0)
+    around = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["within"])))
     deleted = (
         parsed.where(open_)
-        .select("site", "page_hash", F.explode("subtrees").alias("subtree"))
+        .select("site", "page_hash", F.explode(around).alias("subtree"))
         .distinct()
         .join(templates, ["site", "subtree"])
         .groupBy("site", "page_hash")
