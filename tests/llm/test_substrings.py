@@ -85,3 +85,18 @@ def test_buckets_are_exact():
         for s, n in zip(starts, number):
             assert strings.setdefault(buf[s : s + window].tobytes(), n) == n
         assert len(set(strings.values())) == len(strings)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_passage_of_two_documents_whatever_ansi_is(spark, ansi):
+    passage = " ".join(f"p{i}" for i in range(90))
+    docs = frame(spark, [(1, f"one {passage}"), (2, f"two {passage}")])
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        words = rows_by(S.without_duplicates(docs))
+        texts = rows_by(B.without_repeats(docs))
+        assert words[2]["n_removed"] == 90 and words[1]["n_removed"] == 0
+        assert texts[2]["n_removed"] >= len(passage) and texts[1]["n_removed"] == 0
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

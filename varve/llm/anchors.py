@@ -120,8 +120,10 @@ def shared_contexts(found: DataFrame, label: str) -> DataFrame:
     ``alone`` (whether no other context has its anchor). Written once."""
     # 32 bits of the anchor are enough to count: a chance collision only keeps some rows too many
     short = F.shiftright("anchor", 32).cast("int")
+    # the size of null is -1 in sessions without ANSI
+    times = F.when(F.col("more").isNull(), 0).otherwise(F.size("more"))
     often = (
-        found.select(short.alias("short"), (1 + F.coalesce(F.size("more"), F.lit(0))).alias("times"))
+        found.select(short.alias("short"), (1 + times).alias("times"))
         .groupBy("short")
         .agg(F.sum("times").alias("times"))
         .where("times > 1")
