@@ -59,6 +59,25 @@ def test_edges(spark):
     assert J.similarity_components(docs.limit(0)).count() == 0
 
 
+def test_null_and_repeated_ids_lose_no_text(spark):
+    far = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcdefg"]
+    near = [far[i] + " more" for i in range(7)]
+    rows = [(None, far[0]), (None, far[1]), (None, far[1]), (None, ""), (None, ""), (5, far[2]), (5, far[3]), (6, near[2])]
+    rows += [(7, near[3]), (8, far[4]), (8, far[4]), (9, far[5]), (None, near[5]), (10, ""), (10, "")]
+    docs = frame(spark, rows)
+    kept = [(r["doc_id"], r["text"]) for r in J.one_of_each_group(docs).collect()]
+    assert sorted(kept, key=str) == sorted(
+        [(None, far[0]), (None, far[1]), (None, ""), (None, ""), (5, far[2]), (5, far[3]), (8, far[4]), (None, near[5]), (10, "")], key=str
+    )
+    got = J.similarity_components(docs).collect()
+    assert sorted(r["doc"] for r in got if r["doc"] is not None) == [5, 5, 6, 7, 8, 8, 9, 10, 10]
+    sizes = {}
+    for r in got:
+        sizes[r["component"]] = sizes.get(r["component"], 0) + 1
+    assert sorted(sizes.values()) == [1, 1, 1, 2, 2, 2, 2, 2, 2]
+    assert {5, 8, 9, 10} <= set(sizes) and all(c < -(2**62) for c in set(sizes) - {5, 8, 9, 10})
+
+
 def test_filters():
     for x in range(1, 60):
         for y in range(1, 60):

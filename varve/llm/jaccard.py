@@ -10,8 +10,12 @@ two rounds. In the first, each group meets one hub per shingle and size range, f
 (near copies share many); verified links give components. In the second, over all shingles, candidates are all pairs that the prefixes allow between different components, for pairs within one
 component can't change it. Both rounds together lose no link that matters to reachability.
 
-Defined results: a null or empty text has an empty set and is linked with nothing; equal sets are
-linked; rows that repeat an id are one document seen again; a null id counts as the smallest.
+Rows are told apart by a key of their own, whatever their ids are: texts under one id, or under none, are linked only if they are similar.
+
+Defined results: a null or empty text has an empty set and is linked with nothing; equal sets are linked. A component
+is named by its smallest id; if it has none, or another component bears it, by a number of its own, far below zero.
+Where one row stays, a null id counts as the smallest, then the texts' hashes decide; rows that repeat both id and text are one document
+seen again.
 """
 
 from __future__ import annotations
@@ -183,7 +187,7 @@ def _unpacked_steps(count: int, packed: bytes) -> np.ndarray:
 
 
 def _described(shared):
-    """Per document: size of the set, two hashes of it, and one of its prefix."""
+    """Per document, with its id and the text's hash: size of the set, two hashes of it, and one of its prefix."""
 
     def run(batches):
         frequent, times = shared.value
@@ -197,7 +201,8 @@ def _described(shared):
                 prefix.append(mixed(in_order(tokens, frequent, times)[: prefix_size(n)]).sum() if n else 0)
             hashes = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (first, second, prefix)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(sizes, pa.int64()), *hashes], ["doc", "n", "set_a", "set_b", "prefix"]
+                [*(batch.column(c) for c in ("doc", "id", "hash")), pa.array(sizes, pa.int64()), *hashes],
+                ["doc", "id", "hash", "n", "set_a", "set_b", "prefix"],
             )
 
     return run
@@ -367,22 +372,33 @@ def verified_links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def similarity_components(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """(doc, n_shingles, component): one row per row of ``docs``, whose ids stand in ``doc``."""
-    return _components_of(_placed(docs.select(F.col(id_column).alias("id"), "text"), "id"))
+    found = written(_components_of(_placed(docs.select(F.col(id_column).alias("id"), "text")), "id"), "found")
+    named = found.groupBy("component").agg(F.min("id").alias("low"))
+    # one id may stand in several components: the first of them bears it
+    first = named.where("low is not null").groupBy("low").agg(F.min("component").alias("component"))
+    names = first.select("component", F.col("low").alias("name"))
+    return found.join(names, "component", "left").select(
+        F.col("id").alias("doc"), "n_shingles", F.coalesce("name", F.col("component") + F.lit(LEAST)).alias("component")
+    )
 
 
-def _placed(docs: DataFrame, id_column: str) -> DataFrame:
-    """``docs`` written once with ``doc``, bucketed by it: no later step shuffles texts by document again."""
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with ``doc``, a key of the row, bucketed by it: no later step shuffles texts by document again."""
     width = shuffle_partitions(docs.sparkSession)
-    keyed = docs.withColumn("doc", F.coalesce(F.col(id_column).cast("bigint"), F.lit(LEAST)))
+    keyed = docs.withColumn("doc", F.monotonically_increasing_id())
     return written_bucketed(keyed.repartition(width, "doc"), "texts", width, "doc")
 
 
-def _components_of(rows: DataFrame) -> DataFrame:
+def _components_of(rows: DataFrame, id_column: str) -> DataFrame:
+    """(doc, id, hash, n_shingles, component) of each row; components go by row keys."""
     spark = rows.sparkSession
     texts = rows.select("doc", "text")
     shared = spark.sparkContext.broadcast(frequent_shingles(texts))  # at most MAX_FREQUENT
     described = written(
-        texts.mapInArrow(_described(shared), "doc bigint, n bigint, set_a bigint, set_b bigint, prefix bigint"), "sets"
+        rows.select("doc", F.col(id_column).cast("bigint").alias("id"), F.xxhash64("text").alias("hash"), "text").mapInArrow(
+            _described(shared), "doc bigint, id bigint, hash bigint, n bigint, set_a bigint, set_b bigint, prefix bigint"
+        ),
+        "sets",
     )
     # distinct sets, each under its smallest document, and the groups of equal prefix and size
     sets = described.where("n > 0").groupBy("n", "prefix", "set_a", "set_b").agg(F.min("doc").alias("member"))
@@ -417,18 +433,26 @@ def _components_of(rows: DataFrame) -> DataFrame:
     final = components(more.unionByName(hooks))
 
     named = (
-        described.join(sets, ["n", "prefix", "set_a", "set_b"], "left")
+        described.where("n > 0")
+        .join(sets, ["n", "prefix", "set_a", "set_b"], "left")
         .join(final.withColumnRenamed("node", "member"), "member", "left")
-        .select("doc", F.col("n").alias("n_shingles"), F.coalesce("component", "member", "doc").alias("component"))
+        .select("doc", "id", "hash", F.col("n").alias("n_shingles"), F.coalesce("component", "member", "doc").alias("component"))
+    )
+    # empty texts are linked with nothing: of them only rows that repeat an id are one
+    empty = described.where("n = 0")
+    seen = empty.where("id is not null").groupBy("id", "hash").agg(F.min("doc").alias("component"))
+    alone = empty.join(seen, ["id", "hash"], "left").select(
+        "doc", "id", "hash", F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component")
     )
-    return named
+    return named.unionByName(alone)
 
 
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """``docs`` without near duplicates: of each component the row of smallest id stays, once."""
+    """``docs`` without near duplicates: of each component the row of smallest id stays."""
     own = "_own_doc"  # a column of the input that is called like the key
-    rows = _placed(docs.withColumnRenamed("doc", own), own if id_column == "doc" else id_column)
-    kept = _components_of(rows).where("doc = component").select("doc").distinct()
-    return rows.join(kept.hint("shuffle_hash"), "doc", "left_semi").dropDuplicates(["doc"]).select(
+    rows = _placed(docs.withColumnRenamed("doc", own))
+    found = _components_of(rows, own if id_column == "doc" else id_column)
+    kept = found.groupBy("component").agg(F.min(F.struct("id", "hash", "doc")).alias("least")).select("least.doc")
+    return rows.join(kept.hint("shuffle_hash"), "doc", "left_semi").select(
         *[F.col(own).alias("doc") if c == "doc" else F.col(c) for c in docs.columns]
     )
