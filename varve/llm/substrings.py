@@ -1,13 +1,9 @@
-"""Substring dedup by relative Lempel-Ziv parsing over words.
-
-The reference that a document is parsed against is all text of documents with smaller ids. It is
-indexed in blocks by content: a block holds the contexts that share an anchor (see
-:mod:`varve.llm.anchors`), and a document visits exactly the blocks whose anchors it has, so no document
-meets a block with which it can't share a factor. Within a block the parse is greedy: the longest phrase,
-a whole context, is looked up first, and phrases that follow each other grow into one factor. Where the parse of
-a context fails, a factor ends; there each window is looked up for itself among the windows of its
-block, so no duplicate window is lost at a factor boundary. Factors of ``window`` words or more are
-duplicate spans.
+"""Substring dedup over words by hashed windows, which replace a greedy relative Lempel-Ziv parse.
+
+Sources are all documents with smaller ids. Their text is grouped by content: a block holds the contexts that
+share an anchor (see :mod:`varve.llm.anchors`), and a document meets only the blocks of its own anchors.
+Whole contexts are looked up first by their hash; of a context that no earlier document has, each window is looked up
+among the windows of its block. No match is extended: windows found are united to duplicate spans.
 
 Defined results: a null or empty text has no words; a null id comes before all others; rows that
 share an id are one document seen again, so they are no sources for each other, and what is found for the
