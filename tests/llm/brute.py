@@ -1,6 +1,7 @@
 """Plain single-process versions of the operators, to compare with."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -128,3 +129,73 @@ def quality_counts(text):
         repeated,
         len(inside),
     )
+
+
+def runs(words, least, exponent):
+    """(start, length, period) of maximal stretches of smallest period q, as long as ``least`` and ``exponent * q``."""
+    found, n = [], len(words)
+    for q in range(1, n // exponent + 1):
+        i = 0
+        while i < n - q:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            if length >= max(least, exponent * q) and smallest_period(words[i : i + length]) == q:
+                found.append((i, length, q))
+            i = j + 1
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def smallest_period(words):
+    border = [0] * len(words)
+    k = 0
+    for i in range(1, len(words)):
+        while k and words[i] != words[k]:
+            k = border[k - 1]
+        k += words[i] == words[k]
+        border[i] = k
+    return len(words) - border[-1]
+
+
+def collapsed(words, found):
+    gone = {i for start, length, q in found for i in range(start + q, start + length)}
+    return [w for i, w in enumerate(words) if i not in gone]
+
+
+def ranked(docs, items, k):
+    """(item, rank, doc, score) of the k best documents of each item."""
+    pattern = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    bags = [(name, Counter(re.findall(pattern, lowered(text)))) for name, text in docs]
+    bags = [(name, bag) for name, bag in bags if bag]
+    total, terms = len(bags), sum(sum(bag.values()) for _, bag in bags)
+    df = Counter(t for _, bag in bags for t in bag)
+    out = []
+    for item, text in items:
+        asked = Counter(re.findall(pattern, lowered(text)))
+        scored = []
+        for name, bag in bags:
+            m = 75 + (25 * sum(bag.values()) * total) // terms
+            score = sum(
+                times * math.floor(1000 * math.log((2 * total + 2) / (2 * df[t] + 1))) * ((10**9 * bag[t]) // (1000 * bag[t] + 12 * m))
+                for t, times in asked.items()
+                if t in bag
+            )
+            if score > 0:
+                scored.append((-score, name))
+        out += [(item, rank, name, -score) for rank, (score, name) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out)
+
+
+def nearest(rows, k, every=50):
+    """(query, rank, id, score) of the k highest whole inner products."""
+    whole = [(name, [math.floor(256 * float(x)) for x in v]) for name, v, *_ in rows]
+    out = []
+    for name, v in whole:
+        if name % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), other) for other, w in whole if other != name)
+            out += [(name, rank, other, -score) for rank, (score, other) in enumerate(scored[:k], 1)]
+    return sorted(out)

@@ -83,9 +83,43 @@ SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed,
   CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(rest, ''))) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)"""
 
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+_RANKED = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, t AS w, CAST(len(t) AS HUGEINT) AS n
+  FROM (SELECT doc_id, {_words(_TERMS, True)} AS t FROM documents)),
+sums AS (SELECT CAST(count(*) AS HUGEINT) AS total, sum(n) AS words FROM docs WHERE n > 0),
+postings AS (SELECT d, term, CAST(count(*) AS HUGEINT) AS tf FROM (SELECT d, unnest(w) AS term FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * total + 2 AS DOUBLE) / (2 * count(*) + 1))) AS HUGEINT) AS weight
+  FROM postings, sums GROUP BY term, total),
+asked AS (
+  SELECT item, item_id, term, count(*) AS times
+  FROM (SELECT row_number() OVER () AS item, item_id, unnest({_words(_TERMS, True)}) AS term FROM benchmark) GROUP BY ALL),
+scores AS (
+  SELECT item, item_id, doc_id, d, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * total) // words)))) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN docs USING (d), sums GROUP BY ALL HAVING score > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id, d) AS place FROM scores)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE place <= 20"""
+
+_NEAREST = """
+WITH raw AS (
+  SELECT vec_id, len(embedding) AS width, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
+  FROM embeddings WHERE vec_id IS NOT NULL),
+parts AS (
+  SELECT vec_id, width, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+  FROM raw ANTI JOIN (SELECT vec_id FROM raw WHERE x IS NULL OR NOT isfinite(x)) USING (vec_id)),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM parts q JOIN parts c ON q.i = c.i AND q.width = c.width AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5"""
+
 ORACLES = {
     "op1_decontamination": _DECONTAMINATION,
     "op4_substring_dedup": _WORD_REPEATS,
     "op6_jaccard_join": _SIMILAR,
     "op7_suffix_dedup": _BYTE_REPEATS,
+    "op12_lexical_search": _RANKED,
+    "op13_topk_search": _NEAREST,
 }
