@@ -1,13 +1,19 @@
+import json
+import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from varve.functions.text import djb2
-from varve.operators import graph
+from varve.operators import compact, graph
 from varve.operators.links import parse_links
-from varve.operators.partitioning import place_by_word_hash
-from varve.plans.pagerank import pagerank
+from varve.operators.partitioning import place_by_word_hash, place_rows_by_word_hash
+from varve.plans import pagerank as plans
+from varve.plans.manifest import Manifest
+from varve.plans.pagerank import pagerank, resumable_pagerank
+from varve.session import file_bytes, fresh_path, planned_width, shuffle_width, written
 
 CHAIN_AND_CYCLE = [(1, 2), (2, 3), (3, 4), (4, 5), (9, 10), (10, 9), (10, 11)]
 
@@ -122,6 +128,138 @@ def test_hubs_are_few_and_found(spark, hub_graph):
     assert len(found) < 8
 
 
+@pytest.mark.parametrize("parts, at_least", [(8, 1), (3, 1), (50, 1), (8, 300), (2, 10_000)])
+def test_heavy_sources_are_the_hubs(spark, hub_graph, parts, at_least):
+    edges = frame(spark, hub_graph)
+    want = sorted(map(tuple, graph.hubs(edges, parts, at_least).collect()))
+    assert sorted(map(tuple, graph.heavy_sources(edges, parts, at_least).collect())) == want
+    folded = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
+    assert sorted(map(tuple, graph.heavy_sources(folded, parts, at_least, copies="copies").collect())) == want
+
+
+def test_heavy_sources_exchange_only_suspects(spark):
+    edges = written(frame(spark, [(0, i) for i in range(500)] + [(i, 0) for i in range(1, 20_001)]), "edges")
+    found = graph.heavy_sources(edges, 50, at_least=400)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.index("BroadcastHashJoin") > text.index("Exchange hashpartitioning(src")  # the sieve stands below the exchange
+    assert [tuple(r)[:2] for r in found.collect()] == [(0, 500)]
+    # of 20,000 sources about one in SIEVE shares a bucket with the hub
+    counted = edges.where(F.pmod(F.xxhash64("src"), F.lit(graph.SIEVE * 50)) == F.pmod(F.xxhash64(F.lit(0).cast("bigint")), F.lit(graph.SIEVE * 50)))
+    assert counted.select("src").distinct().count() < 40
+
+
+def test_no_heavy_sources(spark):
+    assert graph.heavy_sources(frame(spark, []), 8).count() == 0
+    assert graph.heavy_sources(frame(spark, [(i, 0) for i in range(100)]), 8, at_least=1).count() == 0
+
+
+def test_contributions_read_the_edges_once(spark, hub_graph, monkeypatch):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    edges = frame(spark, hub_graph).mapInArrow(seen, "src bigint, dst bigint")
+    ranks = graph.first_ranks(frame(spark, hub_graph))
+    graph.rank_contributions(edges, ranks).collect()
+    assert reads.value == len(hub_graph)
+
+
+def test_exact_ranks_are_the_same_bit_for_bit(spark, hub_graph):
+    edges = written(frame(spark, hub_graph), "edges")
+    variants = [
+        {"parts": 4}, {"parts": 8}, {"parts": 150}, {"store": "memory"}, {"store": "plan"}, {"cut_every": 2},
+        {"hub_edges": 1}, {"hub_edges": 1, "parts": 5, "store": "memory"},
+    ]
+    found = [ranks_of(pagerank(edges, rounds=6, exact=True, **how)) for how in variants]
+    assert all(f == found[0] for f in found)
+    assert found[0] == pytest.approx(brute_force(hub_graph, 6))
+
+
+def test_contributions_are_exact_sums(spark):
+    # a tenth from each of ten, and the reverse of it: only a sum that is rounded once is 1
+    edges = frame(spark, [(i, j) for i in range(10) for j in range(10)])
+    ranks = spark.createDataFrame([(i, 1.0) for i in range(10)], "node bigint, rank double")
+    got = {r["contribution"] for r in graph.rank_contributions(edges, ranks, exact=True).collect()}
+    assert got == {math.fsum([0.1] * 10)}
+
+
+class Lost(Exception):
+    pass
+
+
+@pytest.mark.parametrize("hub_edges", [1_000_000, 1])
+def test_a_new_session_resumes_at_the_last_whole_round(spark, hub_graph, monkeypatch, hub_edges):
+    folder = fresh_path(spark, "job")
+    save = Manifest.save
+    saved = []
+
+    def failing(self, df, kind, number, buckets, *keys):
+        if kind == "ranks" and number == 7:
+            # a table that was begun, and the session that wrote it is gone
+            df.limit(3).write.parquet(f"{folder}/ranks-7-begun")
+            raise Lost
+        saved.append((kind, number))
+        return save(self, df, kind, number, buckets, *keys)
+
+    how = {"rounds": 10, "cut_every": 1, "hub_edges": hub_edges}
+    monkeypatch.setattr(Manifest, "save", failing)
+    with pytest.raises(Lost):
+        resumable_pagerank(frame(spark, hub_graph), folder, **how)
+    assert saved == [("hubs", 0), ("shares", 0)] + [("ranks", n) for n in range(1, 7)]
+
+    monkeypatch.setattr(Manifest, "save", lambda self, df, kind, number, *more: saved.append((kind, number)) or save(self, df, kind, number, *more))
+    saved.clear()
+    other = spark.newSession()
+    got = ranks_of(resumable_pagerank(frame(other, hub_graph), folder, **how))
+    assert saved == [("ranks", n) for n in range(7, 11)]  # nothing before round 7 was done again
+    assert got == ranks_of(pagerank(frame(spark, hub_graph), exact=True, hub_edges=hub_edges))
+    saved.clear()
+    assert ranks_of(resumable_pagerank(frame(other, hub_graph), folder, **how)) == got and not saved
+
+
+def test_damaged_tables_are_passed_over(spark, hub_graph):
+    folder = fresh_path(spark, "job")
+    edges = frame(spark, hub_graph)
+    want = ranks_of(resumable_pagerank(edges, folder, rounds=4))
+    lines = [json.loads(r["value"]) for r in spark.read.text(f"{folder}/manifest").collect()]
+    paths = {x["number"]: x["path"] for x in lines if x["kind"] == "ranks"}
+    # one row more in the last table, and files that are no parquet in the one before
+    spark.createDataFrame([(-1, 1.0)], "node bigint, rank double").coalesce(1).write.mode("append").parquet(paths[4])
+    spark.createDataFrame([("no table",)], "value string").write.mode("overwrite").text(paths[3])
+    manifest = Manifest(spark, folder, lines[0]["job"])
+    assert manifest.last("ranks", 4)[0] == 2
+    assert ranks_of(resumable_pagerank(edges, folder, rounds=4)) == want
+
+
+def test_other_edges_are_another_job(spark, hub_graph):
+    folder = fresh_path(spark, "job")
+    resumable_pagerank(frame(spark, hub_graph), folder, rounds=3)
+    other = hub_graph[1:]
+    assert ranks_of(resumable_pagerank(frame(spark, other), folder, rounds=3)) == pytest.approx(brute_force(other, 3))
+    # fewer rounds than are on record
+    assert ranks_of(resumable_pagerank(frame(spark, other), folder, rounds=2)) == pytest.approx(brute_force(other, 2))
+
+
+def test_width_follows_the_bytes(spark, monkeypatch):
+    edges = written(frame(spark, [(i, i * 7919 % 100_003) for i in range(100_000)]).repartition(4), "edges")
+    size = file_bytes(edges)
+    assert size == sum(f.length() for f in spark._jvm.java.io.File(edges.inputFiles()[0][7:]).getParentFile().listFiles() if f.getName().endswith(".parquet"))
+    assert planned_width(edges) == min(spark.sparkContext.defaultParallelism, -(-size // (1 << 20)))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        assert planned_width(edges) == -(-size // 16384)
+        seen = []
+        monkeypatch.setattr(plans, "shuffle_width", lambda s, n: seen.append(n) or shuffle_width(s, n))
+        pagerank(edges, rounds=2, parts="data")
+        pagerank(edges, rounds=2, parts=150)
+        assert seen == [-(-file_bytes(edges) // 16384), 150] or abs(seen[0] - size / 16384) < 0.3 * seen[0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 def test_no_slot_holds_a_whole_hub(spark):
     edges = frame(spark, [(0, i) for i in range(4000)] + [(i, 0) for i in range(1, 4001)])
     hub_rows = graph.hubs(edges, 8, at_least=1)
@@ -142,16 +280,20 @@ def test_hub_rounds_move_ranks_not_edges(spark, hub_graph):
     assert text.count("Exchange hashpartitioning") == 7
 
 
-def test_lazy_plan_has_no_extra_exchange(spark, hub_graph):
+def test_lazy_plan_exchanges_edges_once_and_counts_degrees_once(spark, hub_graph):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = pagerank(frame(spark, hub_graph), rounds=4, store="plan")
         text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in text and "Sort [" not in text
+        assert text.count("Exchange hashpartitioning(dst") == 4
+        assert plan.count() == len(brute_force(hub_graph, 4))
+        run = plan._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("Exchange hashpartitioning(src") == 4  # one edge exchange, reused when it runs
-    assert text.count("Exchange hashpartitioning(dst") == 4
-    assert text.count("Exchange hashpartitioning") == 8
+    # the rest are the edges and the degrees, again and again the same exchange
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", text)) == {"src", "dst"}
+    assert run.count("ReusedExchange") > 0 or "AdaptiveSparkPlan" in run
 
 
 def test_stored_edges_leave_one_exchange_per_round(spark, hub_graph):
@@ -219,3 +361,45 @@ def test_word_hash_places_rows(spark):
     placed = place_by_word_hash(df, "k", 13)
     assert placed.where(F.spark_partition_id() != F.col("part")).count() == 0
     assert placed.select("part").distinct().count() == 13
+
+
+@pytest.mark.parametrize("rows", [0, 1, 3000])
+def test_a_hot_word_partition_is_spread(spark, rows):
+    words = ["hot" if i % 3 == 0 else f"w{i % 40}" for i in range(rows)]
+    df = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "k string, i int").repartition(4)
+    placed = place_rows_by_word_hash(df, "k", 13).withColumn("on", F.spark_partition_id())
+    got = placed.collect()
+    assert sorted((r["k"], r["i"]) for r in got) == sorted((w, i) for i, w in enumerate(words))
+    want = {r["k"]: r["h"] % 13 for r in df.select("k", djb2(F.col("k")).alias("h")).collect()}
+    assert all(r["part"] == want[r["k"]] for r in got)
+    assert len({(r["part"], r["slot"]) for r in got}) == len({r["on"] for r in got}) <= 39
+    if rows > 1:
+        sizes = [sum(r["on"] == p for r in got) for p in {r["on"] for r in got}]
+        assert max(sizes) < 2 * sum(sizes) / len(sizes)
+        assert len({r["slot"] for r in got if r["k"] == "hot"}) >= 8
+
+
+@pytest.mark.parametrize("how", [{}, {"hub_edges": 1, "per_row": 7}, {"exact": True, "per_row": 3}], ids=str)
+def test_compact_lists_give_the_same_ranks(spark, hub_graph, how):
+    names = [(f"page {s:03}", f"page {d:03}") for s, d in hub_graph]
+    for edges in (hub_graph, names, CHAIN_AND_CYCLE):
+        got = ranks_of(plans.compact_pagerank(frame(spark, edges), rounds=4, **how))
+        assert got == pytest.approx(brute_force(edges, 4))
+    assert plans.compact_pagerank(frame(spark, [("a", "b")]), rounds=2).count() == 0
+
+
+def test_gap_lists_hold_the_edges_in_fewer_bytes(spark):
+    rng = random.Random(4)
+    edges = frame(spark, [(f"Category:Page_{rng.randrange(3_000)}", f"Page_{int(rng.paretovariate(0.7)) % 3_000}") for _ in range(60_000)])
+    folded = graph.folded_edges(edges)
+    dictionary = compact.node_dictionary(folded)
+    numbered = compact.numbered_edges(folded, dictionary)
+    lists = written(compact.gap_lists(numbered, per_row=50), "lists")
+    assert lists.agg(F.max(F.size("gaps"))).first()[0] <= 50
+    back = compact.spread_lists(lists.withColumn("share", F.lit(1.0))).groupBy("dst").agg(F.sum("amount").alias("n"))
+    want = numbered.groupBy("dst").agg(F.sum("copies").cast("double").alias("n"))
+    assert back.exceptAll(want).count() == 0 and back.count() == want.count()
+    shares = written(graph.edge_shares(folded, 8), "shares")
+    ratio = file_bytes(lists) / file_bytes(shares)
+    print("bytes of lists to bytes of shares:", ratio)
+    assert ratio < 0.6

@@ -53,6 +53,35 @@ def test_lines_of_whole_files(spark, tmp_path):
     assert text.scan_lines(spark, f"{tmp_path}/link*").count() == 3
 
 
+def test_file_lines_equal_a_split_of_the_whole_text(spark, tmp_path):
+    texts = [
+        "", "\n", "a", "a\n", "a\x0b", "a\x0b\n", "a\x0b\r\n", "a\r", "a\r\r\n", "\x0b", "a\x0b\x0c", "a\x0b\x0c\nb\u2028", "\u2029\n\x1c",
+        "é\x85\nx\x1e\ny", "a\rb\r\nc\r", "x\n\ny\x0b\n\n",
+    ]
+    for i, content in enumerate(texts):
+        (tmp_path / f"file{i:02}").write_text(content, encoding="utf-8", newline="")
+    rows = text.scan_file_lines(spark, f"{tmp_path}/file*").collect()
+    got = {}
+    for r in rows:
+        got.setdefault(int(r["file"][-2:]), []).append(r["value"])
+    for i, content in enumerate(texts):
+        assert sorted(got.get(i, [])) == sorted(content.splitlines()), repr(content)
+
+
+def test_the_last_line_of_a_file_in_splits(spark, tmp_path):
+    content = "".join(f"line {i}\x0b\n" for i in range(5_000)) + "end\x0b"
+    (tmp_path / "big").write_text(content, encoding="utf-8", newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        lines = text.scan_file_lines(spark, str(tmp_path / "big"))
+        assert lines.count() == len(content.splitlines()) == 10_001
+        assert lines.where("value = ''").count() == 5_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_rank_layouts(spark):
     ranks = spark.createDataFrame([("a", 0.575), ("b c", 1.0)], "node string, rank double")
     first, second = fresh_path(spark, "tuples"), fresh_path(spark, "tsv")

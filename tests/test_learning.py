@@ -165,3 +165,59 @@ def test_parameters_without_gradient_stay(spark):
 def test_more_shards_than_batch_rows_are_refused():
     with pytest.raises(ValueError):
         sharding.batch_size(300, 256)
+
+
+def test_exact_gradients_equal_exact_fractions(spark, examples, data):
+    from fractions import Fraction
+
+    model = small_model()
+    sharded = examples.withColumn("shard", (F.col("id") % 2).cast("int"))
+    got = {(r["shard"], r["param"], r["pos"]): r["value"] for r in gradients.shard_gradients(sharded, model, exact=True).collect()}
+    features, label = data
+    for shard in (0, 1):
+        x, y = features[shard::2], label[shard::2]
+        error, loss = gradients._errors(model.scores(x, exact=True), y)
+        for c in range(CLASSES):
+            for f in range(WIDTH):
+                total = float(sum(Fraction(e * v) for e, v in zip(error[:, c], x[:, f])))
+                assert got[shard, "weight", c * WIDTH + f] == total / len(y)
+            assert got[shard, "bias", c] == float(sum(map(Fraction, error[:, c]))) / len(y)
+        assert got[shard, "rows", 0] == len(y)
+        assert got[shard, "loss", 0] == float(sum(map(Fraction, loss))) / len(y)
+
+
+def test_exact_models_are_the_same_bit_for_bit(spark, examples):
+    models = []
+    for parts, sync in ((1, "allreduce"), (7, "allreduce"), (3, "gather")):
+        mixed = examples.repartition(parts, F.rand(parts))
+        run = train_softmax(mixed, CLASSES, WIDTH, shards=3, global_batch=30, epochs=2, sync=sync, exact=True)
+        models.append((run.model.weight.tolist(), run.model.bias.tolist(), [tuple(r) for r in run.progress.collect()]))
+    assert models[0] == models[1] == models[2]
+    plain = train_softmax(examples, CLASSES, WIDTH, shards=3, global_batch=30, epochs=2).model
+    assert np.allclose(plain.weight, models[0][0], atol=1e-12)
+
+
+def test_exact_evaluation(spark, examples):
+    seen = set()
+    for parts in (1, 2, 9):
+        scored = gradients.linear_scores(examples.repartition(parts, F.rand(parts)), small_model(), exact=True)
+        batched = scored.withColumn("batch", F.floor(F.col("id") / 10))
+        seen.add((tuple(evaluation.evaluate(scored, exact=True).first()), tuple(evaluation.evaluate_batches(batched, exact=True).first())))
+    assert len(seen) == 1
+    (one, two), = seen
+    assert one == pytest.approx(tuple(evaluation.evaluate(scored).first()))
+    assert two == pytest.approx(tuple(evaluation.evaluate_batches(batched).first()))
+
+
+def test_permuted_epochs_train_on_every_row(spark, examples, monkeypatch):
+    from varve.plans import training
+
+    seen = []
+    batches = training.assign_batches_permuted
+    monkeypatch.setattr(training, "assign_batches_permuted", lambda *a: seen.append(batches(*a)) or seen[-1])
+    run = train_softmax(examples, CLASSES, WIDTH, shards=2, global_batch=20, epochs=2, reshuffle="permute")
+    orders = [[r["id"] for r in df.orderBy("position").collect()] for df in seen]
+    assert len(orders) == 2 and orders[0] != orders[1]
+    assert all(set(o) == set(range(53)) and len(o) == 54 for o in orders)
+    sorted_run = train_softmax(examples, CLASSES, WIDTH, shards=2, global_batch=20, epochs=2)
+    assert np.abs(run.model.weight - sorted_run.model.weight).max() < 0.5

@@ -51,10 +51,33 @@ def test_phase_summary_has_zeros_for_unused_phases(tagged):
     assert all(rows[2, p] == (0.0,) * 5 for p in timing.PHASES)
 
 
+def lines_of(tagged, skip):
+    summary = timing.phase_summary(tagged, skip)
+    return {(r["run"], r["phase"]): r["line"] for r in timing.phase_lines(summary, timing.iteration_summary(tagged, skip), skip).collect()}
+
+
 def test_phase_lines(tagged):
-    summary = timing.phase_summary(tagged)
-    short = {(r["run"], r["phase"]): r["line"] for r in timing.phase_lines(summary, averages=False).collect()}
-    assert short[1, "forward"] == "forward times total: 9.000000 max: 5.000000  min: 1.000000 "
+    # run 1 has two intervals after the warm-up, run 2 none
+    long = lines_of(tagged, 1)
+    assert set(long) == {(1, p) for p in timing.PHASES}
+    assert long[1, "forward"] == (
+        "forward times total: 9.000000 max: 5.000000  min: 1.000000 avg per stage time: 4.500000 avg round time: 3.000000"
+    )
+    assert long[1, "communication"].startswith("communication times total: 0.000000 max: 0.000000  min: 0.000000 avg")
+    # one interval is not more than two that are skipped
+    short = lines_of(tagged, 2)
+    assert set(short) == set(long)
+    assert short[1, "forward"] == "forward times total: 5.000000 max: 5.000000  min: 5.000000 "
+    assert lines_of(tagged, 3) == {}
+
+
+def test_interval_table(tagged):
+    rows = sorted(tuple(r) for r in timing.interval_table(timing.phase_pivot(tagged)).collect())
+    assert rows == [
+        (1, 0, "iteration|iteration time|forward time|backward time|optimize time|communication time"),
+        (1, 1, "1|5.000000|4.000000|2.000000|0.000000|0.000000"),
+        (1, 2, "2|3.000000|5.000000|0.000000|0.000000|0.000000"),
+    ]
 
 
 def test_durations_use_the_latest_start(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.functions.classify import argmax, cross_entropy
+from varve.functions.exact import exact_mean
 
 # Fixed layout of the test report.
 TEST_REPORT = "Test set: Average loss: %.4f, Accuracy: %d/%d (%.0f%%)\n"
@@ -22,28 +23,30 @@ def judged(scored: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(scored: DataFrame) -> DataFrame:
-    """One row: correct, total, accuracy in percent, mean loss over rows."""
+def evaluate(scored: DataFrame, exact: bool = False) -> DataFrame:
+    """One row: correct, total, accuracy in percent, mean loss over rows; an ``exact`` mean is the same for any order of rows."""
+    mean = exact_mean(F.col("loss")) if exact else F.avg("loss")
     return judged(scored).agg(
         F.sum("correct").alias("correct"),
         F.count(F.lit(1)).alias("total"),
         (F.sum("correct") * 100.0 / F.count(F.lit(1))).alias("accuracy"),
-        F.avg("loss").alias("loss"),
+        mean.alias("loss"),
     )
 
 
-def evaluate_batches(scored: DataFrame) -> DataFrame:
+def evaluate_batches(scored: DataFrame, exact: bool = False) -> DataFrame:
     """Like :func:`evaluate`, but the loss is the mean of batch means; needs ``batch``."""
+    mean = exact_mean(F.col("loss")) if exact else F.avg("loss")
     per_batch = judged(scored).groupBy("batch").agg(
         F.sum("correct").alias("correct"),
         F.count(F.lit(1)).alias("total"),
-        F.avg("loss").alias("loss"),
+        mean.alias("loss"),
     )
     return per_batch.agg(
         F.sum("correct").alias("correct"),
         F.sum("total").alias("total"),
         (F.sum("correct") * 100.0 / F.sum("total")).alias("accuracy"),
-        F.avg("loss").alias("loss"),
+        mean.alias("loss"),
     )
 
 

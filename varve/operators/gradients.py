@@ -16,12 +16,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from varve.functions.exact import LIMBS, exact_sum, exact_sum_over, from_limbs, limb_arrays
+
 # Fixed values of the optimizer.
 LEARNING_RATE = 0.1
 MOMENTUM = 0.9
 WEIGHT_DECAY = 1e-4
 
 MODEL_VALUES_MAX = 10_000_000
+#: Products that exact sums hold at a time.
+EXACT_VALUES = 200_000
 
 
 @dataclass(frozen=True)
@@ -58,7 +62,10 @@ class LinearModel:
             }
         )
 
-    def scores(self, features: np.ndarray) -> np.ndarray:
+    def scores(self, features: np.ndarray, exact: bool = False) -> np.ndarray:
+        """Scores by row and class; ``exact`` ones don't depend on which rows come in one call, as a product of matrices may."""
+        if exact:
+            return np.einsum("rf,cf->rc", features, self.weight) + self.bias
         return features @ self.weight.T + self.bias
 
 
@@ -69,14 +76,14 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return flat.reshape(len(column), width)
 
 
-def linear_scores(examples: DataFrame, model: LinearModel) -> DataFrame:
-    """Every row with ``scores``, one value per class; features are consumed."""
+def linear_scores(examples: DataFrame, model: LinearModel, exact: bool = False) -> DataFrame:
+    """Every row with ``scores``, one value per class; features are consumed. ``exact`` scores are the same in any partition."""
     kept = [c for c in examples.columns if c != "features"]
     width = model.weight.shape[1]
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = model.scores(_matrix(batch.column("features"), width))
+            scores = model.scores(_matrix(batch.column("features"), width), exact)
             offsets = np.arange(len(scores) + 1, dtype=np.int32) * scores.shape[1]
             values = pa.ListArray.from_arrays(offsets, scores.reshape(-1))
             yield pa.RecordBatch.from_arrays(
@@ -88,14 +95,16 @@ def linear_scores(examples: DataFrame, model: LinearModel) -> DataFrame:
     return examples.select(*kept, "features").mapInArrow(score, schema)
 
 
-def shard_gradients(examples: DataFrame, model: LinearModel) -> DataFrame:
+def shard_gradients(examples: DataFrame, model: LinearModel, exact: bool = False) -> DataFrame:
     """(shard, param, pos, value): gradient of each shard's mean loss.
 
     Tasks add up their rows per shard, so what is shuffled is parameters, not
     examples. The loss itself comes along as parameter ``loss`` and the row count
-    as ``rows``.
+    as ``rows``. ``exact`` sums are limbs, whole numbers, up to the last division: the same for any partitions and order.
     """
     width = model.weight.shape[1]
+    if exact:
+        return _exact_gradients(examples, model)
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list] = {}
@@ -103,13 +112,7 @@ def shard_gradients(examples: DataFrame, model: LinearModel) -> DataFrame:
             x = _matrix(batch.column("features"), width)
             label = batch.column("label").to_numpy(zero_copy_only=False)
             shard = batch.column("shard").to_numpy(zero_copy_only=False)
-            scores = model.scores(x)
-            shifted = scores - scores.max(axis=1, keepdims=True)
-            log_mass = np.log(np.exp(shifted).sum(axis=1, keepdims=True))
-            rows = np.arange(len(label))
-            loss = (log_mass[:, 0] - shifted[rows, label])
-            error = np.exp(shifted - log_mass)
-            error[rows, label] -= 1.0
+            error, loss = _errors(model.scores(x), label)
             for s in np.unique(shard):
                 mine = shard == s
                 parts = [error[mine].T @ x[mine], error[mine].sum(axis=0), loss[mine].sum(), mine.sum()]
@@ -138,18 +141,70 @@ def shard_gradients(examples: DataFrame, model: LinearModel) -> DataFrame:
     return sums.groupBy("shard", "param", "pos").agg(value.alias("value"))
 
 
-def gradient_mean_gather(gradients: DataFrame) -> DataFrame:
+def _errors(scores: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Softmax less the true class, and the loss, by row."""
+    shifted = scores - scores.max(axis=1, keepdims=True)
+    log_mass = np.log(np.exp(shifted).sum(axis=1, keepdims=True))
+    rows = np.arange(len(label))
+    error = np.exp(shifted - log_mass)
+    error[rows, label] -= 1.0
+    return error, log_mass[:, 0] - shifted[rows, label]
+
+
+def _exact_gradients(examples: DataFrame, model: LinearModel) -> DataFrame:
+    classes, width = model.weight.shape
+    params = ["weight"] * (classes * width) + ["bias"] * classes + ["loss", "rows"]
+    places = np.concatenate([np.arange(classes * width), np.arange(classes), [0, 0]]).astype(np.int32)
+    step = max(1, EXACT_VALUES // (classes * width))
+
+    def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            x = _matrix(batch.column("features"), width)
+            label = batch.column("label").to_numpy(zero_copy_only=False)
+            shard = batch.column("shard").to_numpy(zero_copy_only=False)
+            error, loss = _errors(model.scores(x, exact=True), label)
+            for s in np.unique(shard):
+                held = sums.setdefault(int(s), np.zeros((LIMBS, len(params)), np.int64))
+                mine = np.flatnonzero(shard == s)
+                for first in range(0, len(mine), step):
+                    rows = mine[first : first + step]
+                    products = (error[rows, :, None] * x[rows, None, :]).reshape(len(rows), -1)
+                    values = np.concatenate([products, error[rows], loss[rows, None], np.ones((len(rows), 1))], axis=1)
+                    held += limb_arrays(values).sum(axis=1)
+        for s, held in sums.items():
+            columns = {"shard": np.full(len(params), s, np.int32), "param": params, "pos": places}
+            yield pa.RecordBatch.from_pydict(columns | {f"l{i}": held[i] for i in range(LIMBS)})
+
+    names = [f"l{i}" for i in range(LIMBS)]
+    sums = examples.select("shard", "features", "label").mapInArrow(
+        partial, "shard int, param string, pos int, " + ", ".join(f"{name} bigint" for name in names)
+    )
+    # by parameter only, as in the plain sums
+    totals = sums.repartition("param", "pos").groupBy("shard", "param", "pos").agg(
+        from_limbs([F.sum(name) for name in names]).alias("total")
+    )
+    rows = totals.where(F.col("param") == "rows").select("shard", F.col("total").alias("_rows"))  # one row per shard
+    value = F.when(F.col("param") == "rows", F.col("total")).otherwise(F.col("total") / F.col("_rows"))
+    return totals.join(F.broadcast(rows), "shard").select("shard", "param", "pos", value.alias("value"))
+
+
+def gradient_mean_gather(gradients: DataFrame, exact: bool = False) -> DataFrame:
     """Gather, average, and hand the mean back to every shard.
 
     A window's group is one parameter's value per shard.
     """
-    mean = F.avg("value").over(Window.partitionBy("param", "pos"))
+    group = Window.partitionBy("param", "pos")
+    mean = F.avg("value").over(group)
+    if exact:
+        mean = exact_sum_over(F.col("value"), group) / F.count("value").over(group)
     return gradients.select("shard", "param", "pos", mean.alias("value"))
 
 
-def gradient_mean_allreduce(gradients: DataFrame, shards: int) -> DataFrame:
+def gradient_mean_allreduce(gradients: DataFrame, shards: int, exact: bool = False) -> DataFrame:
     """All-reduce: element-wise sum over the shards, divided by their number."""
-    return gradients.groupBy("param", "pos").agg((F.sum("value") / shards).alias("value"))
+    total = exact_sum(F.col("value")) if exact else F.sum("value")
+    return gradients.groupBy("param", "pos").agg((total / shards).alias("value"))
 
 
 def sgd_update(

@@ -8,10 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from varve.functions.exact import exact_sum
 from varve.operators.blocks import Running, in_blocks, running
-from varve.session import shuffle_partitions
+from varve.session import shuffle_partitions, written
 
 HUB_EDGES = 1_000_000
+#: Hash buckets per partition in which sources are counted to find hubs.
+SIEVE = 64
 NEIGHBORS_PER_ROW = 10_000
 
 
@@ -23,9 +26,11 @@ def adjacency_list(edges: DataFrame, per_row: int = NEIGHBORS_PER_ROW) -> DataFr
     """(src, part, neighbors) with neighbors as sorted (dst, copies) pairs.
 
     A node of more than ``per_row`` distinct targets gets several parts, numbered
-    from 0, so no single row has to hold a hub.
+    from 0, so no single row has to hold a hub. Edges with ``copies`` are folded already.
     """
-    folded = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
+    folded = edges
+    if "copies" not in edges.columns:
+        folded = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
     ranked = running(
         in_blocks(folded, ["src", "dst"]), ["src"], [Running("_nth", "sum", F.lit(1), before=True)]
     )
@@ -50,6 +55,31 @@ def hubs(edges: DataFrame, parts: int, at_least: int = HUB_EDGES) -> DataFrame:
     )
 
 
+def heavy_sources(edges: DataFrame, parts: int, at_least: int = HUB_EDGES, copies: str | None = None) -> DataFrame:
+    """What :func:`hubs` returns, without an exchange of all sources.
+
+    Sources are first counted together, by hash, in ``SIEVE`` buckets per partition. Bucket counts of tasks add up, so that summary is
+    ``SIEVE * parts`` rows whatever the graph. A hub's bucket holds at least the hub's edges, so all hubs lie in the few buckets above a fair
+    share; only the sources there, about one in ``SIEVE`` besides the hubs, are counted one by one.
+    ``copies`` names a column that says how many edges a row stands for.
+    """
+    weight = F.col(copies) if copies else F.lit(1)
+    bucket = F.pmod(F.xxhash64("src"), F.lit(SIEVE * parts)).alias("_bucket")
+    counts = written(edges.groupBy(bucket).agg(F.sum(weight).alias("_edges")), "sieve")
+    total = counts.agg(F.coalesce(F.sum("_edges"), F.lit(0))).first()[0]
+    fair_share = max(total / parts, float(at_least))
+    heavy = counts.where(F.col("_edges") > fair_share).select("_bucket")  # fewer than ``parts``
+    suspects = edges.withColumn("_bucket", bucket).join(F.broadcast(heavy), "_bucket", "left_semi")
+    degree = suspects.groupBy("src").agg(F.sum(weight).alias("out_degree"))
+    return degree.where(F.col("out_degree") > fair_share).withColumn("slots", F.ceil(F.col("out_degree") / fair_share))
+
+
+def folded_edges(edges: DataFrame) -> DataFrame:
+    """(src, dst, copies) of edges with both ends, written once: what degrees, hubs and shares are derived from."""
+    whole = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    return written(whole.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies")), "folded")
+
+
 def edge_shares(edges: DataFrame, parts: int, fold: bool = True, slotted: bool = False) -> DataFrame:
     """(src, dst, share) hashed on ``src``: the part of a source's rank that dst gets.
 
@@ -62,7 +92,9 @@ def edge_shares(edges: DataFrame, parts: int, fold: bool = True, slotted: bool =
         keys = ["src", "slot"]
         edges = edges.withColumn("slot", F.lit(0))
     placed = edges.repartition(parts, *keys)
-    if fold:
+    if "copies" in edges.columns:
+        pass  # folded before
+    elif fold:
         placed = placed.groupBy(*keys, "dst").agg(F.count(F.lit(1)).alias("copies"))
     else:
         placed = placed.withColumn("copies", F.lit(1))
@@ -72,11 +104,9 @@ def edge_shares(edges: DataFrame, parts: int, fold: bool = True, slotted: bool =
 
 def hub_shares(edges: DataFrame, hub_rows: DataFrame) -> DataFrame:
     """Edge shares of hub sources, dealt to their slots by dst; ``hub_rows`` is the bounded hub list."""
-    folded = (
-        edges.join(F.broadcast(hub_rows.select("src")), "src", "left_semi")
-        .groupBy("src", "dst")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
+    folded = edges.join(F.broadcast(hub_rows.select("src")), "src", "left_semi")
+    if "copies" not in edges.columns:
+        folded = folded.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
     slot = F.pmod(F.xxhash64("dst"), F.col("slots")).cast("int")
     share = F.col("copies") / F.col("out_degree")
     return folded.join(F.broadcast(hub_rows), "src").select(
@@ -104,9 +134,9 @@ def spread(shares: DataFrame, ranks: DataFrame) -> DataFrame:
     return shares.join(ranks.hint("shuffle_hash"), match).select("dst", (F.col("share") * F.col("rank")).alias("amount"))
 
 
-def gathered(amounts: DataFrame, name: str, shape=lambda total: total) -> DataFrame:
-    """Sum by target, combined before the shuffle."""
-    total: Column = F.sum("amount")
+def gathered(amounts: DataFrame, name: str, shape=lambda total: total, exact: bool = False) -> DataFrame:
+    """Sum by target, combined before the shuffle; an ``exact`` sum is the same for any order and width."""
+    total: Column = exact_sum(F.col("amount")) if exact else F.sum("amount")
     return amounts.groupBy(F.col("dst").alias("node")).agg(shape(total).alias(name))
 
 
@@ -115,16 +145,19 @@ def first_ranks(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("node")).distinct().withColumn("rank", F.lit(1.0))
 
 
-def rank_contributions(edges: DataFrame, ranks: DataFrame) -> DataFrame:
-    """What each node receives in one round from ``ranks(node, rank)``."""
+def rank_contributions(edges: DataFrame, ranks: DataFrame, exact: bool = False) -> DataFrame:
+    """What each node receives in one round from ``ranks(node, rank)``. ``edges`` are read once, and folded."""
     spark = edges.sparkSession
     parts = shuffle_partitions(spark)
-    edges = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    hub_list = hubs(edges, parts)
-    hub_rows = spark.createDataFrame(hub_list.collect(), hub_list.schema)  # fewer than `parts` rows
-    regular = edges.join(F.broadcast(hub_rows), "src", "left_anti")
-    shares = edge_shares(regular, parts, slotted=True).unionByName(hub_shares(edges, hub_rows))
-    return gathered(spread(shares, in_slots(ranks, hub_rows)), "contribution")
+    folded = folded_edges(edges)
+    hub_list = heavy_sources(folded, parts, copies="copies")
+    hub_rows = hub_list.collect()  # fewer than `parts` rows
+    if not hub_rows:
+        return gathered(spread(edge_shares(folded, parts), ranks), "contribution", exact=exact)
+    hub_rows = spark.createDataFrame(hub_rows, hub_list.schema)
+    regular = folded.join(F.broadcast(hub_rows), "src", "left_anti")
+    shares = edge_shares(regular, parts, slotted=True).unionByName(hub_shares(folded, hub_rows))
+    return gathered(spread(shares, in_slots(ranks, hub_rows)), "contribution", exact=exact)
 
 
 def source_only_nodes(edges: DataFrame) -> DataFrame:

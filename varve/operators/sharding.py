@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.operators.blocks import global_position, in_blocks, positions
+from varve.operators.permutation import Permutation
+from varve.session import written
 
 # Fixed values of the training runs.
 GLOBAL_BATCH = 256
@@ -45,6 +47,32 @@ def assign_shards(examples: DataFrame, shards: int, seed: int = SEED, epoch: int
     )
 
 
+def numbered(examples: DataFrame) -> DataFrame:
+    """``examples`` with ``number``, their place by id, written once: what the epochs permute."""
+    return written(global_position(examples, ["id"], name="number"), "numbered")
+
+
+def assign_shards_permuted(rows: DataFrame, shards: int, seed: int = SEED, epoch: int = 0, total: int | None = None) -> DataFrame:
+    """Like :func:`assign_shards` on :func:`numbered` rows, by a keyed permutation of their numbers: an epoch moves no row and sorts nothing.
+
+    ``total`` is the number of rows, counted if it isn't given.
+    """
+    total = rows.count() if total is None else total
+    kept = [c for c in rows.columns if c != "number"]
+    if not total:
+        return rows.select(*kept, F.col("number").alias("position")).select(
+            "*", F.lit(0).alias("shard"), F.col("position").alias("place")
+        )
+    drawn = Permutation(total, f"{seed}:{epoch}").of(rows, "number", "_drawn")
+    padded = -(-total // shards) * shards
+    dealt = F.explode(F.sequence(F.col("_drawn"), F.lit(padded - 1).cast("bigint"), F.lit(total).cast("bigint")))
+    return drawn.select(*kept, dealt.alias("position")).select(
+        "*",
+        (F.col("position") % shards).cast("int").alias("shard"),
+        F.floor(F.col("position") / shards).alias("place"),
+    )
+
+
 def assign_batches(
     examples: DataFrame,
     shards: int = 1,
@@ -58,6 +86,20 @@ def assign_batches(
     return sharded.withColumn("batch", F.floor(F.col("place") / size))
 
 
+def assign_batches_permuted(
+    rows: DataFrame,
+    shards: int = 1,
+    global_batch: int = GLOBAL_BATCH,
+    seed: int = SEED,
+    epoch: int = 0,
+    total: int | None = None,
+) -> DataFrame:
+    """Like :func:`assign_batches` on :func:`numbered` rows, without a sort."""
+    size = batch_size(shards, global_batch)
+    sharded = assign_shards_permuted(rows, shards, seed, epoch, total)
+    return sharded.withColumn("batch", F.floor(F.col("place") / size))
+
+
 def batch_size(shards: int, global_batch: int = GLOBAL_BATCH) -> int:
     if not 0 < shards <= global_batch:
         raise ValueError(f"{shards} shards need a global batch of at least as many rows, not {global_batch}")

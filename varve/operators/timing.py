@@ -22,6 +22,8 @@ SHORT_LINE = "%s times total: %f max: %f  min: %f "
 LONG_LINE = "%s times total: %f max: %f  min: %f avg per stage time: %f avg round time: %f"
 INTERVAL_LINE = "iteration times total: %f max: %f  min: %f average:%f"
 AVERAGE_LINE = "iteration average time: %f"
+TABLE_HEADER = "iteration|iteration time|" + "|".join(f"{p} time" for p in PHASES)
+TABLE_LINE = "%d|%f|%f|%f|%f|%f"
 
 
 def micros(ts: str) -> Column:
@@ -156,6 +158,14 @@ def interval_lines(intervals: DataFrame) -> DataFrame:
     return intervals.select("run", F.posexplode(lines).alias("number", "line"))
 
 
+def interval_table(pivot: DataFrame, skip: int = SKIP_INTERVALS) -> DataFrame:
+    """The interval report as text: (run, number, line) with a header, number 0, and one line per interval of :func:`phase_pivot`."""
+    line = F.format_string(TABLE_LINE, "iteration", "seconds", *PHASES)
+    lines = pivot.select("run", (F.col("iteration") - skip + 1).cast("bigint").alias("number"), line.alias("line"))
+    header = pivot.select("run").distinct().select("run", F.lit(0).cast("bigint").alias("number"), F.lit(TABLE_HEADER).alias("line"))
+    return header.unionByName(lines)
+
+
 def epoch_durations(log: DataFrame) -> DataFrame:
     """Per run and epoch: its own seconds, and the seconds from the run's start to its end."""
     log = log.withColumn("us", micros("ts"))

@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
 from typing import Literal
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from varve.operators.compact import gap_lists, node_dictionary, numbered_edges, spread_lists
 from varve.operators.graph import (
     HUB_EDGES,
+    NEIGHBORS_PER_ROW,
     edge_shares,
+    folded_edges,
     gathered,
+    heavy_sources,
     hub_shares,
-    hubs,
     in_slots,
+    out_degree,
     spread,
 )
-from varve.session import shuffle_partitions, shuffle_width, written, written_bucketed
+from varve.plans.manifest import Manifest, digest
+from varve.session import planned_width, shuffle_partitions, shuffle_width, written, written_bucketed
 
 # Rounds, damping and the constant every ranked node gets.
 ROUNDS = 10
@@ -30,10 +37,11 @@ def pagerank(
     rounds: int = ROUNDS,
     *,
     store: Literal["plan", "memory", "table"] = "table",
-    parts: int | None = None,
+    parts: int | Literal["data"] | None = None,
     cut_every: int | None = None,
     hub_edges: int = HUB_EDGES,
     landed: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
     """``(node, rank)`` after ``rounds`` rounds of 0.15 + 0.85 * received rank.
 
@@ -47,13 +55,18 @@ def pagerank(
     pass (``landed`` says they are a table already), and keep edges and ranks co-partitioned, which leaves one exchange per
     round. ``cut_every`` writes the ranks to a table every so many rounds, so that
     lost executors cost at most that many rounds; a plan that is one lazy query can't be cut.
+    :func:`resumable_pagerank` also survives the loss of the session.
 
-    ``parts`` is the number of partitions of edges and ranks, the session's shuffle width by default. With another
-    number the rounds are planned at that width and their result is written.
+    ``parts`` is the number of partitions of edges and ranks, the session's shuffle width by default, or as many as the
+    bytes of the written edges ask for with "data". With another
+    number than the session's the rounds are planned at that width and their result is written.
 
     Sources with more edges than a partition's fair share are dealt to slots by
     target, and their few ranks are repeated per slot. The ranks then need an
     exchange of their own in each round; the edges stay where they are.
+
+    With ``exact``, what a node receives is summed without rounding in between, so that ranks are the same bit for bit whatever the width,
+    the store, or the order in which tasks end.
     """
     if cut_every and store == "plan":
         raise ValueError("store='plan' is one lazy query and can't be cut; take 'table' or 'memory'")
@@ -61,50 +74,169 @@ def pagerank(
     # Both ends are needed. Said here, the rounds need no null filters of their own
     # and share one edge exchange even when everything stays in the plan.
     edges = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    how = (rounds, store, cut_every, hub_edges, landed)
+    if not landed and (store != "plan" or parts == "data"):
+        edges, landed = written(edges, "edges"), True
+    if parts == "data":
+        parts = planned_width(edges)
+    how = (rounds, store, cut_every, hub_edges, exact)
     if parts is None or parts == shuffle_partitions(spark):
         return _ranked(edges, shuffle_partitions(spark), *how)
     with shuffle_width(spark, parts):
         return written(_ranked(edges, parts, *how), "ranks")
 
 
-def _ranked(edges, parts, rounds, store, cut_every, hub_edges, landed) -> DataFrame:
-    """All rounds, where shuffles have ``parts`` partitions."""
+@dataclass(frozen=True)
+class _Shares:
+    """Edge shares, and the hubs whose shares lie in slots."""
+
+    rows: DataFrame
+    hubs: DataFrame | None
+
+    @property
+    def keys(self) -> list[str]:
+        return ["src", "slot"] if self.hubs is not None else ["src"]
+
+    def on(self, rows: DataFrame) -> _Shares:
+        return _Shares(rows, self.hubs)
+
+    def first(self) -> DataFrame:
+        """Every source still has rank 1.0 in the first round: no join needed."""
+        return self.rows.select("dst", F.col("share").alias("amount"))
+
+    def handed(self, ranks: DataFrame) -> DataFrame:
+        return spread(self.rows, ranks if self.hubs is None else in_slots(ranks, self.hubs))
+
+
+def _shares(edges: DataFrame, parts: int, hub_edges: int, fold: bool) -> _Shares:
     spark = edges.sparkSession
-    if store != "plan" and not landed:
-        edges = written(edges, "edges")
-    hub_list = hubs(edges, parts, hub_edges)
-    hub_schema = hub_list.schema
-    hub_list = hub_list.collect()  # fewer than `parts` rows
-
-    if hub_list:
-        hub_rows = spark.createDataFrame(hub_list, hub_schema)
-        regular = edges.join(F.broadcast(hub_rows), "src", "left_anti")
-        shares = edge_shares(regular, parts, slotted=True).unionByName(hub_shares(edges, hub_rows))
-        keys = ["src", "slot"]
-        if store == "memory":
-            shares = shares.repartition(parts, *keys)
-    else:
-        # a plan repeats the fold in every round, a stored edge set pays for it once
-        shares = edge_shares(edges, parts, fold=store != "plan")
-        keys = ["src"]
+    hub_list = heavy_sources(edges, parts, hub_edges)
+    rows = hub_list.collect()  # fewer than `parts` rows
+    if not rows:
+        return _Shares(edge_shares(edges, parts, fold=fold), None)
+    hub_rows = spark.createDataFrame(rows, hub_list.schema)
+    regular = edges.join(F.broadcast(hub_rows), "src", "left_anti")
+    return _Shares(edge_shares(regular, parts, slotted=True).unionByName(hub_shares(edges, hub_rows)), hub_rows)
+
+
+def _received(amounts: DataFrame, exact: bool) -> DataFrame:
+    return gathered(amounts, "rank", lambda total: F.lit(CONSTANT) + F.lit(DAMPING) * total, exact)
+
+
+def _ranked(edges, parts, rounds, store, cut_every, hub_edges, exact) -> DataFrame:
+    """All rounds, where shuffles have ``parts`` partitions."""
+    # a plan would repeat the fold in every round; a stored edge set pays for it once
+    shares = _shares(edges, parts, hub_edges, fold=store != "plan" or exact)
+    if store == "plan" and shares.hubs is None and not exact:
+        return _lazily(edges, parts, rounds)
     if store == "memory":
-        shares = shares.persist(StorageLevel.MEMORY_AND_DISK)
-        shares.count()
+        placed = shares.rows if shares.hubs is None else shares.rows.repartition(parts, *shares.keys)
+        shares = shares.on(placed.persist(StorageLevel.MEMORY_AND_DISK))
+        shares.rows.count()
     elif store == "table":
-        shares = written_bucketed(shares, "shares", parts, *keys)
+        shares = shares.on(written_bucketed(shares.rows, "shares", parts, *shares.keys))
 
-    # every source still has rank 1.0 in the first round: no join needed
-    amounts = shares.select("dst", F.col("share").alias("amount"))
+    amounts = shares.first()
     for number in range(1, rounds + 1):
-        ranks = gathered(amounts, "rank", lambda total: F.lit(CONSTANT) + F.lit(DAMPING) * total)
+        ranks = _received(amounts, exact)
         if number == rounds:
             break
         if cut_every and number % cut_every == 0:
             ranks = written_bucketed(ranks, "ranks", parts, "node")
-        amounts = spread(shares, in_slots(ranks, hub_rows) if hub_list else ranks)
+        amounts = shares.handed(ranks)
 
     if store == "memory":
         ranks = written(ranks, "ranks")
-        shares.unpersist()
+        shares.rows.unpersist()
+    return ranks
+
+
+def _lazily(edges: DataFrame, parts: int, rounds: int) -> DataFrame:
+    """All rounds in one plan. Out-degrees are counted once, one row per source, and every round divides ranks by them; the
+    edges, exchanged once, only meet the quotients."""
+    placed = edges.repartition(parts, "src")
+    degree = out_degree(edges)
+    ranks = degree.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
+    for _ in range(rounds):
+        held = ranks.withColumnRenamed("node", "src").hint("shuffle_hash")
+        given = degree.join(held, "src").select("src", (F.col("rank") / F.col("out_degree")).alias("amount"))
+        amounts = placed.join(given.hint("shuffle_hash"), "src").select("dst", "amount")
+        ranks = _received(amounts, exact=False)
     return ranks
+
+
+def compact_pagerank(
+    edges: DataFrame, rounds: int = ROUNDS, *, hub_edges: int = HUB_EDGES, per_row: int = NEIGHBORS_PER_ROW, exact: bool = False
+) -> DataFrame:
+    """Like :func:`pagerank` over gap-coded adjacency lists, bucketed on the source: a round reads a few bits an edge instead of
+    two names and a share, and joins one row per list instead of one per edge. Lists of hubs are dealt to slots.
+    """
+    spark = edges.sparkSession
+    parts = shuffle_partitions(spark)
+    folded = folded_edges(edges)
+    dictionary = node_dictionary(folded)
+    numbered = numbered_edges(folded, dictionary)
+    hub_list = heavy_sources(numbered, parts, hub_edges, copies="copies")
+    hubs = spark.createDataFrame(hub_list.collect(), hub_list.schema)  # fewer than `parts` rows
+    degree = numbered.groupBy("src").agg(F.sum("copies").alias("out_degree"))
+    lists = gap_lists(numbered, per_row).join(degree, "src").join(F.broadcast(hubs.select("src", "slots")), "src", "left")
+    slot = F.pmod("part", F.coalesce("slots", F.lit(1))).cast("int")
+    lists = written_bucketed(lists.drop("slots").withColumn("slot", slot), "lists", parts, "src", "slot")
+
+    share = F.lit(1.0) / F.col("out_degree")
+    amounts = spread_lists(lists.withColumn("share", share))
+    for number in range(1, rounds + 1):
+        ranks = _received(amounts, exact)
+        if number == rounds:
+            break
+        held = in_slots(ranks, hubs)
+        match = (lists.src == held.node) & (lists.slot == held.slot)
+        given = lists.join(held.hint("shuffle_hash"), match)
+        amounts = spread_lists(given.withColumn("share", F.col("rank") / F.col("out_degree")))
+    return ranks.withColumnRenamed("node", "number").join(dictionary, "number").select("node", "rank")
+
+
+def resumable_pagerank(
+    edges: DataFrame,
+    folder: str,
+    rounds: int = ROUNDS,
+    *,
+    cut_every: int = 1,
+    parts: int | None = None,
+    hub_edges: int = HUB_EDGES,
+    exact: bool = True,
+) -> DataFrame:
+    """Like :func:`pagerank` with ``store="table"``, where ``folder`` keeps what is finished: the edge shares, and the ranks of every
+    ``cut_every``-th and of the last round. A call with the same edges goes on from the last round on record there, in this session or another,
+    also for more ``rounds`` than before.
+
+    A table counts as finished when the manifest in ``folder`` says so and its rows fit what the manifest says of them; what a lost session
+    left half-written is never read. Other edges, widths or sums are another job, so one folder may serve many. Nothing is deleted.
+    """
+    spark = edges.sparkSession
+    parts = parts or shuffle_partitions(spark)
+    edges = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst")
+    count, total = digest(edges)
+    job = json.dumps(["pagerank", edges.schema.simpleString(), count, total, parts, hub_edges, exact])
+    manifest = Manifest(spark, folder, job)
+    with shuffle_width(spark, parts):
+        shares = _kept_shares(manifest, edges, parts, hub_edges)
+        done, ranks = manifest.last("ranks", rounds) or (0, None)
+        amounts = shares.handed(ranks) if done else shares.first()
+        for number in range(done + 1, rounds + 1):
+            ranks = _received(amounts, exact)
+            if number == rounds or number % cut_every == 0:
+                ranks = manifest.save(ranks, "ranks", number, parts, "node")
+            amounts = shares.handed(ranks)
+    return ranks
+
+
+def _kept_shares(manifest: Manifest, edges: DataFrame, parts: int, hub_edges: int) -> _Shares:
+    """Edge shares from the record, else made and put there; hubs are on record first, as shares lie in their slots."""
+    rows, hubs = manifest.last("shares", 0), manifest.last("hubs", 0)
+    if rows and hubs:
+        return _Shares(rows[1], hubs[1] if hubs[1].limit(1).count() else None)
+    shares = _shares(written(edges, "edges"), parts, hub_edges, fold=True)
+    schema = edges.select("src").withColumns({"out_degree": F.lit(0).cast("bigint"), "slots": F.lit(0).cast("bigint")}).schema
+    hubs = shares.hubs if shares.hubs is not None else edges.sparkSession.createDataFrame([], schema)
+    manifest.save(hubs, "hubs", 0, 1, "src")
+    return shares.on(manifest.save(shares.rows, "shares", 0, parts, *shares.keys))

@@ -12,7 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.operators import gradients as G
-from varve.operators.sharding import GLOBAL_BATCH, SEED, assign_batches, batch_size
+from varve.operators.sharding import (
+    GLOBAL_BATCH,
+    SEED,
+    assign_batches,
+    assign_batches_permuted,
+    batch_size,
+    numbered,
+)
 from varve.session import written
 
 # Fixed values of the progress log: one line every 20 batches, and its layout.
@@ -49,6 +56,8 @@ def train_softmax(
     weight_decay: float = G.WEIGHT_DECAY,
     report_every: int = REPORT_EVERY,
     transform: Callable[[DataFrame, int], DataFrame] | None = None,
+    reshuffle: Literal["sort", "permute"] = "sort",
+    exact: bool = False,
 ) -> Training:
     """Train on ``examples(id, features, label)``; every batch is one Spark job.
 
@@ -58,6 +67,9 @@ def train_softmax(
     ``global_batch`` sets how much work one step spreads over the cluster. Only
     the model, whose size is fixed, comes back to the driver between steps.
     ``transform`` maps the examples and the epoch's number to what that epoch trains on.
+
+    ``reshuffle`` says how an epoch is shuffled: by a sort on drawn keys, or by a keyed permutation of positions that are numbered once.
+    With ``exact`` the model is the same bit for bit however the examples are partitioned and in whatever order tasks end.
     """
     spark = examples.sparkSession
     model = G.LinearModel.zeros(classes, features)
@@ -68,20 +80,25 @@ def train_softmax(
     per_folder = max(1, FOLDER_ROWS // (batch_size(shards, global_batch) * shards))
     progress = []
 
+    if reshuffle == "permute":
+        examples = numbered(examples)
     for epoch in range(epochs):
         seen_now = transform(examples, epoch) if transform else examples
-        batched = assign_batches(seen_now, shards, global_batch, seed, epoch)
+        if reshuffle == "permute":
+            batched = assign_batches_permuted(seen_now, shards, global_batch, seed, epoch, total)
+        else:
+            batched = assign_batches(seen_now, shards, global_batch, seed, epoch)
         slab = F.floor(F.col("batch") / per_folder).cast("int").alias("slab")
         table = written(batched.select("batch", "shard", "features", "label", slab), "batches", "slab")
         for step in range(steps):
             mine = (F.col("slab") == step // per_folder) & (F.col("batch") == step)
-            local = G.shard_gradients(table.where(mine), model)
+            local = G.shard_gradients(table.where(mine), model, exact)
             if sync == "gather":
                 # every shard has the mean back; they are equal, so any one's copy makes the step
-                handed = G.gradient_mean_gather(local)
+                handed = G.gradient_mean_gather(local, exact)
                 mean = handed.groupBy("param", "pos").agg(F.min_by("value", "shard").alias("value"))
             else:
-                mean = G.gradient_mean_allreduce(local, shards)
+                mean = G.gradient_mean_allreduce(local, shards, exact)
             stepped = G.sgd_update(
                 spark.createDataFrame(state, schema), mean, lr, momentum, weight_decay
             ).toArrow()  # model size

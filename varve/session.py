@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Below this, a partition of a small table costs more than the core it would use.
+LEAST_PARTITION_BYTES = 1 << 20
 
 _local_dirs: dict[str, str] = {}
 
@@ -55,11 +61,12 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written_bucketed(df: DataFrame, label: str, buckets: int, *keys: str) -> DataFrame:
+def written_bucketed(df: DataFrame, label: str, buckets: int, *keys: str, path: str | None = None) -> DataFrame:
     """Like :func:`written`, bucketed on ``keys`` so that joins on them need no exchange.
 
     The catalog entry is only a handle for the bucket layout. It is dropped at
-    once; the files stay and the returned frame keeps reading them.
+    once; the files stay and the returned frame keeps reading them. With ``path`` they stand there, and
+    :func:`read_bucketed` finds them again in any session.
     """
     spark = df.sparkSession
     name = f"{label}_{uuid.uuid4().hex}"
@@ -67,10 +74,48 @@ def written_bucketed(df: DataFrame, label: str, buckets: int, *keys: str) -> Dat
         df.write.format("parquet")
         .bucketBy(buckets, *keys)
         .sortBy(*keys)
-        .option("path", fresh_path(spark, label))
+        .option("path", path or fresh_path(spark, label))
         .saveAsTable(name)
     )
+    return _without_handle(spark, name)
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: T.StructType, buckets: int, *keys: str) -> DataFrame:
+    """What :func:`written_bucketed` wrote to ``path``."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    names = ", ".join(f"`{k}`" for k in keys)
+    place = path.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet "
+        f"CLUSTERED BY ({names}) SORTED BY ({names}) INTO {buckets} BUCKETS LOCATION '{place}'"
+    )
+    return _without_handle(spark, name)
+
+
+def _without_handle(spark: SparkSession, name: str) -> DataFrame:
     table = spark.table(name)
     table.schema  # resolve before the handle goes away
     spark.sql(f"DROP TABLE {name}")
     return table
+
+
+def file_bytes(files: DataFrame) -> int:
+    """Bytes of the files that a scan reads; no column is read for it."""
+    sizes = files.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return sizes.agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]
+
+
+def planned_width(files: DataFrame) -> int:
+    """Shuffle partitions for a table of these files: as many as the advisory size asks for, and enough to use the cores on smaller ones."""
+    spark = files.sparkSession
+    size = file_bytes(files)
+    advised = _bytes_of(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    return max(-(-size // advised), min(spark.sparkContext.defaultParallelism, -(-size // LEAST_PARTITION_BYTES)), 1)
+
+
+def _bytes_of(text: str) -> int:
+    match = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", text.strip().lower())
+    if not match:
+        raise ValueError(f"not a size: {text}")
+    return int(match[1]) << 10 * " kmgt".index(match[2] or " ")

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Line breaks a text reader keeps inside a line although a string split on line
-# boundaries would not: VT, FF, FS, GS, RS, NEL, LS, PS.
-INNER_LINE_BREAKS = "[\\x0B\\x0C\\x1C\\x1D\\x1E\\x85\\u2028\\u2029]"
+# What a string split on line boundaries breaks at besides the line feed: CR, VT, FF, FS, GS, RS, NEL, LS, PS.
+INNER_LINE_BREAKS = "[\\r\\x0B\\x0C\\x1C\\x1D\\x1E\\x85\\u2028\\u2029]"
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -17,12 +16,31 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_file_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of whole files with the ``file`` they came from.
+    """Lines of whole files with the ``file`` they came from, as a split of the whole file's text on line boundaries has them.
 
-    Files are read in splits, never as one row each, so their size does not matter.
+    Files are read in splits, never as one row each, so their size does not matter. A break at the end of a line feed's line
+    leaves an empty line before the feed, but none at the end of a file that ends without one. Such files show by their size: their lines
+    hold one byte more, with a feed each, than they do.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    return lines.select("file", F.explode(F.split("value", INNER_LINE_BREAKS, -1)).alias("value"))
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("_size"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row")).alias("_at"),
+    )
+    # a feed takes a carriage return before it along
+    pieces = F.split(F.regexp_replace("value", "\\r\\z", ""), INNER_LINE_BREAKS, -1)
+    ends = F.col("value").rlike(INNER_LINE_BREAKS + r"\z")
+    whole = lines.where(~ends).select("file", F.explode(pieces).alias("value"))
+    # only lines with a break at their end are joined: the last of a file without a final feed has one piece less
+    open_files = lines.groupBy("file").agg(
+        F.sum(F.octet_length("value") + 1).alias("_bytes"), F.max("_size").alias("_size"), F.max("_at").alias("_last")
+    )
+    last = open_files.where(F.col("_bytes") > F.col("_size")).select("file", F.col("_last").alias("_at"), F.lit(True).alias("_open"))
+    broken = lines.where(ends).join(last, ["file", "_at"], "left")
+    all_pieces = F.split("value", INNER_LINE_BREAKS, -1)
+    without_last = F.slice(all_pieces, 1, F.size(all_pieces) - 1)
+    return whole.unionByName(broken.select("file", F.explode(F.when(F.col("_open"), without_last).otherwise(pieces)).alias("value")))
 
 
 def scan_fields(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:

@@ -9,7 +9,7 @@ from varve.functions.text import djb2
 from varve.operators import graph, partitioning
 from varve.operators.links import parse_links
 from varve.plans.jobs import rank_links
-from varve.plans.pagerank import pagerank
+from varve.plans.pagerank import compact_pagerank, pagerank, resumable_pagerank
 from varve.session import fresh_path, written
 from varve.sources import sinks
 from varve.sources.text import scan_file_lines, scan_lines
@@ -51,7 +51,7 @@ def pagerank_10_links(spark, sf_dir):
 
 
 def pagerank_10_partitioned(spark, sf_dir):
-    return _rounded(pagerank(_links(spark, sf_dir, "field"), store="table", parts=150))
+    return _rounded(pagerank(_links(spark, sf_dir, "field"), store="table", parts="data"))
 
 
 def pagerank_10_persisted(spark, sf_dir):
@@ -77,10 +77,12 @@ def scan_text_lines(spark, sf_dir):
 
 
 def scan_whole_files(spark, sf_dir):
+    """Files of link lines, one folder per line number, with breaks inside and at the end of lines."""
     path = fresh_path(spark, "links")
-    I.link_lines(spark, sf_dir).write.text(path)
-    lines = scan_file_lines(spark, path)
-    return lines.groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
+    I.broken_lines(spark, sf_dir).write.partitionBy("number").text(path)
+    lines = scan_file_lines(spark, f"{path}/*")
+    folder = F.regexp_extract("file", r"/number=(\d+)/", 1).cast("int")
+    return lines.groupBy(folder.alias("number"), "value").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def parse_links_line(spark, sf_dir):
@@ -91,6 +93,32 @@ def parse_links_field(spark, sf_dir):
     return _links(spark, sf_dir, "field")
 
 
+def pagerank_10_exact(spark, sf_dir):
+    """Unrounded ranks of two widths and two stores, which are the same bit for bit, beside their rounded values."""
+    edges = written(I.handoff_edges(spark, sf_dir), "edges")
+    wide = pagerank(edges, parts=13, landed=True, exact=True)
+    narrow = pagerank(edges, parts=3, landed=True, exact=True, store="memory").select("node", F.col("rank").alias("other"))
+    return wide.join(narrow, "node", "full").select(
+        "node", F.round("rank", 6).alias("rank"), (F.col("rank") == F.col("other")).alias("same")
+    )
+
+
+def pagerank_10_compact(spark, sf_dir):
+    return _rounded(compact_pagerank(_links(spark, sf_dir)))
+
+
+def pagerank_10_resumed(spark, sf_dir):
+    """Six rounds, then a second call that goes on from what the first put on record."""
+    folder = fresh_path(spark, "job")
+    edges = written(I.handoff_edges(spark, sf_dir), "edges")
+    resumable_pagerank(edges, folder, rounds=6, cut_every=3)
+    return _rounded(resumable_pagerank(edges, folder, rounds=10, cut_every=3))
+
+
+def hub_sources(spark, sf_dir):
+    return graph.heavy_sources(I.flag_edges(spark, sf_dir), 16, at_least=100).select("src", "out_degree")
+
+
 def djb2_hash(spark, sf_dir):
     nodes = graph.out_degree(_links(spark, sf_dir, "field"))
     return nodes.select(F.col("src").alias("node"), djb2(F.col("src")).alias("hash"))
@@ -122,6 +150,15 @@ def rank_contributions(spark, sf_dir):
     return _rounded(graph.rank_contributions(edges, graph.first_ranks(edges)), "contribution")
 
 
+def edges_by_djb2(spark, sf_dir):
+    """Edges of a graph with three hubs, placed by the hash of their source; how many there are, and whether all partitions stay below twice the mean."""
+    placed = partitioning.place_rows_by_word_hash(I.flag_edges(spark, sf_dir), "src")
+    held = written(placed.select("src", "part", F.spark_partition_id().alias("placed_on")), "placed")
+    sizes = held.groupBy("placed_on").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("part").alias("parts"))
+    even = sizes.agg(((F.max("rows") < 2 * F.avg("rows")) & (F.max("parts") == 1)).alias("even"))
+    return held.groupBy("src", "part").agg(F.count(F.lit(1)).alias("edges")).join(F.broadcast(even))
+
+
 def adjacency_by_djb2(spark, sf_dir):
     lists = partitioning.adjacency_by_word_hash(_links(spark, sf_dir, "field"), per_row=20)
     neighbors = F.array_join(F.transform("neighbors", lambda n: F.concat_ws("x", n["dst"], n["copies"].cast("string"))), " ")
@@ -184,7 +221,11 @@ QUERIES = {
         pagerank_10_persisted,
         pagerank_10_checkpointed,
         pagerank_10_hubs,
+        pagerank_10_exact,
+        pagerank_10_compact,
+        pagerank_10_resumed,
         pagerank_acyclic,
+        hub_sources,
         scan_text_lines,
         scan_whole_files,
         parse_links_line,
@@ -200,6 +241,7 @@ QUERIES = {
         sink_rank_tsv,
         sink_rank_text,
         adjacency_by_djb2,
+        edges_by_djb2,
     )
 }
 
@@ -222,9 +264,18 @@ ORACLES = {
     "pagerank_10_persisted": _LINE_RANKS,
     "pagerank_10_checkpointed": _LINE_RANKS,
     "pagerank_10_hubs": pagerank_sql(I.FLAG_SQL, "flags", 10),
+    "pagerank_10_exact": f"SELECT node, rank, true AS same FROM ({pagerank_sql(I.HANDOFF_SQL, 'handoff', 10)})",
+    "pagerank_10_compact": _LINE_RANKS,
+    "pagerank_10_resumed": pagerank_sql(I.HANDOFF_SQL, "handoff", 10),
+    "hub_sources": f"""WITH {I.FLAG_SQL}
+SELECT src, count(*) AS out_degree FROM flags GROUP BY src
+HAVING count(*) > greatest((SELECT count(*) FROM flags) / 16.0::DOUBLE, 100)""",
     "pagerank_acyclic": pagerank_sql(I.LADDER_SQL, "ladder", 2),
     "scan_text_lines": f"WITH {I.LINK_LINES_SQL} SELECT value FROM lines",
-    "scan_whole_files": f"WITH {I.LINK_LINES_SQL} SELECT value, count(*) AS copies FROM lines GROUP BY value",
+    "scan_whole_files": f"""WITH {I.LINK_LINES_SQL},
+broken AS (
+  SELECT n, p AS value FROM names UNION ALL SELECT n, s FROM names UNION ALL SELECT n, '' FROM names WHERE n % 3 = 0)
+SELECT n AS number, value, count(*) AS copies FROM broken GROUP BY ALL""",
     "parse_links_line": f"WITH {I.LINK_LINES_SQL} SELECT src, dst FROM links_line",
     "parse_links_field": f"WITH {I.LINK_LINES_SQL} SELECT src, dst FROM links_field",
     "djb2_hash": f"WITH {I.LINK_LINES_SQL}, nodes AS (SELECT DISTINCT src AS node FROM links_field) "
@@ -247,6 +298,8 @@ folded AS (SELECT src, dst, count(*) AS copies FROM links_field GROUP BY src, ds
 ranked AS (SELECT *, CAST((row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 20 AS BIGINT) AS list_part FROM folded),
 lists AS (SELECT src, list_part, string_agg(dst || 'x' || copies, ' ' ORDER BY dst) AS neighbors FROM ranked GROUP BY ALL)
 SELECT *, CAST({_djb2_sql('src')} % 150 AS INTEGER) AS part, CAST({_djb2_sql('src')} % 150 AS INTEGER) AS placed_on FROM lists""",
+    "edges_by_djb2": f"""WITH {I.FLAG_SQL}
+SELECT src, CAST({_djb2_sql('src')} % 150 AS INTEGER) AS part, count(*) AS edges, true AS even FROM flags GROUP BY ALL""",
     "sink_rank_text": """SELECT o_orderkey || chr(9) || CAST(round(o_totalprice * 100) + CASE WHEN o_orderkey % 2 = 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS VARCHAR)
 AS value FROM orders""",
     "source_only_nodes": f"""WITH {I.ORDER_EDGES_SQL}

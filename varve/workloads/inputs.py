@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varve.operators.blocks import in_blocks, next_value
@@ -31,9 +31,8 @@ handoff AS (
   ) WHERE nxt IS NOT NULL)"""
 
 
-def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two link lines per line item, part <-> supplier, with namespaces, stray tabs and missing tabs."""
-    items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber")
+def link_names() -> tuple[Column, Column]:
+    """The page names of a line item's part and supplier."""
     part = (
         F.when(F.col("l_partkey") % 10 == 0, "Category:Part_")
         .when(F.col("l_partkey") % 10 == 1, "Talk:Part_")
@@ -44,8 +43,13 @@ def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_suppkey") % 10 == 1, "Help:Supplier_")
         .otherwise("Supplier_")
     )
-    part = F.concat(part, F.col("l_partkey").cast("string"))
-    supplier = F.concat(supplier, F.col("l_suppkey").cast("string"))
+    return F.concat(part, F.col("l_partkey").cast("string")), F.concat(supplier, F.col("l_suppkey").cast("string"))
+
+
+def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two link lines per line item, part <-> supplier, with namespaces, stray tabs and missing tabs."""
+    items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber")
+    part, supplier = link_names()
     gap = F.when(F.col("l_linenumber") == 5, " ").otherwise("\t")
     tail = F.when(F.col("l_linenumber") == 3, "\tx").otherwise("")
     forward = F.concat(part, gap, supplier, tail)
@@ -53,6 +57,14 @@ def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select(F.explode(F.array(forward, backward)).alias("value"))
 
 
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(number, value): both names of a line item with a line break between, and for every third number one at the end."""
+    items = table(spark, sf_dir, "lineitem")
+    part, supplier = link_names()
+    tail = F.when(F.col("l_linenumber") % 3 == 0, "\u2028").otherwise("")
+    return items.select(F.col("l_linenumber").alias("number"), F.concat(part, F.lit("\x0b"), supplier, tail).alias("value"))
+
+
 LINK_LINES_SQL = """
 names AS (
   SELECT l_linenumber AS n,

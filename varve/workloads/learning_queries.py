@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from varve.plans import training
 from varve.workloads import inputs as I
 
 SHARDS = 4
+EPOCHS = 3
 STEP_BATCH = 64
 CHANNELS, ROWS, COLUMNS = 4, 4, 4
 MEAN = (125.3, 123.0, 113.9, 120.0)
@@ -33,6 +36,16 @@ def shard_assignment(spark, sf_dir):
     return sharding.assign_shards(I.train_examples(spark, sf_dir), SHARDS).drop("features")
 
 
+def shard_assignment_permuted(spark, sf_dir):
+    """Three epochs over rows that are numbered once."""
+    rows = sharding.numbered(I.train_examples(spark, sf_dir).drop("features"))
+    total = rows.count()
+    epochs = [
+        sharding.assign_shards_permuted(rows, SHARDS, epoch=e, total=total).withColumn("epoch", F.lit(e)) for e in range(EPOCHS)
+    ]
+    return reduce(DataFrame.unionByName, epochs)
+
+
 def batch_assignment(spark, sf_dir):
     batches = sharding.assign_batches(I.train_examples(spark, sf_dir), SHARDS, STEP_BATCH)
     return batches.select("id", "position", "shard", "batch")
@@ -151,6 +164,19 @@ def train_softmax(spark, sf_dir):
     )
 
 
+def train_softmax_exact(spark, sf_dir):
+    """Parameters that two partitionings and both ways of averaging give, which are the same bit for bit."""
+    train = I.train_examples(spark, sf_dir)
+    how = {"shards": SHARDS, "exact": True}
+    one = training.train_softmax(train.repartition(3), I.CLASSES, I.FEATURES, sync="gather", **how).params
+    other = training.train_softmax(train.repartition(11, "id"), I.CLASSES, I.FEATURES, **how).params
+    other = other.select("param", "pos", F.col("value").alias("_value"), F.col("velocity").alias("_velocity"))
+    same = (F.col("value") == F.col("_value")) & (F.col("velocity") == F.col("_velocity"))
+    return one.join(other, ["param", "pos"], "full").select(
+        "param", "pos", F.round("value", 6).alias("value"), F.round("velocity", 6).alias("velocity"), same.alias("same")
+    )
+
+
 def training_progress(spark, sf_dir):
     progress = _training(spark, sf_dir, global_batch=STEP_BATCH, report_every=3).progress
     return progress.select(
@@ -217,6 +243,7 @@ QUERIES = {
     for f in (
         train_test_split,
         shard_assignment,
+        shard_assignment_permuted,
         batch_assignment,
         test_batches,
         normalize_features,
@@ -230,6 +257,7 @@ QUERIES = {
         sgd_update_sparse,
         train_softmax_gather,
         train_softmax,
+        train_softmax_exact,
         training_progress,
         training_report,
         train_and_test,
@@ -253,6 +281,45 @@ dealt AS (
 sharded AS (
   SELECT id, x, label, position, CAST(position % {SHARDS} AS INTEGER) AS shard, position // {SHARDS} AS place FROM dealt)"""
 
+# The permutation of the epochs' shuffles: modulus, rounds, and the draw of its factors.
+_PRIME = 2_147_483_647
+_PERMUTE_ROUNDS = 6
+
+
+def _factor_sql(i: int) -> str:
+    drawn = f"CAST('0x' || substr(sha256('314:' || epoch || ':' || r), {16 * i + 1}, 16) AS UBIGINT)"
+    return f"CAST({drawn} % {_PRIME - 1} + 1 AS BIGINT)"
+
+
+def _permuted_once_sql(rows: str) -> str:
+    """``rows`` (epoch, id, label, p) with p taken through all rounds."""
+    inner = f"SELECT q.epoch, id, label, p // low AS a, p % low AS b FROM ({rows}) q, sized"
+    for number in range(_PERMUTE_ROUNDS):
+        t = f"({'a' if number % 2 else 'b'} % {_PRIME})"
+        cubic = f"((({t} * x + y) % {_PRIME} * {t} + z) % {_PRIME} * (({t} + x) % {_PRIME})) % {_PRIME}"
+        digits = f"a, (b + {cubic}) % low AS b" if number % 2 else f"(a + {cubic}) % high AS a, b"
+        inner = f"SELECT q.epoch, id, label, {digits} FROM ({inner}) q JOIN factors f ON f.epoch = q.epoch AND r = {number}, sized"
+    return f"SELECT epoch, id, label, a * low + b AS p FROM ({inner}) q, sized"
+
+
+PERMUTED_SQL = f"""WITH RECURSIVE {I.EXAMPLES_SQL},
+sized AS (
+  SELECT n, high, CAST(ceil(n / high) AS BIGINT) AS low, CAST(ceil(n / {SHARDS}.0) AS BIGINT) * {SHARDS} AS padded
+  FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS high FROM train)),
+factors AS (
+  SELECT epoch, r, {_factor_sql(0)} AS x, {_factor_sql(1)} AS y, {_factor_sql(2)} AS z
+  FROM (SELECT range AS epoch FROM range({EPOCHS})), (SELECT range AS r FROM range({_PERMUTE_ROUNDS}))),
+numbered AS (
+  SELECT range AS epoch, id, label, row_number() OVER (PARTITION BY range ORDER BY id) - 1 AS p FROM train, range({EPOCHS})),
+walked AS (
+  {_permuted_once_sql("SELECT * FROM numbered")}
+  UNION ALL
+  {_permuted_once_sql("SELECT w.epoch, id, label, p FROM walked w, sized WHERE p >= n")}),
+dealt AS (
+  SELECT epoch, id, label, unnest(range(p, padded, n)) AS position FROM walked, sized WHERE p < n)
+SELECT CAST(epoch AS INTEGER) AS epoch, id, label, position, CAST(position % {SHARDS} AS INTEGER) AS shard, position // {SHARDS} AS place
+FROM dealt"""
+
 MODEL_SQL = f"""
 classes AS (SELECT CAST(range AS INTEGER) AS class FROM range({I.CLASSES})),
 model AS (
@@ -389,6 +456,7 @@ _EVALUATION = "CAST(sum(CASE WHEN predicted = label THEN 1 ELSE 0 END) AS BIGINT
 ORACLES = {
     "train_test_split": f"WITH {I.EXAMPLES_SQL} SELECT id, label, split FROM examples",
     "shard_assignment": f"WITH {SHARDED_SQL} SELECT id, label, position, shard, place FROM sharded",
+    "shard_assignment_permuted": PERMUTED_SQL,
     "batch_assignment": f"""WITH {SHARDED_SQL}
 SELECT id, position, shard, place // {STEP_BATCH // SHARDS} AS batch FROM sharded""",
     "test_batches": f"""WITH {I.EXAMPLES_SQL}, {_TEST_KEYED}
@@ -437,6 +505,7 @@ SELECT param, pos, round(CASE WHEN moves THEN value - 0.1::DOUBLE * velocity ELS
   round(velocity, 6) + 0.0 AS velocity FROM moved""",
     "train_softmax_gather": _PARAMS,
     "train_softmax": _PARAMS,
+    "train_softmax_exact": f"SELECT *, true AS same FROM ({_PARAMS})",
     "training_progress": _PROGRESS,
     "training_report": f"""SELECT printf('Train Epoch: %d [%d/%d (%.0f%%)]' || chr(9) || 'Loss: %.6f',
   epoch, rows_seen, total, percent, loss) AS line FROM ({_PROGRESS})""",
