@@ -91,8 +91,48 @@ def test_pairs_of_one_shingle():
     entries = np.zeros(6, J._ENTRY)
     entries["id"], entries["size"] = [5, 3, 9, 4, 8, 7], [10, 10, 12, 13, 20, 100]
     entries["part"] = [1, 1, 2, 3, 4, 5]
-    assert sorted(map(tuple, J.hub_pairs(entries).tolist())) == [(3, 4), (3, 5), (3, 9)]
+    assert sorted(map(tuple, J.hub_pairs(entries).tolist())) == [(0, 3, 4), (0, 3, 5), (0, 3, 9)]
     assert sorted(map(tuple, J.cross_pairs(entries, block=2).tolist())) == [(3, 4), (3, 9), (4, 5), (4, 9), (5, 9)]
+    # the one with the fewest rare shingles is the hub, where its size allows
+    entries["rare"] = [7, 6, 9, 2, 1, 0]
+    assert sorted(map(tuple, J.hub_pairs(entries).tolist())) == [(2, 4, 3), (2, 4, 5), (2, 4, 9)]
+    entries["at"] = [0, 0, 0, 5, 0, 0]
+    assert J.hub_pairs(entries).tolist() == []
+
+
+def family(rng, size, vocabulary=20_000, words=120, changed=2):
+    """A text and copies of it, each with some words of its own."""
+    base = [f"w{i}" for i in rng.integers(0, vocabulary, words)]
+    texts = [base]
+    for _ in range(size - 1):
+        copy = list(base)
+        for i in rng.choice(words, changed, replace=False):
+            copy[i] = f"new{rng.integers(10**9)}"
+        texts.append(copy)
+    return [" ".join(t) for t in texts]
+
+
+@pytest.mark.parametrize("first", [0, 1])
+def test_pairs_of_a_family_grow_with_its_size(spark, monkeypatch, first):
+    """With the text that all were copied from, and without it."""
+    counted = []
+    verify = J.verified_links
+
+    def spy(texts, pairs):
+        counted.append(pairs.count())
+        return verify(texts, pairs)
+
+    monkeypatch.setattr(J, "verified_links", spy)
+    per_member = []
+    for size in (100, 200, 400):
+        counted.clear()
+        rng = np.random.default_rng(size)
+        texts = family(rng, size + first)[first:]
+        rows = [(int(i), t) for i, t in zip(rng.permutation(size), texts)]
+        got = {r["doc"]: r["component"] for r in J.similarity_components(frame(spark, rows)).collect()}
+        assert got == {k: c for k, (_, c) in components(rows).items()}
+        per_member.append(sum(counted) / size)
+    assert max(per_member) < 5, per_member
 
 
 def test_components_of_path_star_and_cycle(spark):

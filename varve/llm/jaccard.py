@@ -6,8 +6,9 @@ and size form one group, and only groups are joined; group pairs pass a size and
 are left are expanded to the groups' members and verified on the whole texts.
 
 A hot shingle or a large cluster of near copies must not become all pairs. So candidates come in
-two rounds. In the first, each group meets one hub per shingle and size range, for one shingle in ``HUB_SHINGLES``
-(near copies share many); verified links give components. In the second, over all shingles, candidates are all pairs that the prefixes allow between different components, for pairs within one
+two rounds. In the first, over frequent shingles, each group meets one hub: of those that the prefixes allow, the most central one, of
+whose shingles the fewest are rare, as the text that the others were copied from has few of its own. Verified links give components. In the second, over
+all shingles, candidates are all pairs that the prefixes allow between different components, for pairs within one
 component can't change it. Both rounds together lose no link that matters to reachability.
 
 Rows are told apart by a key of their own, whatever their ids are: texts under one id, or under none, are linked only if they are similar.
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +43,8 @@ MAX_FREQUENT = 1_000_000
 STEP_BYTES = 2_000_000
 #: Entries that a task gathers before it packs them by bucket.
 PACK_ENTRIES = 500_000
-#: One shingle in so many takes part in the first round, which only has to find most of the components.
-HUB_SHINGLES = 6
+#: Bytes of text, about, whose pairs are verified at a time.
+PAIR_BYTES = 8_000_000
 #: Pairs that read one copy of their hub's text.
 PAIRS_PER_COPY = 2_000
 LEAST = -(2**63)
@@ -50,7 +52,7 @@ LEAST = -(2**63)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
-_ENTRY = np.dtype([("token", "<u8"), ("id", "<i8"), ("part", "<i8"), ("size", "<i4"), ("at", "<i4")])
+_ENTRY = np.dtype([("token", "<u8"), ("id", "<i8"), ("part", "<i8"), ("size", "<i4"), ("at", "<i4"), ("rare", "<i4")])
 
 
 def shingle_sets(column: pa.Array, k: int = SHINGLE_WORDS) -> Iterator[tuple[int, np.ndarray]]:
@@ -81,13 +83,18 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
 
 def in_order(tokens: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> np.ndarray:
     """``tokens``, sorted by hash, in the global order."""
+    return _ordered(tokens, frequent, times)[0]
+
+
+def _ordered(tokens: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, int]:
+    """``tokens`` in the global order, and how many of them aren't frequent."""
     if not len(frequent):
-        return tokens
+        return tokens, len(tokens)
     at = np.searchsorted(frequent, tokens)
     at[at == len(frequent)] = 0
     often = frequent[at] == tokens
     last = tokens[often]
-    return np.concatenate((tokens[~often], last[np.argsort(times[at[often]], kind="stable")]))
+    return np.concatenate((tokens[~often], last[np.argsort(times[at[often]], kind="stable")])), len(tokens) - len(last)
 
 
 def _by_bucket(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -208,8 +215,8 @@ def _described(shared):
     return run
 
 
-def _packed(shared, buckets: int, one_in: int):
-    """Prefix entries of the entities, packed by bucket of the shingle; of all shingles one in ``one_in``."""
+def _packed(shared, buckets: int, only_frequent: bool):
+    """Prefix entries of the entities, packed by bucket of the shingle; those of frequent shingles or of all."""
 
     def pack(held):
         entries = np.concatenate(held)
@@ -231,12 +238,14 @@ def _packed(shared, buckets: int, one_in: int):
             docs = batch.column("doc").to_pylist()
             for row, tokens in shingle_sets(batch.column("text")):
                 n = len(tokens)
-                prefix = in_order(tokens, frequent, times)[: prefix_size(n)]
+                ordered, rare = _ordered(tokens, frequent, times)
+                first = rare if only_frequent else 0
+                prefix = ordered[first : prefix_size(n)]
+                if not len(prefix):
+                    continue
                 entries = np.empty(len(prefix), _ENTRY)
                 entries["token"], entries["id"], entries["part"] = prefix, docs[row], parts[row]
-                entries["size"], entries["at"] = n, np.arange(len(prefix))
-                if one_in > 1:
-                    entries = entries[(prefix >> np.uint64(8)) % np.uint64(one_in) == 0]
+                entries["size"], entries["at"], entries["rare"] = n, np.arange(first, first + len(prefix)), 1000 * rare // n
                 held.append(entries)
                 size += len(entries)
                 if size >= PACK_ENTRIES:
@@ -253,34 +262,44 @@ def _unpacked(count: int, packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(wide.T).view(_ENTRY).ravel()
 
 
-def _candidates(pairs_of):
-    """Distinct pairs of each bucket."""
-
-    def solve(held):
+def _candidates(batches):
+    """Distinct pairs of each bucket between different parts."""
+    for held in _each_bucket(batches, _unpacked):
         entries = np.concatenate(held)
         entries = entries[np.lexsort((entries["size"], entries["token"]))]
-        token = entries["token"]
-        first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-        count = np.diff(np.append(first, len(token)))
+        first, count = _runs_of(entries["token"])
         # most shared shingles are of two
         two = first[count == 2]
         x, y = entries[two], entries[two + 1]
-        fits = (x["id"] != y["id"]) & _allowed(x, y)
-        if pairs_of is cross_pairs:
-            fits &= x["part"] != y["part"]
+        fits = (x["id"] != y["id"]) & (x["part"] != y["part"]) & _allowed(x, y)
         found = [np.sort(np.stack([x["id"][fits], y["id"][fits]], 1), 1)]
         for a, n in zip(first[count > 2], count[count > 2]):
-            found.append(pairs_of(entries[a : a + n]))
+            found.append(cross_pairs(entries[a : a + n]))
             if len(found) > 5_000:
                 found = [np.unique(np.concatenate(found), axis=0)]
         pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["x", "y"])
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["x", "y"])
 
-    def run(batches):
-        for held in _each_bucket(batches, _unpacked):
-            yield solve(held)
 
-    return run
+def _runs_of(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal values begins, and its length."""
+    first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    return first, np.diff(np.append(first, len(token)))
+
+
+def _hubs(batches):
+    """(rare, x, y): the most central hub ``x`` that each ``y`` meets in a bucket."""
+    for held in _each_bucket(batches, _unpacked):
+        entries = np.concatenate(held)
+        entries = entries[np.lexsort((entries["size"], entries["token"]))]
+        first, count = _runs_of(entries["token"])
+        found = [np.zeros((0, 3), np.int64)]
+        for a, n in zip(first[count > 1], count[count > 1]):
+            found.append(hub_pairs(entries[a : a + n]))
+        rows = np.concatenate(found)
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0], rows[:, 2]))]
+        rows = rows[np.concatenate(([True], rows[1:, 2] != rows[:-1, 2]))] if len(rows) else rows
+        yield pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in range(3)], ["rare", "x", "y"])
 
 
 def _allowed(x, y) -> np.ndarray:
@@ -291,17 +310,24 @@ def _allowed(x, y) -> np.ndarray:
 
 
 def hub_pairs(entries: np.ndarray) -> np.ndarray:
-    """One hub for each range of sizes that may link: every other member meets it. Entries come sorted by size."""
-    found, first = [], 0
-    sizes = entries["size"]
-    while first < len(entries):
-        stop = int(np.searchsorted(sizes, 100 * int(sizes[first]) // PERCENT, "right"))
-        run = entries[first:stop]
-        hub = run[np.argmin(run["id"])]
-        others = run[(run["id"] != hub["id"]) & _allowed(run, hub)]
-        found.append(np.stack([np.full(len(others), hub["id"]), others["id"]], 1))
-        first = stop
-    return np.concatenate(found)
+    """Rows (rare, hub, member): for each entry the most central one that its size and place allow. Entries come sorted by size."""
+    sizes = entries["size"].astype(np.int64)
+    central = np.lexsort((entries["id"], entries["rare"]))
+    rank = np.empty(len(entries), np.int64)
+    rank[central] = np.arange(len(entries))
+    # the least rank among the sizes that may link: minima of runs of doubled lengths
+    begin = np.searchsorted(sizes, -(-PERCENT * sizes // 100), "left")
+    end = np.searchsorted(sizes, 100 * sizes // PERCENT, "right")
+    level = np.frexp((end - begin).astype(np.float64))[1] - 1  # runs of 2 ** level, of which two cover the range
+    best, least, width = np.empty(len(entries), np.int64), rank, 1
+    for k in range(int(level.max()) + 1):
+        own = level == k
+        best[own] = np.minimum(least[begin[own]], least[end[own] - width])
+        least = np.minimum(least[: max(len(least) - width, 0)], least[width:])
+        width *= 2
+    hub = entries[central[best]]
+    good = (best < rank) & (hub["id"] != entries["id"]) & _allowed(hub, entries)
+    return np.stack([hub["rare"][good].astype(np.int64), hub["id"][good], entries["id"][good]], 1)
 
 
 def cross_pairs(entries: np.ndarray, block: int = 256) -> np.ndarray:
@@ -321,11 +347,22 @@ def cross_pairs(entries: np.ndarray, block: int = 256) -> np.ndarray:
     return np.concatenate(found)
 
 
-def _joined(texts: DataFrame, entities: DataFrame, shared, pairs_of, one_in: int = 1) -> DataFrame:
-    """Candidate pairs (x, y) of the ``entities`` (doc, part) that meet at some shingle, or at one in ``one_in`` of them."""
+def _placed_entries(texts: DataFrame, entities: DataFrame, shared, only_frequent: bool) -> DataFrame:
+    """Packed prefix entries of the ``entities`` (doc, part), those of one bucket of shingles together."""
     width = shuffle_partitions(texts.sparkSession)
-    packed = texts.join(entities.hint("shuffle_hash"), "doc").mapInArrow(_packed(shared, width, one_in), _PACKS)
-    return _bucketed(packed, width).mapInArrow(_candidates(pairs_of), "x bigint, y bigint").distinct()
+    packed = texts.join(entities.hint("shuffle_hash"), "doc").mapInArrow(_packed(shared, width, only_frequent), _PACKS)
+    return _bucketed(packed, width)
+
+
+def hub_candidates(texts: DataFrame, entities: DataFrame, shared) -> DataFrame:
+    """(x, y): of each entity ``y`` the most central one that it meets at a frequent shingle; one pair an entity at most."""
+    met = _placed_entries(texts, entities, shared, True).mapInArrow(_hubs, "rare bigint, x bigint, y bigint")
+    return met.groupBy("y").agg(F.min(F.struct("rare", "x")).alias("hub")).select("hub.x", "y")
+
+
+def cross_candidates(texts: DataFrame, entities: DataFrame, shared) -> DataFrame:
+    """(x, y): all pairs of entities of different parts that meet at some shingle of their prefixes."""
+    return _placed_entries(texts, entities, shared, False).mapInArrow(_candidates, "x bigint, y bigint").distinct()
 
 
 def _squeezed(batches):
@@ -337,21 +374,23 @@ def _squeezed(batches):
 
 
 def _verified(batches):
-    """Links among the pairs, decided on both whole texts."""
+    """Links among the pairs, decided on both whole texts; so many pairs at a time as their bytes allow."""
     for batch in batches:
-        for begin in range(0, batch.num_rows, 500):
-            part = batch.slice(begin, 500)
+        sizes = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        total = np.cumsum(2 * sizes + 1)  # a text that may link is about as long
+        begin = 0
+        while begin < batch.num_rows:
+            stop = int(np.searchsorted(total, (total[begin - 1] if begin else 0) + PAIR_BYTES, "right"))
+            stop = min(max(stop, begin + 1), begin + 500, batch.num_rows)
+            part = batch.slice(begin, stop - begin)
+            begin = stop
             others = [zlib.decompress(t) for t in part.column("other").to_pylist()]
-            theirs = [t for _, t in shingle_sets(pa.array(others, pa.binary()))]
-            ours = [t for _, t in shingle_sets(part.column("text"))]
             links = []
-            for a, b in zip(theirs, ours):
+            for (_, a), (_, b) in zip(shingle_sets(pa.array(others, pa.binary())), shingle_sets(part.column("text"))):
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 links.append(both >= needed(len(a), len(b)))
-            keep = np.array(links, bool)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("x").filter(pa.array(keep)), part.column("doc").filter(pa.array(keep))], ["a", "b"]
-            )
+            keep = pa.array(links, pa.bool_())
+            yield pa.RecordBatch.from_arrays([part.column("x").filter(keep), part.column("doc").filter(keep)], ["a", "b"])
 
 
 def verified_links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -408,7 +447,7 @@ def _components_of(rows: DataFrame, id_column: str) -> DataFrame:
 
     # first round: hubs; the hub group's head stands for it
     entities = heads.select(F.col("head").alias("doc"), F.lit(0).alias("part"))
-    first = written(_joined(texts, entities, shared, hub_pairs, HUB_SHINGLES), "pairs")
+    first = written(hub_candidates(texts, entities, shared), "pairs")
     met = first.join(members.withColumnRenamed("head", "y"), "y").select("x", F.col("member").alias("y"))
     own = members.where("member <> head").select(F.col("head").alias("x"), F.col("member").alias("y"))
     links = written(verified_links(texts, met.unionByName(own)), "links")
@@ -421,7 +460,7 @@ def _components_of(rows: DataFrame, id_column: str) -> DataFrame:
     placed = written(placed, "placed")
     entities = placed.groupBy("head", "part").agg(F.min("member").alias("doc"))
     entities = written(entities, "entities")
-    second = written(_joined(texts, entities.select("doc", "part"), shared, cross_pairs), "pairs")
+    second = written(cross_candidates(texts, entities.select("doc", "part"), shared), "pairs")
     inside = placed.join(entities, ["head", "part"]).select("doc", "member")
     expanded = (
         second.join(inside.select(F.col("doc").alias("x"), F.col("member").alias("a")), "x")
