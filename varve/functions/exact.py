@@ -11,7 +11,6 @@ Bits below ``2**LOW_BIT`` are cut off each value, so sums of values above ``2**(
 from __future__ import annotations
 
 from decimal import Decimal
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, WindowSpec
@@ -50,36 +49,59 @@ def limb_arrays(values: np.ndarray) -> np.ndarray:
 
 
 def from_limbs(sums: list[Column]) -> Column:
-    """The double nearest to the number that summed limbs stand for, ties to even."""
-    negative = _digits(sums)[-1] < 0
-    digits = _digits([F.when(negative, -s).otherwise(s) for s in sums])
-    value = F.lit(0.0)
-    for top in range(LIMBS):
-        value = F.when(digits[top] > 0, _rounded(digits, top)).otherwise(value)
-    return F.when(negative, -value).otherwise(value)
-
-
-def _digits(sums: list[Column]) -> list[Column]:
-    """Limbs from 0 to the mask, with what is over carried up; the last one has the sign and all that is left."""
-    out, carry = [], F.lit(0).cast("bigint")
-    for s in sums[:-1]:
-        full = s + carry
-        out.append(full.bitwiseAND(F.lit(_MASK).cast("bigint")))
-        carry = F.shiftright(full, LIMB_BITS)
-    return [*out, sums[-1] + carry]
-
-
-def _rounded(digits: list[Column], top: int) -> Column:
-    """From the highest limb that isn't 0: three limbs hold more bits than a double, and one bit stands for all below."""
-    whole = F.lit(0).cast("decimal(38,0)")
-    for i in range(3):
-        if top - i >= 0:
-            factor = F.lit(Decimal(1 << (LIMB_BITS * (2 - i) + 1)))
-            whole = whole + (digits[top - i].cast("decimal(19,0)") * factor).cast("decimal(38,0)")
-    if top > 2:
-        rest = reduce(lambda a, b: a.bitwiseOR(b), digits[: top - 2])
-        whole = whole + F.when(rest != 0, 1).otherwise(0)
-    return whole.cast("decimal(38,0)").cast("double") * F.lit(_place(top - 2) / 2)
+    """The double nearest to the number that summed limbs stand for, ties to even.
+
+    This runs once per group, in lambdas, so that the expression stays small.
+    """
+    zero = F.lit(0).cast("bigint")
+    # two limbs more take what the highest sum carries over
+    bound = F.array(F.array(*sums, zero, zero))
+    signed = F.transform(bound, lambda a: F.struct(a.alias("a"), (_carried(a)["carry"] < 0).alias("negative")))
+    digits = F.transform(
+        signed,
+        lambda x: F.struct(
+            _carried(F.transform(x["a"], lambda s: F.when(x["negative"], -s).otherwise(s)))["digits"].alias("digits"), x["negative"].alias("negative")
+        ),
+    )
+    value = F.transform(digits, lambda x: F.when(x["negative"], -_rounded(x["digits"])).otherwise(_rounded(x["digits"])))
+    return F.get(value, 0)
+
+
+def _carried(sums: Column) -> Column:
+    """(carry, digits): limbs from 0 to the mask, the highest first, with what is over carried up; a carry left is -1 for a negative number."""
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("digits"))
+
+    def step(state: Column, s: Column) -> Column:
+        full = state["carry"] + s
+        digit = full.bitwiseAND(F.lit(_MASK).cast("bigint"))
+        return F.struct(F.shiftright(full, LIMB_BITS).alias("carry"), F.array_prepend(state["digits"], digit).alias("digits"))
+
+    return F.aggregate(sums, start, step)
+
+
+def _rounded(digits: Column) -> Column:
+    """From the highest limb that isn't 0, three hold more bits than a double, and one bit stands for all below."""
+    number = lambda c: c.cast("decimal(38,0)")
+    start = F.struct(
+        number(F.lit(0)).alias("whole"), F.lit(0).alias("taken"), F.lit(False).alias("rest"), F.lit(LIMBS + 2).alias("place")
+    )
+
+    def step(state: Column, digit: Column) -> Column:
+        take = (state["taken"] < 3) & ((state["taken"] > 0) | (digit > 0))
+        longer = number(state["whole"] * F.lit(Decimal(1 << LIMB_BITS)) + digit.cast("decimal(19,0)"))
+        return F.struct(
+            F.when(take, longer).otherwise(state["whole"]).alias("whole"),
+            (state["taken"] + take.cast("int")).alias("taken"),
+            (state["rest"] | ((state["taken"] == 3) & (digit > 0))).alias("rest"),
+            (state["place"] - F.when((state["taken"] == 3), 0).otherwise(1)).alias("place"),
+        )
+
+    def finish(state: Column) -> Column:
+        whole = number(state["whole"] * F.lit(Decimal(2)) + state["rest"].cast("int").cast("decimal(19,0)"))
+        places = F.array(*[F.lit(_place(i) / 2) for i in range(LIMBS + 2)])
+        return whole.cast("double") * F.get(places, state["place"])
+
+    return F.aggregate(digits, start, step, finish)
 
 
 def exact_sum(value: Column) -> Column:

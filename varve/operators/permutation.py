@@ -72,7 +72,7 @@ class Permutation:
 
     def outside(self, spark: SparkSession) -> DataFrame:
         """(beyond, within): where a number from ``n`` on ends when it is permuted until it is a position."""
-        high, low = self.digits
+        high, low = self.digits if self.n else (0, 0)
         beyond = spark.range(self.n, high * low).select(F.col("id").alias("beyond"))
         ways = written(beyond.withColumn("within", self.once(F.col("beyond"))), "ways")
         while ways.where(F.col("within") >= self.n).limit(1).count():
