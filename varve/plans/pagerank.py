@@ -180,7 +180,7 @@ def compact_pagerank(
     degree = numbered.groupBy("src").agg(F.sum("copies").alias("out_degree"))
     lists = gap_lists(numbered, per_row).join(degree, "src").join(F.broadcast(hubs.select("src", "slots")), "src", "left")
     slot = F.pmod("part", F.coalesce("slots", F.lit(1))).cast("int")
-    lists = written_bucketed(lists.drop("slots").withColumn("slot", slot), "lists", parts, "src", "slot")
+    lists = written_bucketed(lists.withColumn("slot", slot).drop("slots"), "lists", parts, "src", "slot")
 
     share = F.lit(1.0) / F.col("out_degree")
     amounts = spread_lists(lists.withColumn("share", share))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -61,6 +62,16 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that nothing refers to any more.
+
+    It does so when the driver collects its garbage, which a driver with little to do may put off while executors' disks fill. Call it
+    after a large table was written and before the next large shuffle.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written_bucketed(df: DataFrame, label: str, buckets: int, *keys: str, path: str | None = None) -> DataFrame:
     """Like :func:`written`, bucketed on ``keys`` so that joins on them need no exchange.
 
