@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.llm.columns import BASE, mixed, powers, steps
-from varve.session import written
+from varve.session import release, written
 
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -130,6 +130,7 @@ def shared_contexts(found: DataFrame, label: str) -> DataFrame:
         .select("short")
     )
     kept = written(found.withColumn("short", short).join(often, "short").drop("short"), label)
+    release(kept.sparkSession)  # of the shuffles before, nothing is read again
     sources = kept.groupBy("anchor", "context").agg(F.min("doc").alias("source"))
     several = (
         sources.groupBy("anchor").agg(F.min("context").alias("low"), F.max("context").alias("high")).where("low < high")

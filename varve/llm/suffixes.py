@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from varve.llm import columns
 from varve.llm.anchors import contexts, covered, shared_contexts, spans_by_doc
 from varve.llm.columns import bytes_of, texts_of
-from varve.session import shuffle_partitions, written
+from varve.session import release, shuffle_partitions, written
 
 WINDOW_BYTES = 100
 ANCHOR_BYTES = 20
@@ -187,6 +187,7 @@ def repeat_spans(keyed: DataFrame, texts: DataFrame, window: int, k: int, group_
         "pieces",
         "crowded",
     )
+    release(keyed.sparkSession)  # texts were placed to cut these out, and are placed again for the result
     refined = (
         pieces.where("NOT crowded")
         .repartition(shuffle_partitions(keyed.sparkSession), "anchor")
