@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from varve.functions import classify, images
 from varve.operators import evaluation, gradients, sharding
 from varve.plans.training import progress_lines, train_softmax
+from varve.plans.wide_training import train_softmax_wide
 
 CLASSES, WIDTH = 3, 4
 
@@ -221,3 +222,21 @@ def test_permuted_epochs_train_on_every_row(spark, examples, monkeypatch):
     assert all(set(o) == set(range(53)) and len(o) == 54 for o in orders)
     sorted_run = train_softmax(examples, CLASSES, WIDTH, shards=2, global_batch=20, epochs=2)
     assert np.abs(run.model.weight - sorted_run.model.weight).max() < 0.5
+
+
+@pytest.mark.parametrize("width", [1, 3, 4, None])
+def test_wide_models_equal_shipped_ones(spark, examples, width):
+    how = {"shards": 3, "global_batch": 30, "epochs": 1}
+    model = train_softmax(examples, CLASSES, WIDTH, **how)
+    want = {(r["param"], r["pos"]): (r["value"], r["velocity"]) for r in model.params.collect()}
+    rows = train_softmax_wide(examples, CLASSES, WIDTH, block_features=width, **how).collect()
+    assert len(rows) == CLASSES * WIDTH + CLASSES
+    for r in rows:
+        assert (r["value"], r["velocity"]) == pytest.approx(want[r["param"], r["pos"]], abs=1e-12)
+
+
+def test_wide_models_have_no_bound(spark, examples, monkeypatch):
+    monkeypatch.setattr(gradients, "MODEL_VALUES_MAX", 5)
+    with pytest.raises(ValueError):
+        train_softmax(examples, CLASSES, WIDTH)
+    assert train_softmax_wide(examples, CLASSES, WIDTH, block_features=2, global_batch=60).count() == 15

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from varve.functions import images
 from varve.operators import evaluation, gradients, sharding
-from varve.plans import training
+from varve.plans import training, wide_training
 from varve.workloads import inputs as I
 
 SHARDS = 4
@@ -164,6 +164,13 @@ def train_softmax(spark, sf_dir):
     )
 
 
+def train_softmax_wide(spark, sf_dir):
+    """The same model in blocks of 24 of the 64 features."""
+    train = I.train_examples(spark, sf_dir)
+    params = wide_training.train_softmax_wide(train, I.CLASSES, I.FEATURES, shards=SHARDS, block_features=24)
+    return params.select("param", "pos", F.round("value", 6).alias("value"), F.round("velocity", 6).alias("velocity"))
+
+
 def train_softmax_exact(spark, sf_dir):
     """Parameters that two partitionings and both ways of averaging give, which are the same bit for bit."""
     train = I.train_examples(spark, sf_dir)
@@ -258,6 +265,7 @@ QUERIES = {
         train_softmax_gather,
         train_softmax,
         train_softmax_exact,
+        train_softmax_wide,
         training_progress,
         training_report,
         train_and_test,
@@ -505,6 +513,7 @@ SELECT param, pos, round(CASE WHEN moves THEN value - 0.1::DOUBLE * velocity ELS
   round(velocity, 6) + 0.0 AS velocity FROM moved""",
     "train_softmax_gather": _PARAMS,
     "train_softmax": _PARAMS,
+    "train_softmax_wide": _PARAMS,
     "train_softmax_exact": f"SELECT *, true AS same FROM ({_PARAMS})",
     "training_progress": _PROGRESS,
     "training_report": f"""SELECT printf('Train Epoch: %d [%d/%d (%.0f%%)]' || chr(9) || 'Loss: %.6f',

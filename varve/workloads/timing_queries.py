@@ -138,11 +138,11 @@ SELECT run, 0 AS number, printf('iteration times total: %f max: %f  min: %f aver
   total, longest, shortest, CASE WHEN n > 1 THEN mean ELSE 0 END) AS line FROM took
 UNION ALL SELECT run, 1, printf('iteration average time: %f', CASE WHEN n > 1 THEN mean ELSE 0 END) FROM took""",
     "interval_table": f"""WITH {I.TAGGED_SQL},
-pivot AS (SELECT run, iteration, max(took) / 1e6::DOUBLE AS seconds, {_SPENT} FROM tagged
+spent AS (SELECT run, iteration, max(took) / 1e6::DOUBLE AS seconds, {_SPENT} FROM tagged
   WHERE iteration >= 1 GROUP BY run, iteration HAVING max(took) IS NOT NULL)
 SELECT DISTINCT run, CAST(0 AS BIGINT) AS number,
-  'iteration|iteration time|forward time|backward time|optimize time|communication time' AS line FROM pivot
-UNION ALL SELECT run, iteration, printf('%d|%f|%f|%f|%f|%f', iteration, seconds, forward, backward, optimize, communication) FROM pivot""",
+  'iteration|iteration time|forward time|backward time|optimize time|communication time' AS line FROM spent
+UNION ALL SELECT run, iteration, printf('%d|%f|%f|%f|%f|%f', iteration, seconds, forward, backward, optimize, communication) FROM spent""",
     "epoch_duration": f"""WITH {I.PHASE_LOG_SQL},
 epochs AS (SELECT run, CAST(ts AS DATE) - DATE '2024-01-01' AS epoch, min(us) AS opened, max(us) AS closed FROM log GROUP BY ALL),
 runs AS (SELECT run, min(opened) AS begin_at, max(closed) AS finish FROM epochs GROUP BY run)
