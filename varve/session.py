@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import re
 import tempfile
 import uuid
@@ -44,6 +43,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Whether Spark deletes a query's shuffle files as soon as the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 @contextmanager
 def shuffle_width(spark: SparkSession, width: int):
     """Shuffles planned inside have ``width`` partitions; frames must be written inside to be so planned."""
@@ -55,21 +71,24 @@ def shuffle_width(spark: SparkSession, width: int):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` once and read it back: cuts lineage and survives lost executors."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.partitionBy(*([partition_by] if partition_by else [])).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
+def written(df: DataFrame, label: str, partition_by: str | None = None, path: str | None = None) -> DataFrame:
+    """Write ``df`` once and read it back: cuts lineage and survives lost executors.
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of jobs that nothing refers to any more.
-
-    It does so when the driver collects its garbage, which a driver with little to do may put off while executors' disks fill. Call it
-    after a large table was written and before the next large shuffle.
+    The shuffle files of the write go when it ends, as its own plan is never run again.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    spark = df.sparkSession
+    path = path or fresh_path(spark, label)
+    with _setting(spark, _CLEANUP, "true"):
+        df.write.partitionBy(*([partition_by] if partition_by else [])).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete the scratch table at ``path``, which is of :func:`fresh_path`, once nothing reads it any more."""
+    if not path.startswith(f"{scratch_dir(spark)}/"):
+        raise ValueError(f"not a scratch table: {path}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written_bucketed(df: DataFrame, label: str, buckets: int, *keys: str, path: str | None = None) -> DataFrame:
