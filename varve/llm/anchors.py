@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varve.llm.columns import BASE, mixed, powers, steps
-from varve.session import release, written
+from varve.session import dropped, fresh_path, written
 
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -116,7 +116,7 @@ def contexts(docs: DataFrame, symbols_of, k: int, window: int, step_bytes: int)
 
 
 def shared_contexts(found: DataFrame, label: str) -> DataFrame:
-    """Contexts whose anchor occurs more than once, with ``source`` (the context's first document) and
+    """Contexts that hold a repeat or may hold a part of one, with ``source`` (the context's first document) and
     ``alone`` (whether no other context has its anchor). Written once."""
     # 32 bits of the anchor are enough to count: a chance collision only keeps some rows too many
     short = F.shiftright("anchor", 32).cast("int")
@@ -129,15 +129,19 @@ def shared_contexts(found: DataFrame, label: str) -> DataFrame:
         .where("times > 1")
         .select("short")
     )
-    kept = written(found.withColumn("short", short).join(often, "short").drop("short"), label)
-    release(kept.sparkSession)  # of the shuffles before, nothing is read again
+    spark = found.sparkSession
+    place = fresh_path(spark, label)
+    kept = written(found.withColumn("short", short).join(often, "short").drop("short"), label, path=place)
     sources = kept.groupBy("anchor", "context").agg(F.min("doc").alias("source"))
     several = (
         sources.groupBy("anchor").agg(F.min("context").alias("low"), F.max("context").alias("high")).where("low < high")
     )
     judged = sources.join(several.select("anchor", F.lit(False).alias("alone")), "anchor", "left")
     judged = judged.select("anchor", "context", "source", F.coalesce("alone", F.lit(True)).alias("alone"))
-    return kept.join(judged, ["anchor", "context"])
+    useful = kept.join(judged, ["anchor", "context"]).where("doc > source OR NOT alone OR more IS NOT NULL")
+    out = written(useful.drop("context"), "judged")
+    dropped(spark, place)
+    return out
 
 
 def spans_by_doc(spans: DataFrame) -> DataFrame:

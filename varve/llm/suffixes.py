@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from varve.llm import columns
 from varve.llm.anchors import contexts, covered, shared_contexts, spans_by_doc
 from varve.llm.columns import bytes_of, texts_of
-from varve.session import release, shuffle_partitions, written
+from varve.session import shuffle_partitions, written
 
 WINDOW_BYTES = 100
 ANCHOR_BYTES = 20
@@ -187,7 +187,6 @@ def repeat_spans(keyed: DataFrame, texts: DataFrame, window: int, k: int, group_
         "pieces",
         "crowded",
     )
-    release(keyed.sparkSession)  # texts were placed to cut these out, and are placed again for the result
     refined = (
         pieces.where("NOT crowded")
         .repartition(shuffle_partitions(keyed.sparkSession), "anchor")
@@ -222,7 +221,7 @@ def without_repeats(
     keyed = docs.select(
         F.coalesce(F.col(id_column).cast("bigint"), F.lit(LEAST)).alias("doc"), *[c for c in docs.columns if c not in own]
     )
-    # placed by document once; cutting contexts out and the result both read this one exchange
+    # placed by document, for cutting contexts out and again for the result
     texts = keyed.repartition(shuffle_partitions(docs.sparkSession), "doc")
     spans = spans_by_doc(repeat_spans(keyed, texts, window, k, group_contexts))
     marked = texts.join(spans, "doc", "left").drop("doc")
