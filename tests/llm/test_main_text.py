@@ -29,7 +29,7 @@ def test_query_against_pages_cut_by_hand(spark):
 
 
 def text_of(page):
-    return "\n\n".join(t for t, _ in M.PageBlocks(page).blocks())
+    return "\n\n".join(M.PageBlocks(page).blocks())
 
 
 def test_furniture_and_broken_markup():
@@ -95,3 +95,24 @@ def test_reprints_stay_whole(spark):
     assert {k: r["text"] for k, r in got.items()} == {
         i: f"T\n\nA story that is printed again\n\nown list\n\nad {i}" for i in range(5)
     }
+
+
+def test_furniture_word_in_a_longer_name_is_no_furniture(spark):
+    page = (
+        "<body><article><h1>Title</h1><section class='social-history'><p>It began early.</p></section>"
+        "<p id='notice-of-death'>They died in May.</p><div class='share-buttons'>Share</div>"
+        "<div class='comment-list'>First!</div></article></body>"
+    )
+    rows = spark.createDataFrame([(1, "https://one.test/a", page)], SCHEMA)
+    assert M.extract_main_text(rows).first()["text"] == "Title\n\nIt began early.\n\nThey died in May."
+
+
+def test_deep_page_takes_linear_work():
+    depth = 20_000
+    page = "<body><article><h1>Title</h1>" + "".join(f"<div>line {i}" for i in range(depth)) + "</div>" * depth + "</article></body>"
+    parsed = M.PageBlocks(page)
+    assert len(parsed.blocks()) == depth + 1
+    # three numbers a subtree, however deep it stands
+    assert len(parsed.ranges()) == depth
+    assert parsed.ranges()[0][1:] == (1, depth + 1) and parsed.ranges()[-1][1:] == (depth, depth + 1)
+    assert len(parsed.subtrees()) < depth

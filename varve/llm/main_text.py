@@ -20,6 +20,8 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,6 +54,12 @@ FURNITURE = set(
     "notices popup modal sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead comment comments "
     "disqus reply replies share sharing social related newsletter subscribe toolbar contentinfo complementary".split()
 )
+#: Words that stand beside those in the names of furniture.
+COMPANIONS = set(
+    "area bar block body box btn button buttons container content entry form group header heading icon icons inner "
+    "item items label left link links list main media meta module outer page post posts panel right section signup site "
+    "text thread title top bottom widget wrap wrapper stories articles tools".split()
+)
 #: What a start tag ends when it is open and innermost of its kind, up to an element of the last set.
 ENDS_SAME = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -78,10 +86,31 @@ def _digest(parts: list[str]) -> str:
 
 
 class _Element:
-    __slots__ = ("tag", "dropped", "place", "inner", "number")
+    __slots__ = ("tag", "dropped", "place", "inner", "number", "near", "heading")
 
-    def __init__(self, tag, dropped, place, inner, number):
+    def __init__(self, tag, dropped, place, inner, number, above=None):
         self.tag, self.dropped, self.place, self.inner, self.number = tag, dropped, place, inner, number
+        # the innermost candidate here, and whether this is in a heading
+        self.near = number if number is not None or above is None else above.near
+        self.heading = tag in HEADINGS or above is not None and above.heading
+
+
+class _Firsts:
+    """The first of an order of blocks that lies outside given ranges of them."""
+
+    def __init__(self, order: list[int], count: int):
+        self.order = order
+        self.rank = [len(order)] * count
+        for place, block in enumerate(order):
+            self.rank[block] = place
+        self.before = [len(order), *accumulate(self.rank, min)]
+        self.after = [*accumulate(reversed(self.rank), min)][::-1] + [len(order)]
+
+    def outside(self, ranges: list[tuple[int, int]]) -> int | None:
+        """``ranges`` are in page order and apart from each other."""
+        between = (min(self.rank[end:first], default=len(self.order)) for (_, end), (first, _) in pairwise(ranges))
+        place = min(self.before[ranges[0][0]], self.after[ranges[-1][1]], *between)
+        return self.order[place] if place < len(self.order) else None
 
 
 class PageBlocks:
@@ -89,17 +118,36 @@ class PageBlocks:
 
     def __init__(self, page: str):
         self.stack = [_Element("", False, "body", [], None)]
+        self.open: Counter[str] = Counter()
         self.hashes: list[str | None] = []
-        self.found: list[tuple[str, str, tuple[int, ...], bool]] = []
+        self.parents: list[int | None] = []
+        self.found: list[tuple[str, str, int | None, bool]] = []
         self.text: list[str] = []
         self._read(page)
         self._flush()
         while len(self.stack) > 1:
             self._pop()
 
-    def blocks(self) -> list[tuple[str, list[str]]]:
-        """(text, hashes of the candidates around it) of the best part that the page has."""
-        return [(text, [self.hashes[i] for i in path]) for text, _, path, _ in self._best()]
+    def blocks(self) -> list[str]:
+        """Texts of the best part that the page has."""
+        return [text for text, _, _, _ in self._best()]
+
+    def ranges(self) -> list[tuple[str, int, int]]:
+        """(hash, first, end) of each candidate that holds the blocks from ``first`` to before ``end``.
+
+        A subtree's blocks are neighbours, so two numbers tell them, however deep the page is.
+        """
+        count = len(self.hashes)
+        first, end = [len(self.found)] * count, [0] * count
+        for i, (_, _, near, _) in enumerate(self._best()):
+            if near is not None:
+                first[near], end[near] = min(first[near], i), i + 1
+        # an element opens after those around it, so its number is greater
+        for number in range(count - 1, -1, -1):
+            above = self.parents[number]
+            if above is not None:
+                first[above], end[above] = min(first[above], first[number]), max(end[above], end[number])
+        return [(self.hashes[n], first[n], end[n]) for n in range(count) if end[n]]
 
     def subtrees(self) -> dict[str, str | None]:
         """Hash of each candidate to what tells its page from others: None is the page itself.
@@ -110,25 +158,27 @@ class PageBlocks:
         best = self._best()
         if not best or best[0][1] == "body":
             return votes
-        blocks = [(text, {self.hashes[i] for i in path}, heading) for text, _, path, heading in best]
-        total = sum(len(text) for text, _, _ in blocks)
-        held: dict[str, int] = {}
-        for text, within, _ in blocks:
-            for subtree in within:
-                held[subtree] = held.get(subtree, 0) + len(text)
-        most = {subtree for subtree, size in held.items() if 2 * size > total}
+        sums = [0, *accumulate(len(text) for text, _, _, _ in best)]
+        held: dict[str, list[tuple[int, int]]] = {}
+        for subtree, first, end in self.ranges():
+            held.setdefault(subtree, []).append((first, end))
+        most = {h for h, ranges in held.items() if 2 * sum(sums[end] - sums[first] for first, end in ranges) > sums[-1]}
+        own: list[bool] = []
+        for number, above in enumerate(self.parents):
+            own.append(self.hashes[number] in most and (above is None or own[above]))
         # the article's own blocks, which nothing smaller encloses, come before all others
-        by_length = sorted(blocks, key=lambda block: (not block[1] <= most, -len(block[0])))
-        headings = [block for block in blocks if block[2]]
-        for subtree in held:
+        by_length = sorted(range(len(best)), key=lambda i: (not (best[i][2] is None or own[best[i][2]]), -len(best[i][0])))
+        headings = [i for i in range(len(best)) if best[i][3]]
+        orders = [_Firsts(order, len(best)) for order in (headings, by_length)]
+        for subtree, ranges in held.items():
             if subtree in most:
                 del votes[subtree]
                 continue
-            beside = (next((text for text, within, _ in order if subtree not in within), "") for order in (headings, by_length))
-            votes[subtree] = _digest(list(beside))
+            beside = [order.outside(ranges) for order in orders]
+            votes[subtree] = _digest(["" if i is None else best[i][0] for i in beside])
         return votes
 
-    def _best(self) -> list[tuple[str, str, tuple[int, ...], bool]]:
+    def _best(self) -> list[tuple[str, str, int | None, bool]]:
         for place in ("article", "main", "body"):
             kept = [block for block in self.found if block[1] == place]
             if kept:
@@ -174,9 +224,7 @@ class PageBlocks:
             self.text = []
             if words:
                 element = self.stack[-1]
-                path = tuple(e.number for e in self.stack if e.number is not None)
-                heading = any(e.tag in HEADINGS for e in self.stack)
-                self.found.append((" ".join(words), element.place, path, heading))
+                self.found.append((" ".join(words), element.place, element.near, element.heading))
 
     def _open(self, name: str, given: str) -> None:
         if name in BLOCKS:
@@ -195,6 +243,10 @@ class PageBlocks:
         above = self.stack[-1]
         named = {k.lower(): v.strip("\"'").lower() for k, v in _NAMED.findall(given)} if given else {}
         words = set(_WORD.findall(" ".join(named.values())))
+        if above.place != "body":
+            # one word of a longer name may be the article's subject: there the whole name must say furniture
+            names = (set(_WORD.findall(n)) for n in " ".join(named.values()).split())
+            words = set().union(*(n for n in names if n <= FURNITURE | COMPANIONS))
         dropped = above.dropped or name in DROPPED
         if name == "header":
             dropped = dropped or above.place == "body"
@@ -210,10 +262,14 @@ class PageBlocks:
         if name in CANDIDATES if place == "body" else name in CANDIDATES_INSIDE and above.place != "body":
             number = len(self.hashes)
             self.hashes.append(None)
+            self.parents.append(above.near)
         head = " ".join([name, *(f"{k}={v}" for k, v in sorted(named.items()))])
-        self.stack.append(_Element(name, dropped, place, [head], number))
+        self.stack.append(_Element(name, dropped, place, [head], number, above))
+        self.open[name] += 1
 
     def _end_open(self, tags: set[str], until: set[str]) -> None:
+        if not any(self.open[tag] for tag in tags):
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.stack[depth].tag in tags:
                 self._flush()
@@ -226,6 +282,8 @@ class PageBlocks:
     def _close(self, name: str) -> None:
         if name in BLOCKS:
             self._flush()
+        if not self.open[name]:
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.stack[depth].tag == name:
                 while len(self.stack) > depth:
@@ -238,6 +296,7 @@ class PageBlocks:
         if self.stack[-1].tag in BLOCKS:
             self._flush()
         element = self.stack.pop()
+        self.open[element.tag] -= 1
         # whatever the element is: what holds an article recurs only if the article does
         hashed = _digest(element.inner)
         self.stack[-1].inner.append(hashed)
@@ -252,35 +311,46 @@ def host() -> F.Column:
 
 _PARSED = T.StructType(
     [
-        T.StructField("blocks", T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("within", T.ArrayType(T.StringType()))]))),
+        T.StructField("blocks", T.ArrayType(T.StringType())),
+        T.StructField(
+            "ranges",
+            T.ArrayType(
+                T.StructType(
+                    [T.StructField("subtree", T.StringType()), T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType())]
+                )
+            ),
+        ),
         T.StructField("subtrees", T.ArrayType(T.StructType([T.StructField("subtree", T.StringType()), T.StructField("vote", T.StringType())]))),
     ]
 )
 
 
 def _parse(batches):
-    kinds = [pa.list_(pa.struct([("text", pa.string()), ("within", pa.list_(pa.string()))]))]
-    kinds.append(pa.list_(pa.struct([("subtree", pa.string()), ("vote", pa.string())])))
+    kinds = {
+        "blocks": pa.list_(pa.string()),
+        "ranges": pa.list_(pa.struct([("subtree", pa.string()), ("first", pa.int32()), ("end", pa.int32())])),
+        "subtrees": pa.list_(pa.struct([("subtree", pa.string()), ("vote", pa.string())])),
+    }
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
             part = batch.slice(start, 512)
             at = part.schema.get_field_index("html")
-            blocks, subtrees = [], []
+            found = {name: [] for name in kinds}
             for page in as_strings(part.column(at)).to_pylist():
                 parsed = PageBlocks(page)
-                blocks.append([{"text": t, "within": w} for t, w in parsed.blocks()])
-                subtrees.append([{"subtree": s, "vote": v} for s, v in parsed.subtrees().items()])
+                found["blocks"].append(parsed.blocks())
+                found["ranges"].append([{"subtree": s, "first": a, "end": b} for s, a, b in parsed.ranges()])
+                found["subtrees"].append([{"subtree": s, "vote": v} for s, v in parsed.subtrees().items()])
             columns = [c for i, c in enumerate(part.columns) if i != at]
             names = [n for i, n in enumerate(part.schema.names) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(blocks, kinds[0]), pa.array(subtrees, kinds[1])], [*names, "blocks", "subtrees"]
-            )
+            lists = [pa.array(found[name], kind) for name, kind in kinds.items()]
+            yield pa.RecordBatch.from_arrays([*columns, *lists], [*names, *kinds])
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """``pages`` without ``html``, with ``site``, ``page_hash``, ``blocks`` and ``subtrees``."""
+    """``pages`` without ``html``, with ``site``, ``page_hash``, ``blocks``, ``ranges`` and ``subtrees``."""
     keyed = pages.select(
-        *[c for c in pages.columns if c not in ("text", "n_chars", "site", "page_hash", "blocks", "subtrees")],
+        *[c for c in pages.columns if c not in ("text", "n_chars", "site", "page_hash", "blocks", "ranges", "subtrees")],
         host().alias("site"),
         F.xxhash64("html", F.lit(1)).alias("page_hash"),
     )
@@ -306,23 +376,23 @@ def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame
     parsed = written(parsed_pages(pages), "pages")
     templates = site_templates(parsed, min_pages)
     # a block with no candidate around it can't be template, so texts without such need not meet the list
-    open_ = F.exists("blocks", lambda b: F.size(b["within"]) > 0)
-    around = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["within"])))
+    open_ = F.size("ranges") > 0
     deleted = (
         parsed.where(open_)
-        .select("site", "page_hash", F.explode(around).alias("subtree"))
+        .select("site", "page_hash", F.explode("ranges").alias("held"))
+        .select("site", "page_hash", "held.subtree", "held.first", "held.end")
         .distinct()
         .join(templates, ["site", "subtree"])
         .groupBy("site", "page_hash")
-        .agg(F.collect_set("subtree").alias("deleted"))
+        .agg(F.collect_set(F.struct("first", "end")).alias("deleted"))
     )
     kept = F.filter(
         "blocks",
-        lambda b: ~F.coalesce(F.arrays_overlap(b["within"], F.col("deleted")), F.lit(False)),
+        lambda _, i: ~F.coalesce(F.exists("deleted", lambda r: (r["first"] <= i) & (i < r["end"])), F.lit(False)),
     )
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
+    text = F.array_join(kept, "\n\n")
     joined = parsed.where(open_).join(deleted, ["site", "page_hash"], "left").select(*parsed.columns, "deleted")
-    sure = parsed.where(~open_).withColumn("deleted", F.array().cast("array<string>"))
+    sure = parsed.where(~open_).withColumn("deleted", F.array().cast("array<struct<first:int,end:int>>"))
     joined = sure.unionByName(joined).withColumn("text", text)
-    names = [c for c in pages.columns if c not in ("html", "text", "n_chars", "site", "page_hash", "blocks", "subtrees")]
+    names = [c for c in pages.columns if c not in ("html", "text", "n_chars", "site", "page_hash", "blocks", "ranges", "subtrees")]
     return joined.select(*names, "text", F.length("text").cast("bigint").alias("n_chars"))
