@@ -240,3 +240,11 @@ def test_wide_models_have_no_bound(spark, examples, monkeypatch):
     with pytest.raises(ValueError):
         train_softmax(examples, CLASSES, WIDTH)
     assert train_softmax_wide(examples, CLASSES, WIDTH, block_features=2, global_batch=60).count() == 15
+
+
+def test_exact_sums_are_built_once_for_all_steps(spark, examples, monkeypatch):
+    from varve.functions import exact
+
+    train_softmax(examples, CLASSES, WIDTH, shards=2, global_batch=40, exact=True)
+    monkeypatch.setattr(exact, "from_limbs", lambda sums: pytest.fail("built again"))
+    train_softmax(examples, CLASSES, WIDTH, shards=2, global_batch=40, exact=True)

@@ -10,9 +10,12 @@ Bits below ``2**LOW_BIT`` are cut off each value, so sums of values above ``2**(
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
+from functools import lru_cache
 
 import numpy as np
+from pyspark import SparkContext
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
@@ -22,6 +25,17 @@ LIMBS = 7
 _MASK = (1 << LIMB_BITS) - 1
 
 
+def built_once(build: Callable[..., Column], *names: str) -> Column:
+    """``build(*names)``, kept for the next call: an exact sum is hundreds of calls into the JVM, and a loop needs the same one in each step."""
+    context = SparkContext._active_spark_context
+    return _built(context and context._jvm, build, names)
+
+
+@lru_cache(maxsize=64)
+def _built(jvm, build: Callable[..., Column], names: tuple[str, ...]) -> Column:
+    return build(*names)
+
+
 def _place(i: int) -> float:
     return 2.0 ** (LOW_BIT + LIMB_BITS * i)
 
@@ -121,3 +135,12 @@ def exact_sum_over(value: Column, window: WindowSpec) -> Column:
 
 def exact_mean(value: Column) -> Column:
     return exact_sum(value) / F.count(value)
+
+
+def exact_sum_named(name: str) -> Column:
+    return exact_sum(F.col(name))
+
+
+def limbs_total(*names: str) -> Column:
+    """The double nearest to the sum of rows whose limbs are columns."""
+    return from_limbs([F.sum(name) for name in names])

@@ -12,11 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varve.functions.exact import LIMBS, exact_sum, exact_sum_over, from_limbs, limb_arrays
+from varve.functions.exact import LIMBS, built_once, exact_sum_named, exact_sum_over, limb_arrays, limbs_total
 
 # Fixed values of the optimizer.
 LEARNING_RATE = 0.1
@@ -182,28 +182,30 @@ def _exact_gradients(examples: DataFrame, model: LinearModel) -> DataFrame:
     )
     # by parameter only, as in the plain sums
     totals = sums.repartition("param", "pos").groupBy("shard", "param", "pos").agg(
-        from_limbs([F.sum(name) for name in names]).alias("total")
+        built_once(limbs_total, *names).alias("total")
     )
     rows = totals.where(F.col("param") == "rows").select("shard", F.col("total").alias("_rows"))  # one row per shard
     value = F.when(F.col("param") == "rows", F.col("total")).otherwise(F.col("total") / F.col("_rows"))
     return totals.join(F.broadcast(rows), "shard").select("shard", "param", "pos", value.alias("value"))
 
 
+def _exact_mean_over(name: str, *keys: str) -> Column:
+    group = Window.partitionBy(*keys)
+    return exact_sum_over(F.col(name), group) / F.count(name).over(group)
+
+
 def gradient_mean_gather(gradients: DataFrame, exact: bool = False) -> DataFrame:
     """Gather, average, and hand the mean back to every shard.
 
     A window's group is one parameter's value per shard.
     """
-    group = Window.partitionBy("param", "pos")
-    mean = F.avg("value").over(group)
-    if exact:
-        mean = exact_sum_over(F.col("value"), group) / F.count("value").over(group)
+    mean = built_once(_exact_mean_over, "value", "param", "pos") if exact else F.avg("value").over(Window.partitionBy("param", "pos"))
     return gradients.select("shard", "param", "pos", mean.alias("value"))
 
 
 def gradient_mean_allreduce(gradients: DataFrame, shards: int, exact: bool = False) -> DataFrame:
     """All-reduce: element-wise sum over the shards, divided by their number."""
-    total = exact_sum(F.col("value")) if exact else F.sum("value")
+    total = built_once(exact_sum_named, "value") if exact else F.sum("value")
     return gradients.groupBy("param", "pos").agg((total / shards).alias("value"))
 
 
