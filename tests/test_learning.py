@@ -242,6 +242,30 @@ def test_wide_models_have_no_bound(spark, examples, monkeypatch):
     assert train_softmax_wide(examples, CLASSES, WIDTH, block_features=2, global_batch=60).count() == 15
 
 
+def test_steps_are_as_wide_as_the_model_needs(spark, examples, monkeypatch):
+    from varve.plans import training, wide_training
+    from varve.session import shuffle_width
+
+    seen = []
+    for module in (training, wide_training):
+        monkeypatch.setattr(module, "shuffle_width", lambda s, n: seen.append(n) or shuffle_width(s, n))
+    train_softmax(examples, CLASSES, WIDTH, shards=2, global_batch=40)
+    train_softmax_wide(examples, CLASSES, WIDTH, block_features=3, shards=2, global_batch=40)
+    assert seen == [1, 1, 1, 1]
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert training.step_width(spark, 10**12) == width > training.step_width(spark, 2 * training.STEP_VALUES) == 2
+
+
+def test_a_step_opens_the_files_of_few_rows(spark, monkeypatch):
+    from varve.plans import training
+
+    written, made = training.written, []
+    monkeypatch.setattr(training, "written", lambda *a: made.append(written(*a)) or made[-1])
+    rows = spark.range(12_000).select("id", F.array(F.col("id") % 2 * 1.0).alias("features"), (F.col("id") % 2).cast("int").alias("label"))
+    train_softmax(rows, 2, 1, shards=2, global_batch=3_000)
+    assert made[0].groupBy("slab").count().agg(F.max("count")).first()[0] <= 6_000
+
+
 def test_exact_sums_are_built_once_for_all_steps(spark, examples, monkeypatch):
     from varve.functions import exact
 

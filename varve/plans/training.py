@@ -8,7 +8,7 @@ from typing import Literal
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varve.operators import gradients as G
@@ -20,15 +20,18 @@ from varve.operators.sharding import (
     batch_size,
     numbered,
 )
-from varve.session import written
+from varve.session import shuffle_partitions, shuffle_width, written
 
 # Fixed values of the progress log: one line every 20 batches, and its layout.
 REPORT_EVERY = 20
 PROGRESS_LINE = "Train Epoch: %d [%d/%d (%.0f%%)]\tLoss: %.6f"
 
-#: Rows that a folder of neighbouring batches holds, about; a step reads one folder.
-FOLDER_ROWS = 100_000
+#: Rows that a folder of neighbouring batches holds, about; a step opens all files of one folder.
+FOLDER_ROWS = 5_000
+#: Numbers that a step's shuffles hold a partition, about.
+STEP_VALUES = 100_000
 
+STATE_SCHEMA = "param string, pos int, value double, velocity double"
 PROGRESS_SCHEMA = (
     "epoch int, batch bigint, rows_seen bigint, total bigint, percent double, loss double"
 )
@@ -41,6 +44,11 @@ class Training:
     progress: DataFrame
 
 
+def step_width(spark: SparkSession, values: int) -> int:
+    """Shuffle partitions for a step that moves ``values`` numbers, up to the session's width. They are as many in every step, however large the table."""
+    return max(1, min(shuffle_partitions(spark), -(-values // STEP_VALUES)))
+
+
 def train_softmax(
     examples: DataFrame,
     classes: int,
@@ -63,7 +71,7 @@ def train_softmax(
 
     The epoch's rows are written once in batch order, in folders of neighbouring
     batches, so a step opens the files of one folder and skips other batches by
-    their row-group statistics. Steps follow each other by nature;
+    their row-group statistics. A step shuffles parameters only, in as many partitions as these need. Steps follow each other by nature;
     ``global_batch`` sets how much work one step spreads over the cluster. Only
     the model, whose size is fixed, comes back to the driver between steps.
     ``transform`` maps the examples and the epoch's number to what that epoch trains on.
@@ -74,10 +82,10 @@ def train_softmax(
     spark = examples.sparkSession
     model = G.LinearModel.zeros(classes, features)
     state = model.to_rows().append_column("velocity", pa.array([0.0] * (model.weight.size + classes)))
-    schema = "param string, pos int, value double, velocity double"
     total = examples.count()
     steps = -(-(-(-total // shards)) // batch_size(shards, global_batch))
     per_folder = max(1, FOLDER_ROWS // (batch_size(shards, global_batch) * shards))
+    width = step_width(spark, shards * (model.weight.size + classes))
     progress = []
 
     if reshuffle == "permute":
@@ -99,9 +107,9 @@ def train_softmax(
                 mean = handed.groupBy("param", "pos").agg(F.min_by("value", "shard").alias("value"))
             else:
                 mean = G.gradient_mean_allreduce(local, shards, exact)
-            stepped = G.sgd_update(
-                spark.createDataFrame(state, schema), mean, lr, momentum, weight_decay
-            ).toArrow()  # model size
+            updated = G.sgd_update(spark.createDataFrame(state, STATE_SCHEMA), mean, lr, momentum, weight_decay)
+            with shuffle_width(spark, width):
+                stepped = updated.toArrow()  # model size
             is_model = pc.is_valid(stepped["value"])
             state = stepped.filter(is_model).drop_columns("gradient")
             model = G.LinearModel.from_rows(state, classes, features)
@@ -113,7 +121,7 @@ def train_softmax(
 
     return Training(
         model,
-        spark.createDataFrame(state, schema),
+        spark.createDataFrame(state, STATE_SCHEMA),
         spark.createDataFrame(progress, PROGRESS_SCHEMA),
     )
 

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from varve.operators import gradients as G
 from varve.operators.sharding import GLOBAL_BATCH, SEED, assign_batches, batch_size
-from varve.plans.training import FOLDER_ROWS
-from varve.session import written
+from varve.plans.training import FOLDER_ROWS, step_width
+from varve.session import shuffle_width, written
 
 #: Weights of a block, about.
 BLOCK_VALUES = 100_000
@@ -44,6 +44,8 @@ def train_softmax_wide(
     width = block_features or max(1, BLOCK_VALUES // classes)
     steps = -(-(-(-examples.count() // shards)) // batch_size(shards, global_batch))
     per_folder = max(1, FOLDER_ROWS // (batch_size(shards, global_batch) * shards))
+    # a batch's features and errors, and three arrays of the model's size
+    moved = step_width(spark, global_batch * (features + classes) + 3 * (features + 1) * classes)
     sizes = spark.range(0, -(-features // width)).select(
         F.col("id").cast("int").alias("block"), F.least(F.lit(width), features - F.col("id") * width).cast("int").alias("n")
     )
@@ -58,7 +60,8 @@ def train_softmax_wide(
         for step in range(steps):
             mine = table.where((F.col("slab") == step // per_folder) & (F.col("batch") == step))
             mean = _block_gradients(mine, _example_errors(mine, model, classes), classes)
-            model = written(_stepped(model, mean, lr, momentum, weight_decay), "model")
+            with shuffle_width(spark, moved):
+                model = written(_stepped(model, mean, lr, momentum, weight_decay), "model")
     return _as_rows(model, classes, features, width)
 
 
