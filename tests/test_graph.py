@@ -260,6 +260,18 @@ def test_width_follows_the_bytes(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
+def test_width_follows_the_number_of_edges(spark, monkeypatch):
+    # few names over and over: a file far smaller than its rows
+    pairs = [("a" * 20, "b"), ("b", "a" * 20), ("b", "c")] * 300
+    edges = written(frame(spark, pairs), "edges")
+    assert planned_width(edges) == 1
+    seen = []
+    monkeypatch.setattr(plans, "shuffle_width", lambda s, n: seen.append(n) or shuffle_width(s, n))
+    monkeypatch.setattr(plans, "EDGES_PER_PART", 100)
+    assert ranks_of(pagerank(edges, rounds=2, parts="data")) == pytest.approx(brute_force(pairs, 2))
+    assert seen == [9]
+
+
 def test_no_slot_holds_a_whole_hub(spark):
     edges = frame(spark, [(0, i) for i in range(4000)] + [(i, 0) for i in range(1, 4001)])
     hub_rows = graph.hubs(edges, 8, at_least=1)

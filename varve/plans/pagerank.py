@@ -31,6 +31,9 @@ ROUNDS = 10
 DAMPING = 0.85
 CONSTANT = 0.15
 
+#: Edges of a partition, at most about, where the data sets the width: files of few names are far smaller than their rows.
+EDGES_PER_PART = 1_000_000
+
 
 def pagerank(
     edges: DataFrame,
@@ -58,7 +61,7 @@ def pagerank(
     :func:`resumable_pagerank` also survives the loss of the session.
 
     ``parts`` is the number of partitions of edges and ranks, the session's shuffle width by default, or as many as the
-    bytes of the written edges ask for with "data". With another
+    bytes and the number of the written edges ask for with "data". With another
     number than the session's the rounds are planned at that width and their result is written.
 
     Sources with more edges than a partition's fair share are dealt to slots by
@@ -77,7 +80,7 @@ def pagerank(
     if not landed and (store != "plan" or parts == "data"):
         edges, landed = written(edges, "edges"), True
     if parts == "data":
-        parts = planned_width(edges)
+        parts = max(planned_width(edges), -(-edges.count() // EDGES_PER_PART))
     how = (rounds, store, cut_every, hub_edges, exact)
     if parts is None or parts == shuffle_partitions(spark):
         return _ranked(edges, shuffle_partitions(spark), *how)
