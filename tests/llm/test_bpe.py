@@ -1,7 +1,9 @@
 import base64
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -74,3 +76,15 @@ def test_ranks_file_is_read_as_given():
     with open(PATH, "rb") as lines:
         token, rank = next(lines).split()
     assert bpe.read_ranks(PATH)[base64.b64decode(token)] == int(rank)
+
+
+def test_ids_are_packed_and_decoded_by_columns():
+    codec = bpe.BpeCodec(bpe.read_ranks(PATH), PATTERN, memory=50)
+    for text in ODD:
+        assert np.frombuffer(codec.packed(text), np.int32).tolist() == codec.encode(text)
+    tokens = bpe.tokens_of(PATH)
+    lists = pa.array([[9], None, *[codec.encode(t) for t in ODD], [], [5, 6]], pa.list_(pa.int32()))
+    for part, want in ((lists, [codec.decode([9]), b"", *[t.encode() for t in ODD], b"", codec.decode([5, 6])]), (lists.slice(1, 4), [b"", *[t.encode() for t in ODD[:3]]]), (lists.slice(0, 0), [])):
+        assert bpe.joined_tokens(part, tokens).to_pylist() == want
+    with pytest.raises(KeyError):
+        bpe.joined_tokens(pa.array([[1, None]], pa.list_(pa.int32())), tokens)

@@ -13,9 +13,11 @@ Defined results: a null or empty text has no tokens and decodes to the empty byt
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -25,7 +27,7 @@ from varve.llm.columns import texts_of
 
 #: Pieces and pairs that a worker remembers before it starts afresh.
 MEMORY = 600_000
-#: Rows whose ids a worker holds as Python numbers at once.
+#: Rows whose ids a worker holds at once.
 ROWS = 64
 
 
@@ -34,6 +36,20 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+class _Pieces(dict):
+    """What is remembered of pieces: their ids as packed 32-bit numbers; a piece not seen yet is encoded first."""
+
+    def __init__(self, pack, memory: int):
+        self.pack, self.memory = pack, memory
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.pack(piece)
+        if len(self) >= self.memory:
+            self.clear()
+        self[piece] = found
+        return found
+
+
 class BpeCodec:
     """Encoder and decoder for one rank table; ``pattern`` splits text into pieces."""
 
@@ -43,7 +59,7 @@ class BpeCodec:
         self.size = {rank: len(token) for token, rank in ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self.memory = memory
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = _Pieces(self._pack, memory)
         self.fits: dict[tuple[int, int], bool] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.automaton = ahocorasick.Automaton()
@@ -124,30 +140,24 @@ class BpeCodec:
                 left = chosen[-1] if chosen else -1
         return chosen
 
-    def ids(self, piece: str) -> tuple[int, ...]:
-        found = self.known.get(piece)
-        if found is None:
-            data = piece.encode()
-            rank = self.ranks.get(data)
-            found = (rank,) if rank is not None else tuple(self.split(data))
-            if len(self.known) >= self.memory:
-                self.known.clear()
-            self.known[piece] = found
-        return found
+    def _pack(self, piece: str) -> bytes:
+        data = piece.encode()
+        rank = self.ranks.get(data)
+        return array("i", self.split(data) if rank is None else (rank,)).tobytes()
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a text as packed 32-bit numbers."""
+        return b"".join(map(self.known.__getitem__, self.pieces(text)))
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        known = self.known
-        for piece in self.pieces(text):
-            out += known.get(piece) or self.ids(piece)
-        return out
+        return array("i", self.packed(text)).tolist()
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
 _codecs: dict[tuple[str, str], BpeCodec] = {}
-_tokens: dict[str, dict[int, bytes]] = {}
+_tokens: dict[str, pa.BinaryArray] = {}
 
 
 def codec(path: str, pattern: str) -> BpeCodec:
@@ -158,13 +168,26 @@ def codec(path: str, pattern: str) -> BpeCodec:
     return _codecs[key]
 
 
-def tokens_of(path: str) -> dict[int, bytes]:
-    """The bytes of each id, which is all that decoding needs."""
+def tokens_of(path: str) -> pa.BinaryArray:
+    """The bytes of each id by its number, null for numbers that are no id; all that decoding needs."""
     if path not in _tokens:
-        _tokens[path] = {rank: token for token, rank in read_ranks(path).items()}
+        tokens = {rank: token for token, rank in read_ranks(path).items()}
+        _tokens[path] = pa.array([tokens.get(rank) for rank in range(max(tokens, default=-1) + 1)], pa.binary())
     return _tokens[path]
 
 
+def joined_tokens(ids: pa.ListArray, tokens: pa.BinaryArray) -> pa.BinaryArray:
+    """For each row the bytes its ids stand for, end to end; a null row has none."""
+    sizes = ids.value_lengths().fill_null(0).to_numpy()
+    found = tokens.take(ids.flatten())
+    if found.null_count:
+        raise KeyError("a number that is no id")
+    _, where, data = found.buffers()
+    ends = np.frombuffer(where, np.int32)[found.offset : found.offset + len(found) + 1] if len(found) else np.zeros(1, np.int32)
+    rows = ends[np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))]  # tokens stand end to end, so rows begin where their first one does
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(rows), data if data is not None else pa.py_buffer(b"")])
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``ids``; a column of such a name is replaced.
 
@@ -178,9 +201,12 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                ids = [bpe.encode(t.decode()) for t in texts_of(part.column("text"))]
+                packed = [bpe.packed(t.decode()) for t in texts_of(part.column("text"))]
+                sizes = np.array([len(p) for p in packed], np.int64) // 4
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
+                    [*part.columns, pa.array(sizes), ids],
                     [*part.schema.names, "n_tokens", "ids"],
                 )
 
@@ -192,13 +218,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     plain = encoded.select(*[c for c in encoded.columns if c != "decoded"])
 
     def run(batches):
-        bytes_of_id = tokens_of(path).__getitem__
+        tokens = tokens_of(path)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                data = [b"".join(map(bytes_of_id, ids.as_py() or ())) for ids in part.column("ids")]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(data, pa.binary())], [*part.schema.names, "decoded"]
-                )
+                data = joined_tokens(part.column("ids"), tokens)
+                yield pa.RecordBatch.from_arrays([*part.columns, data], [*part.schema.names, "decoded"])
 
     return plain.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField("decoded", T.BinaryType())]))
