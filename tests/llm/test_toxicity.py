@@ -1,7 +1,10 @@
 import itertools
+import pickle
+import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from varve.llm import queries as Q
@@ -84,3 +87,33 @@ def test_without_labels(spark):
     assert {r["score"] for r in X.tag_documents(docs, labels.limit(0)).collect()} == {0.0}
     assert {r["score"] for r in X.tag_documents(docs, labels.where("toxic = 0")).collect()} == {0.0}
     assert X.tag_documents(docs.limit(0), labels).count() == 0
+
+
+def test_memory_of_the_fit(monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [f"{a}{b}{c}{d}" for a in "mnp" for b in "aeiou" for c in "rstlk" for d in "aeiou"]
+    texts = [" ".join(rng.choice(words, 1_000)) + (" vileword" if i % 4 == 0 else "") for i in range(300)]
+    rows = pd.DataFrame({"doc_id": range(300), "text": texts, "toxic": [int(i % 4 == 0) for i in range(300)]})
+    monkeypatch.setattr(X, "one_task", lambda sample, learn, schema: learn(sample).to_dict("records"))
+    monkeypatch.setattr(X, "STEPS", 3)
+    monkeypatch.setattr(rows.__class__, "select", lambda self, *names: self[list(names)], raising=False)
+    tracemalloc.start()
+    try:
+        weights = pickle.loads(X.fit(rows))[0]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert "=vileword" in weights
+    assert peak < 170 * 300_000  # bytes a token
+
+
+def test_documents_that_were_seen_before():
+    texts = ["a b c d", "a b c e f g h", "x", None, "a b c d", "b c d a b c", "", "h g f e d c b a"]
+    seen, fresh = set(), []
+    for text in texts:
+        words = (text or "").split()
+        grams = set(zip(words, words[1:], words[2:]))
+        fresh.append(not grams or len(grams & seen) < 0.3 * len(grams))
+        seen |= grams
+    assert X._distinct(X.TokenRows(texts)).tolist() == fresh
+    assert X._distinct(X.TokenRows(["a"])).tolist() == [True]

@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 import pickle
 import re
-from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -99,30 +99,54 @@ def _evidence(marginals: list[float]) -> float:
     return math.log(top / (1 - top)) + 0.5 * min(sum(p >= 0.5 for p in marginals), 10)
 
 
-def _distinct(token_lists: list[list[str]]) -> np.ndarray:
-    """False for documents of which much has been seen in the ones before."""
-    seen: set[int] = set()
-    fresh = np.zeros(len(token_lists), bool)
-    for i, tokens in enumerate(token_lists):
-        grams = {hash(g) for g in zip(tokens, tokens[1:], tokens[2:])}
-        fresh[i] = not grams or len(grams & seen) < 0.3 * len(grams)
-        seen |= grams
-    return fresh
+class TokenRows:
+    """Token lists as numbers of distinct words, numbered as they first occur: four bytes a token."""
+
+    def __init__(self, texts: Iterable[str | None]):
+        known: dict[str, int] = {}
+        self.rows = [np.array([known.setdefault(t, len(known)) for t in tokens_of(text)], np.int32) for text in texts]
+        self.words = list(known)
 
+    def __iter__(self):
+        """The token lists, one at a time."""
+        return ([self.words[i] for i in row] for row in self.rows)
 
-def cues(token_lists: list[list[str]], toxic: np.ndarray) -> set[str]:
+
+def _distinct(tokens: TokenRows) -> np.ndarray:
+    """False for documents of which much has been seen in the ones before."""
+    count, words = len(tokens.rows), len(tokens.words)
+    owner = np.repeat(np.arange(count, dtype=np.int32), [len(r) for r in tokens.rows])
+    word = np.concatenate(tokens.rows or [np.zeros(0, np.int32)]).astype(np.int64)
+    pair = np.unique(word[:-1] * words + word[1:], return_inverse=True)[1]
+    inside = owner[:-2] == owner[2:]
+    gram, owner = (pair[:-1] * words + word[2:])[inside], owner[:-2][inside]
+    order = np.lexsort((owner, gram))
+    gram, owner = gram[order], owner[order]
+    # runs of one triple of words, by document: only the run's first document hasn't seen it before
+    first = np.append(True, gram[1:] != gram[:-1])[: len(gram)]
+    single = first | np.append(True, owner[1:] != owner[:-1])[: len(gram)]
+    grams = np.bincount(owner[single], minlength=count)
+    return (grams == 0) | (np.bincount(owner[single & ~first], minlength=count) < 0.3 * grams)
+
+
+def cues(tokens: TokenRows, toxic: np.ndarray) -> set[str]:
     """Features that toxic documents have far more often than others."""
-    fresh = _distinct(token_lists)
-    held: tuple[Counter, Counter] = (Counter(), Counter())
-    for tokens, flag, use in zip(token_lists, toxic, fresh):
+    fresh = _distinct(tokens)
+    number: dict[str, int] = {}
+    of_word = np.full((len(tokens.words), 1 + len(BEGINNINGS)), -1, np.int32)
+    for i, word in enumerate(tokens.words):
+        own = [number.setdefault(f, len(number)) for f in features(word)]
+        of_word[i, : len(own)] = own
+    held = np.zeros((2, len(number)), np.int64)
+    for row, flag, use in zip(tokens.rows, toxic, fresh):
         if use:
-            held[int(flag)].update({f for t in set(tokens) for f in features(t)})
+            own = np.unique(of_word[np.unique(row)])
+            held[int(flag), own[own >= 0]] += 1
     n0, n1 = max(((toxic == 0) & fresh).sum(), 1), max(((toxic == 1) & fresh).sum(), 1)
     share = n1 / (n0 + n1)
     found = set()
-    for feature, c1 in held[1].items():
-        c0 = held[0][feature]
-        if (c1 / n1) / ((c0 + 0.5) / n0) >= CUE_RATIO:
+    for feature, c0, c1 in zip(number, held[0].tolist(), held[1].tolist()):
+        if c1 and (c1 / n1) / ((c0 + 0.5) / n0) >= CUE_RATIO:
             p = c1 / (c0 + c1)
             evidence = c1 * math.log(p / share) + (c0 * math.log((1 - p) / (1 - share)) if c0 else 0.0)
             if evidence >= CUE_EVIDENCE:
@@ -130,19 +154,20 @@ def cues(token_lists: list[list[str]], toxic: np.ndarray) -> set[str]:
     return found
 
 
-def _fit_field(token_lists: list[list[str]], toxic: np.ndarray, found: set[str]) -> Field:
+def _fit_field(tokens: TokenRows, toxic: np.ndarray, found: set[str]) -> Field:
     """Gradient ascent on the likelihood of the tags, over segments of all texts."""
     names = sorted(found)
     number = {f: i for i, f in enumerate(names)}
     kinds: dict[tuple[int, ...], int] = {(): 0}
-    segments, tags = [], []
-    for tokens, flag in zip(token_lists, toxic):
-        row = [kinds.setdefault(tuple(number[f] for f in features(t) if f in number), len(kinds)) for t in tokens]
-        for first in range(0, len(row), SEGMENT):
-            part = row[first : first + SEGMENT]
-            segments.append(part + [-1] * (SEGMENT - len(part)))
-            tags.append([float(flag and k > 0) for k in segments[-1]])
-    kind, tag = np.array(segments).T, np.array(tags).T  # place by segment
+    of_word = [kinds.setdefault(tuple(number[f] for f in features(w) if f in number), len(kinds)) for w in tokens.words]
+    of_word = np.array(of_word, np.int32)
+    starts = np.concatenate(([0], np.cumsum([-(-len(row) // SEGMENT) for row in tokens.rows])))
+    kind = np.full((starts[-1], SEGMENT), -1, np.int32)
+    tag = np.zeros(kind.shape, bool)
+    for row, flag, start, stop in zip(tokens.rows, toxic, starts[:-1], starts[1:]):
+        kind[start:stop].reshape(-1)[: len(row)] = of_word[row]
+        tag[start:stop] = bool(flag) & (kind[start:stop] > 0)
+    kind, tag = kind.T, tag.T  # place by segment
     real = kind >= 0
     kind = np.maximum(kind, 0)
     holder = np.repeat(np.arange(len(kinds)), [len(k) for k in kinds])
@@ -154,14 +179,15 @@ def _fit_field(token_lists: list[list[str]], toxic: np.ndarray, found: set[str])
     for a in (0, 1):
         for b in (0, 1):
             pairs[2 * a + b] = ((tag[:-1] == a) & (tag[1:] == b) & real[1:]).sum()
-    goal = np.bincount(kind[real], tag[real], len(kinds))
+    known = kind[real]
+    goal = np.bincount(known, tag[real], len(kinds))
     total = real.sum()
     for turn in range(1, STEPS + 1):
         by_kind = np.bincount(holder, theta[member], len(kinds)) + theta[len(names)]
         moves = np.exp(theta[-4:]).reshape(2, 2)
-        lift = np.where(real, np.exp(np.clip(by_kind[kind], -30, 30)), 1.0)
+        lift = np.where(real, np.exp(np.clip(by_kind, -30, 30))[kind], 1.0)
         sure, together = _forward_backward(lift, moves, real)
-        miss = np.bincount(kind[real], sure[real], len(kinds)) - goal
+        miss = np.bincount(known, sure[real], len(kinds)) - goal
         slope = np.concatenate((np.bincount(member, miss[holder], len(names)), [miss.sum()], together - pairs)) / total
         slope += 1e-7 * theta
         slope[len(names) + 1] = 0  # staying untagged is the unit
@@ -184,11 +210,17 @@ def _forward_backward(lift: np.ndarray, moves: np.ndarray, real: np.ndarray) ->
     for t in range(places - 2, -1, -1):
         ahead = lift[t + 1] * back[t + 1]
         back[t] = np.where(real[t + 1], (m10 + m11 * ahead) / (m00 + m01 * ahead), 1.0)
-    odds = forward * back
-    sure = odds / (1 + odds)
-    ahead = lift[1:] * back[1:]
-    joint = np.stack([np.full_like(ahead, m00), m01 * ahead, m10 * forward[:-1], m11 * forward[:-1] * ahead])
-    joint = joint / joint.sum(0) * real[1:]
+    sure = forward * back
+    sure /= 1 + sure
+    ahead = np.multiply(lift[1:], back[1:], out=back[1:])  # whose own values were needed for the marginals only
+    joint = np.stack([ahead] * 4)
+    joint[0] = m00
+    joint[1] *= m01
+    np.multiply(m10, forward[:-1], out=joint[2])
+    np.multiply(m11, forward[:-1], out=joint[3])
+    joint[3] *= ahead
+    joint /= joint.sum(0)
+    joint *= real[1:]
     return sure, joint.sum((1, 2))
 
 
@@ -204,12 +236,12 @@ def fit(sample: DataFrame, label: str = "toxic") -> bytes:
 
         rows = rows.sort_values("doc_id")
         toxic = rows[label].to_numpy()
-        lists = [tokens_of(t) for t in rows["text"]]
-        found = cues(lists, toxic) if len(set(toxic)) == 2 else set()
+        tokens = TokenRows(rows["text"])
+        found = cues(tokens, toxic) if len(set(toxic)) == 2 else set()
         model = None
         if found:
-            field = _fit_field(lists, toxic, found)
-            evidence = np.array([_evidence(field.marginals(t)) if field.has_cue(t) else -12.0 for t in lists])
+            field = _fit_field(tokens, toxic, found)
+            evidence = np.array([_evidence(field.marginals(t)) if field.has_cue(t) else -12.0 for t in tokens])
             slope, offset = platt(evidence, toxic.astype(float))
             model = (field.weights, field.bias, field.moves, max(slope, 1e-3), offset)
         return pd.DataFrame({"model": [pickle.dumps(model)]})
