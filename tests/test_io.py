@@ -119,3 +119,13 @@ def test_jobs_run_from_path_to_path(spark, tmp_path):
     (tmp_path / "link2").write_text("b\tc\nTalk:x\ta\nno tab\n")
     jobs.rank_links(spark, f"{tmp_path}/link*", str(tmp_path / "ranks"), rounds=1)
     assert sorted(sum(_parts(tmp_path / "ranks"), [])) == ["('a', 0.575)", "('b', 1.0)", "('c', 0.575)"]
+
+
+def test_whole_files_sort_no_lines(spark, tmp_path):
+    (tmp_path / "a").write_bytes("x\ny\x0b\nz ".encode())
+    lines = text.scan_file_lines(spark, str(tmp_path / "a"))
+    assert sorted(r["value"] for r in lines.collect()) == ["", "x", "y", "z"]
+    plan = lines._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") >= 2
+    # only the splits' own rows, a few per file, are compared by place
+    assert plan.count("SortAggregate") == 2 and "max(_at" not in plan

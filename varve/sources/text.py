@@ -33,8 +33,12 @@ def scan_file_lines(spark: SparkSession, path: str) -> DataFrame:
     ends = F.col("value").rlike(INNER_LINE_BREAKS + r"\z")
     whole = lines.where(~ends).select("file", F.explode(pieces).alias("value"))
     # only lines with a break at their end are joined: the last of a file without a final feed has one piece less
-    open_files = lines.groupBy("file").agg(
-        F.sum(F.octet_length("value") + 1).alias("_bytes"), F.max("_size").alias("_size"), F.max("_at").alias("_last")
+    # counted by split first, in plain numbers that a hash table takes: the greatest struct of a file would have every split's lines sorted
+    splits = lines.groupBy("file", F.col("_at.file_block_start")).agg(
+        F.sum(F.octet_length("value") + 1).alias("_bytes"), F.max("_size").alias("_size"), F.max("_at.row").alias("row")
+    )
+    open_files = splits.groupBy("file").agg(
+        F.sum("_bytes").alias("_bytes"), F.max("_size").alias("_size"), F.max(F.struct("file_block_start", "row")).alias("_last")
     )
     last = open_files.where(F.col("_bytes") > F.col("_size")).select("file", F.col("_last").alias("_at"), F.lit(True).alias("_open"))
     broken = lines.where(ends).join(last, ["file", "_at"], "left")
