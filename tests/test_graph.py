@@ -413,3 +413,33 @@ def test_gap_lists_hold_the_edges_in_fewer_bytes(spark):
     assert back.exceptAll(want).count() == 0 and back.count() == want.count()
     shares = written(graph.edge_shares(folded, 8), "shares")
     assert file_bytes(lists) < 0.7 * file_bytes(shares)  # 0.62
+
+
+def test_numbering_sorts_no_edges_and_gaps_take_one_pass(spark, monkeypatch):
+    edges = frame(spark, [(f"n{i % 7}", f"m{i}") for i in range(200)] + [("n1", "m1"), ("n1", "m1"), ("n0", "n1")])
+    folded = graph.folded_edges(edges)
+    dictionary = compact.node_dictionary(folded)
+    numbered = compact.numbered_edges(folded, dictionary)
+    lists = compact.gap_lists(numbered, per_row=20)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(compact, "written", lambda df, label: df if df.collect() else None)
+        plan = compact.numbered_edges(folded, dictionary)._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Sort [" not in plan and plan.count("ShuffledHashJoin") == 2
+    # a lambda that looks into the whole list would make its cost the square of the list's length
+    lambdas = re.findall(r"lambdafunction\((.*?), lambda", lists._jdf.queryExecution().optimizedPlan().toString())
+    assert lambdas and not [f for f in lambdas if "neighbors" in f or "_dst" in f]
+    targets = {}
+    for src, dst, copies in numbered.collect():
+        targets.setdefault(src, []).append((dst, copies))
+    got = {}
+    for r in sorted(lists.collect(), key=lambda r: (r["src"], r["part"])):
+        assert r["gaps"][0] == 0
+        place = r["first"]
+        for i, gap in enumerate(r["gaps"]):
+            place += gap
+            got.setdefault(r["src"], []).append((place, r["copies"][i] if r["copies"] else 1))
+    assert got == {src: sorted(found) for src, found in targets.items()}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from varve.operators.blocks import global_position
 from varve.operators.graph import NEIGHBORS_PER_ROW, adjacency_list
-from varve.session import written
+from varve.session import setting, written
 
 
 def node_dictionary(edges: DataFrame) -> DataFrame:
@@ -28,17 +28,20 @@ def numbered_edges(folded: DataFrame, dictionary: DataFrame) -> DataFrame:
     sources = dictionary.select(F.col("node").alias("src"), F.col("number").alias("_s"))
     targets = dictionary.select(F.col("node").alias("dst"), F.col("number").alias("_d"))
     joined = folded.join(sources, "src").join(targets, "dst")
-    return written(joined.select(F.col("_s").alias("src"), F.col("_d").alias("dst"), "copies"), "numbered")
+    # names too many to broadcast become hash tables, as long as a partition's share is small; the edges stream past them unsorted
+    with setting(dictionary.sparkSession, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m"):
+        return written(joined.select(F.col("_s").alias("src"), F.col("_d").alias("dst"), "copies"), "numbered")
 
 
 def gap_lists(numbered: DataFrame, per_row: int = NEIGHBORS_PER_ROW) -> DataFrame:
     """(src, part, first, gaps, copies): the lists of :func:`adjacency_list`, with gaps from 0 on and null for copies that are all 1."""
     lists = adjacency_list(numbered, per_row)
-    dst, copies = F.col("neighbors.dst"), F.col("neighbors.copies")
-    lists = lists.select("src", "part", dst.alias("_dst"), copies.alias("_copies"))
-    gap = F.transform("_dst", lambda d, i: F.when(i > 0, d - F.get("_dst", i - 1)).otherwise(0).cast("bigint"))
-    several = F.when(F.exists("_copies", lambda c: c > 1), F.col("_copies"))
-    return lists.select("src", "part", F.get("_dst", 0).alias("first"), gap.alias("gaps"), several.alias("copies"))
+    # each target beside the one before it, the first beside itself; one pass, as looking up by place in a lambda would make a list's cost its square
+    dst = F.col("neighbors.dst")
+    before = F.concat(F.slice(dst, 1, 1), F.slice(dst, F.lit(1), F.size("neighbors") - 1))
+    gap = F.zip_with(dst, before, lambda d, b: (d - b).cast("bigint"))
+    several = F.when(F.exists("neighbors", lambda n: n["copies"] > 1), F.col("neighbors.copies"))
+    return lists.select("src", "part", F.get(dst, 0).alias("first"), gap.alias("gaps"), several.alias("copies"))
 
 
 def spread_lists(given: DataFrame) -> DataFrame:

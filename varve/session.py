@@ -48,7 +48,7 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def _setting(spark: SparkSession, name: str, value):
+def setting(spark: SparkSession, name: str, value):
     before = spark.conf.get(name, None)
     spark.conf.set(name, value)
     try:
@@ -78,7 +78,7 @@ def written(df: DataFrame, label: str, partition_by: str | None = None, path: st
     """
     spark = df.sparkSession
     path = path or fresh_path(spark, label)
-    with _setting(spark, _CLEANUP, "true"):
+    with setting(spark, _CLEANUP, "true"):
         df.write.partitionBy(*([partition_by] if partition_by else [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
