@@ -308,6 +308,65 @@ def test_lazy_plan_exchanges_edges_once_and_counts_degrees_once(spark, hub_graph
     assert run.count("ReusedExchange") > 0 or "AdaptiveSparkPlan" in run
 
 
+def as_names(edges):
+    return [(f"node {s}", f"node {d}") for s, d in edges]
+
+
+def test_rounds_over_names_go_by_numbers_and_read_the_source_twice(spark, hub_graph, monkeypatch):
+    reads, kinds = spark.sparkContext.accumulator(0), []
+    received = plans._received
+    monkeypatch.setattr(plans, "_received", lambda amounts, exact: kinds.append(amounts.schema["dst"].dataType.simpleString()) or received(amounts, exact))
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    edges = as_names(hub_graph)
+    got = ranks_of(pagerank(frame(spark, edges).mapInArrow(seen, "src string, dst string"), rounds=4, store="plan"))
+    assert got == pytest.approx(brute_force(edges, 4))
+    assert set(kinds) == {"bigint"} and reads.value == 2 * len(edges)
+
+
+def test_lazy_plan_makes_its_lists_once(spark, hub_graph):
+    edges = as_names(hub_graph)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pagerank(frame(spark, edges), rounds=6, store="plan")
+        assert ranks_of(plan) == pytest.approx(brute_force(edges, 6))
+        run = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert 1 <= run.count("functions=[collect_list(dst") <= 2  # once, in two steps at most
+
+
+@pytest.mark.parametrize(
+    "how",
+    [
+        {"store": "plan"}, {"store": "memory"}, {"store": "table"}, {"cut_every": 2}, {"parts": 5}, {"parts": "data"}, {"exact": True},
+        {"hub_edges": 1}, {"store": "memory", "hub_edges": 1}, {"store": "plan", "hub_edges": 1}, {"store": "plan", "exact": True},
+    ],
+    ids=str,
+)
+@pytest.mark.parametrize("clash", [False, True])
+def test_names_agree_with_brute_force_also_where_numbers_clash(spark, hub_graph, monkeypatch, how, clash):
+    if clash:
+        for module in (graph, plans):
+            monkeypatch.setattr(module, "name_number", lambda name: F.length(name).cast("bigint"))
+    edges = as_names(hub_graph)
+    holes = frame(spark, [*edges, (None, "node 1"), ("node 2", None)])
+    assert ranks_of(pagerank(holes, rounds=3, **how)) == pytest.approx(brute_force(edges, 3))
+
+
+def test_target_lists_hold_all_edges_in_rows_of_bounded_length(spark, hub_graph):
+    edges = frame(spark, [(-1, i) for i in range(4000)] + hub_graph)
+    shares = written(graph.edge_shares(edges, 8), "shares")
+    lists = graph.target_lists(shares, per_row=100)
+    assert max(len(r["targets"]) for r in lists.collect()) < 200
+    again = lists.select("src", F.explode("targets").alias("dst"), "share")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, shares.collect()))
+
+
 def test_stored_edges_leave_one_exchange_per_round(spark, hub_graph):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

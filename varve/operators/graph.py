@@ -46,7 +46,11 @@ def hubs(edges: DataFrame, parts: int, at_least: int = HUB_EDGES) -> DataFrame:
     Each has more than 1/parts of all edges, so there are fewer than ``parts``, and
     their slots, enough for a fair share each, add up to less than twice that.
     """
-    degree = out_degree(edges)
+    return hubs_of(out_degree(edges), parts, at_least)
+
+
+def hubs_of(degree: DataFrame, parts: int, at_least: int = HUB_EDGES) -> DataFrame:
+    """What :func:`hubs` returns, of sources counted before."""
     fair_share = degree.agg(
         F.greatest(F.sum("out_degree") / parts, F.lit(float(at_least))).alias("share")
     ).scalar()
@@ -74,6 +78,24 @@ def heavy_sources(edges: DataFrame, parts: int, at_least: int = HUB_EDGES, copie
     return degree.where(F.col("out_degree") > fair_share).withColumn("slots", F.ceil(F.col("out_degree") / fair_share))
 
 
+def name_number(name: str) -> Column:
+    """A name's 64-bit hash."""
+    return F.xxhash64(name)
+
+
+def node_names(edges: DataFrame) -> DataFrame:
+    """(node, out_degree, number) of all ends of ``edges``, written: from one pass over them, as both ends are counted together."""
+    out = F.struct(F.col("src").alias("node"), F.lit(1).alias("out"))
+    into = F.struct(F.col("dst").alias("node"), F.lit(0).alias("out"))
+    nodes = edges.select(F.inline(F.array(out, into))).groupBy("node").agg(F.sum("out").alias("out_degree"))
+    return written(nodes.withColumn("number", name_number("node")), "names")
+
+
+def have_own_numbers(names: DataFrame) -> bool:
+    """Whether no two names have the same number."""
+    return names.groupBy("number").count().where("count > 1").isEmpty()
+
+
 def folded_edges(edges: DataFrame) -> DataFrame:
     """(src, dst, copies) of edges with both ends, written once: what degrees, hubs and shares are derived from."""
     whole = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
@@ -114,6 +136,25 @@ def hub_shares(edges: DataFrame, hub_rows: DataFrame) -> DataFrame:
     )
 
 
+def target_lists(shares: DataFrame, per_row: int = NEIGHBORS_PER_ROW) -> DataFrame:
+    """Edge shares as lists: one row for the targets that get the same share of a source, or several of about ``per_row`` targets.
+
+    A source's shares add up to 1, so the share itself says how many targets may have it. Shares that are hashed on their source, or on it
+    and its slot, stay where they are.
+    """
+    keys = [c for c in shares.columns if c not in ("dst", "share")]
+    rows = F.ceil(F.lit(1.0) / (F.col("share") * per_row))
+    row = F.pmod(F.xxhash64("dst", F.lit(0)), rows).alias("_row")
+    return shares.groupBy(*keys, "share", row).agg(F.collect_list("dst").alias("targets")).drop("_row")
+
+
+def to_targets(shares: DataFrame, amount: Column) -> DataFrame:
+    """(dst, amount) rows of shares, one by one or as :func:`target_lists`."""
+    if "targets" in shares.columns:
+        return shares.select("targets", amount.alias("amount")).select(F.explode("targets").alias("dst"), "amount")
+    return shares.select("dst", amount.alias("amount"))
+
+
 def in_slots(ranks: DataFrame, hub_rows: DataFrame) -> DataFrame:
     """Ranks with ``slot``, a hub's rank once per slot it has."""
     slots = F.broadcast(hub_rows.select(F.col("src").alias("node"), "slots"))
@@ -126,12 +167,12 @@ def spread(shares: DataFrame, ranks: DataFrame) -> DataFrame:
     """(dst, amount) rows: every edge hands on its share of the source's rank.
 
     Ranks with slots meet the edges of their slot, others all edges of the node. The ranks, one row per
-    node, become the hash table; the edges stream past it unsorted.
+    node, become the hash table; the edges, or lists of targets, stream past it unsorted.
     """
     match = shares.src == ranks.node
     if "slot" in ranks.columns:
         match &= shares.slot == ranks.slot
-    return shares.join(ranks.hint("shuffle_hash"), match).select("dst", (F.col("share") * F.col("rank")).alias("amount"))
+    return to_targets(shares.join(ranks.hint("shuffle_hash"), match), F.col("share") * F.col("rank"))
 
 
 def gathered(amounts: DataFrame, name: str, shape=lambda total: total, exact: bool = False) -> DataFrame:

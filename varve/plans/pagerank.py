@@ -9,6 +9,7 @@ from typing import Literal
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varve.operators.compact import gap_lists, node_dictionary, numbered_edges, spread_lists
 from varve.operators.graph import (
@@ -17,11 +18,17 @@ from varve.operators.graph import (
     edge_shares,
     folded_edges,
     gathered,
+    have_own_numbers,
     heavy_sources,
     hub_shares,
+    hubs_of,
     in_slots,
+    name_number,
+    node_names,
     out_degree,
     spread,
+    target_lists,
+    to_targets,
 )
 from varve.plans.manifest import Manifest, digest
 from varve.session import planned_width, shuffle_partitions, shuffle_width, written, written_bucketed
@@ -68,6 +75,9 @@ def pagerank(
     target, and their few ranks are repeated per slot. The ranks then need an
     exchange of their own in each round; the edges stay where they are.
 
+    Rounds over names go by their 64-bit hashes, which a fraction of the time and of the bytes is enough for; the ranks get their names back at
+    the end. All names are first written once with their numbers and out-degrees, and where two have one number the names themselves are used.
+
     With ``exact``, what a node receives is summed without rounding in between, so that ranks are the same bit for bit whatever the width,
     the store, or the order in which tasks end.
     """
@@ -83,9 +93,23 @@ def pagerank(
         parts = max(planned_width(edges), -(-edges.count() // EDGES_PER_PART))
     how = (rounds, store, cut_every, hub_edges, exact)
     if parts is None or parts == shuffle_partitions(spark):
-        return _ranked(edges, shuffle_partitions(spark), *how)
+        return _named(edges, shuffle_partitions(spark), *how)
     with shuffle_width(spark, parts):
-        return written(_ranked(edges, parts, *how), "ranks")
+        return written(_named(edges, parts, *how), "ranks")
+
+
+def _named(edges: DataFrame, parts: int, *how) -> DataFrame:
+    """All rounds, over numbers where the nodes are names that have numbers of their own."""
+    ends = edges.select("src", "dst").schema
+    if any(field.dataType != T.StringType() for field in ends):
+        return _ranked(edges, parts, *how)
+    names = node_names(edges)
+    if not have_own_numbers(names):
+        return _ranked(edges, parts, *how)
+    numbered = edges.select(name_number("src").alias("src"), name_number("dst").alias("dst"))
+    degree = names.where("out_degree > 0").select(F.col("number").alias("src"), "out_degree")
+    ranks = _ranked(numbered, parts, *how, degree=degree)
+    return ranks.withColumnRenamed("node", "number").join(names, "number").select("node", "rank")
 
 
 @dataclass(frozen=True)
@@ -104,15 +128,15 @@ class _Shares:
 
     def first(self) -> DataFrame:
         """Every source still has rank 1.0 in the first round: no join needed."""
-        return self.rows.select("dst", F.col("share").alias("amount"))
+        return to_targets(self.rows, F.col("share"))
 
     def handed(self, ranks: DataFrame) -> DataFrame:
         return spread(self.rows, ranks if self.hubs is None else in_slots(ranks, self.hubs))
 
 
-def _shares(edges: DataFrame, parts: int, hub_edges: int, fold: bool) -> _Shares:
+def _shares(edges: DataFrame, parts: int, hub_edges: int, fold: bool, degree: DataFrame | None = None) -> _Shares:
     spark = edges.sparkSession
-    hub_list = heavy_sources(edges, parts, hub_edges)
+    hub_list = heavy_sources(edges, parts, hub_edges) if degree is None else hubs_of(degree, parts, hub_edges)
     rows = hub_list.collect()  # fewer than `parts` rows
     if not rows:
         return _Shares(edge_shares(edges, parts, fold=fold), None)
@@ -125,12 +149,12 @@ def _received(amounts: DataFrame, exact: bool) -> DataFrame:
     return gathered(amounts, "rank", lambda total: F.lit(CONSTANT) + F.lit(DAMPING) * total, exact)
 
 
-def _ranked(edges, parts, rounds, store, cut_every, hub_edges, exact) -> DataFrame:
-    """All rounds, where shuffles have ``parts`` partitions."""
+def _ranked(edges, parts, rounds, store, cut_every, hub_edges, exact, degree=None) -> DataFrame:
+    """All rounds, where shuffles have ``parts`` partitions. ``degree`` holds the out-degrees where they are written already."""
     # a plan would repeat the fold in every round; a stored edge set pays for it once
-    shares = _shares(edges, parts, hub_edges, fold=store != "plan" or exact)
+    shares = _shares(edges, parts, hub_edges, fold=store != "plan" or exact, degree=degree)
     if store == "plan" and shares.hubs is None and not exact:
-        return _lazily(edges, parts, rounds)
+        shares = _kept_in_plan(edges, out_degree(edges) if degree is None else degree, parts)
     if store == "memory":
         placed = shares.rows if shares.hubs is None else shares.rows.repartition(parts, *shares.keys)
         shares = shares.on(placed.persist(StorageLevel.MEMORY_AND_DISK))
@@ -153,18 +177,12 @@ def _ranked(edges, parts, rounds, store, cut_every, hub_edges, exact) -> DataFra
     return ranks
 
 
-def _lazily(edges: DataFrame, parts: int, rounds: int) -> DataFrame:
-    """All rounds in one plan. Out-degrees are counted once, one row per source, and every round divides ranks by them; the
-    edges, exchanged once, only meet the quotients."""
-    placed = edges.repartition(parts, "src")
-    degree = out_degree(edges)
-    ranks = degree.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
-    for _ in range(rounds):
-        held = ranks.withColumnRenamed("node", "src").hint("shuffle_hash")
-        given = degree.join(held, "src").select("src", (F.col("rank") / F.col("out_degree")).alias("amount"))
-        amounts = placed.join(given.hint("shuffle_hash"), "src").select("dst", "amount")
-        ranks = _received(amounts, exact=False)
-    return ranks
+def _kept_in_plan(edges: DataFrame, degree: DataFrame, parts: int) -> _Shares:
+    """Target lists in the plan, behind an exchange that all rounds read. The lists are made at another width, as Spark would
+    take an exchange for needless, and make the lists in every round, if its rows lay so already."""
+    placed = edges.repartition(parts + 1, "src").join(degree.hint("shuffle_hash"), "src")
+    shares = placed.select("src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("share"))
+    return _Shares(target_lists(shares).repartition(parts, "src"), None)
 
 
 def compact_pagerank(
