@@ -365,6 +365,23 @@ def test_target_lists_hold_all_edges_in_rows_of_bounded_length(spark, hub_graph)
     assert max(len(r["targets"]) for r in lists.collect()) < 200
     again = lists.select("src", F.explode("targets").alias("dst"), "share")
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, shares.collect()))
+    known = graph.edge_shares(edges, 8, degree=graph.out_degree(edges))
+    assert sorted(map(tuple, known.collect())) == sorted(map(tuple, shares.collect()))
+
+
+@pytest.mark.parametrize("hub_edges", [1, 1_000_000])
+def test_stored_shares_are_lists_and_made_without_a_window(spark, hub_graph, monkeypatch, hub_edges):
+    edges, seen = as_names(hub_graph), []
+    keep = plans.written_bucketed
+
+    def spy(df, label, *more):
+        seen.append((label, df.count(), df._jdf.queryExecution().executedPlan().toString()))
+        return keep(df, label, *more)
+
+    monkeypatch.setattr(plans, "written_bucketed", spy)
+    assert ranks_of(pagerank(frame(spark, edges), rounds=3, hub_edges=hub_edges)) == pytest.approx(brute_force(edges, 3))
+    ((label, rows, text),) = seen
+    assert label == "shares" and rows < len(set(edges)) / 2 and "Window" not in text
 
 
 def test_stored_edges_leave_one_exchange_per_round(spark, hub_graph):

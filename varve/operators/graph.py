@@ -102,12 +102,15 @@ def folded_edges(edges: DataFrame) -> DataFrame:
     return written(whole.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies")), "folded")
 
 
-def edge_shares(edges: DataFrame, parts: int, fold: bool = True, slotted: bool = False) -> DataFrame:
+def edge_shares(
+    edges: DataFrame, parts: int, fold: bool = True, slotted: bool = False, degree: DataFrame | None = None
+) -> DataFrame:
     """(src, dst, share) hashed on ``src``: the part of a source's rank that dst gets.
 
     One exchange serves the degree and, with ``fold``, the merging of parallel
     edges into one row. Every source must fit a partition; :func:`hub_shares`
-    takes the others, and ``slotted`` adds the slot 0 to go with them.
+    takes the others, and ``slotted`` adds the slot 0 to go with them. ``degree(src, out_degree)`` saves counting again, for which a
+    partition's edges would be sorted.
     """
     keys = ["src"]
     if slotted:
@@ -120,6 +123,9 @@ def edge_shares(edges: DataFrame, parts: int, fold: bool = True, slotted: bool =
         placed = placed.groupBy(*keys, "dst").agg(F.count(F.lit(1)).alias("copies"))
     else:
         placed = placed.withColumn("copies", F.lit(1))
+    if degree is not None:
+        counted = (degree.withColumn("slot", F.lit(0)) if slotted else degree).hint("shuffle_hash")
+        return placed.join(counted, keys).select(*keys, "dst", (F.col("copies") / F.col("out_degree")).alias("share"))
     degree = F.sum("copies").over(Window.partitionBy(*keys))
     return placed.select(*keys, "dst", (F.col("copies") / degree).alias("share"))
 

@@ -139,10 +139,10 @@ def _shares(edges: DataFrame, parts: int, hub_edges: int, fold: bool, degree: Da
     hub_list = heavy_sources(edges, parts, hub_edges) if degree is None else hubs_of(degree, parts, hub_edges)
     rows = hub_list.collect()  # fewer than `parts` rows
     if not rows:
-        return _Shares(edge_shares(edges, parts, fold=fold), None)
+        return _Shares(edge_shares(edges, parts, fold=fold, degree=degree), None)
     hub_rows = spark.createDataFrame(rows, hub_list.schema)
     regular = edges.join(F.broadcast(hub_rows), "src", "left_anti")
-    return _Shares(edge_shares(regular, parts, slotted=True).unionByName(hub_shares(edges, hub_rows)), hub_rows)
+    return _Shares(edge_shares(regular, parts, slotted=True, degree=degree).unionByName(hub_shares(edges, hub_rows)), hub_rows)
 
 
 def _received(amounts: DataFrame, exact: bool) -> DataFrame:
@@ -155,9 +155,11 @@ def _ranked(edges, parts, rounds, store, cut_every, hub_edges, exact, degree=Non
     shares = _shares(edges, parts, hub_edges, fold=store != "plan" or exact, degree=degree)
     if store == "plan" and shares.hubs is None and not exact:
         shares = _kept_in_plan(edges, out_degree(edges) if degree is None else degree, parts)
-    if store == "memory":
+    elif store != "plan":
         placed = shares.rows if shares.hubs is None else shares.rows.repartition(parts, *shares.keys)
-        shares = shares.on(placed.persist(StorageLevel.MEMORY_AND_DISK))
+        shares = shares.on(target_lists(placed))
+    if store == "memory":
+        shares = shares.on(shares.rows.persist(StorageLevel.MEMORY_AND_DISK))
         shares.rows.count()
     elif store == "table":
         shares = shares.on(written_bucketed(shares.rows, "shares", parts, *shares.keys))
