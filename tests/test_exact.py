@@ -69,3 +69,11 @@ def test_mean(spark):
 @pytest.mark.parametrize("kind", ["float", "int"])
 def test_other_numbers_are_doubles(spark, kind):
     assert spark.range(10).agg(exact.exact_sum(F.col("id").cast(kind))).first()[0] == 45.0
+
+
+def test_arrays_have_the_same_sums(spark):
+    rng = np.random.default_rng(2)
+    values, group = rng.normal(size=200) * 2.0 ** rng.integers(-100, 80, 200), rng.integers(0, 7, 200)
+    values[:4], group[:4] = (2.0**53, 1.0, 1.5, -1.5), (7, 7, 8, 8)
+    found = exact.exact_sums_by(values, group, 9)
+    assert found.tolist() == [math.fsum(values[group == g]) for g in range(9)]

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,3 +273,55 @@ def test_exact_sums_are_built_once_for_all_steps(spark, examples, monkeypatch):
     train_softmax(examples, CLASSES, WIDTH, shards=2, global_batch=40, exact=True)
     monkeypatch.setattr(exact, "from_limbs", lambda sums: pytest.fail("built again"))
     train_softmax(examples, CLASSES, WIDTH, shards=2, global_batch=40, exact=True)
+
+
+def by_key(rows, *keys):
+    rows = rows.to_pylist() if hasattr(rows, "to_pylist") else [r.asDict() for r in rows.collect()]
+    return {tuple(r[k] for k in keys): [v for c, v in sorted(r.items()) if c not in keys] for r in rows}
+
+
+def alike(found, wanted, exact):
+    assert found.keys() == wanted.keys()
+    for key, values in wanted.items():
+        assert found[key] == (values if exact else [v if v is None else pytest.approx(v, abs=1e-14) for v in values])
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_operators_of_a_step_give_tables_the_same_rows(spark, examples, exact):
+    model = small_model()
+    frame = examples.withColumn("shard", (F.col("id") % 3).cast("int"))
+    table = frame.toArrow()
+    local, local_table = gradients.shard_gradients(frame, model, exact), gradients.shard_gradients(table, model, exact)
+    alike(by_key(local_table, "shard", "param", "pos"), by_key(local, "shard", "param", "pos"), exact)
+    gathered, gathered_table = gradients.gradient_mean_gather(local, exact), gradients.gradient_mean_gather(local_table, exact)
+    alike(by_key(gathered_table, "shard", "param", "pos"), by_key(gathered, "shard", "param", "pos"), exact)
+    alike(by_key(gradients.first_copy(gathered_table), "param", "pos"), by_key(gradients.first_copy(gathered), "param", "pos"), exact)
+    mean, mean_table = gradients.gradient_mean_allreduce(local, 3, exact), gradients.gradient_mean_allreduce(local_table, 3, exact)
+    alike(by_key(mean_table, "param", "pos"), by_key(mean, "param", "pos"), exact)
+    params = spark.createDataFrame(model.to_rows()).withColumn("velocity", F.col("pos") / 8)
+    # one parameter has no gradient, and loss and rows have no parameter
+    some, some_table = mean.where("param != 'bias' or pos > 0"), mean_table.filter((pc.field("param") != "bias") | (pc.field("pos") > 0))
+    alike(by_key(gradients.sgd_update(params.toArrow(), some_table), "param", "pos"), by_key(gradients.sgd_update(params, some), "param", "pos"), exact)
+
+
+def trained(examples, monkeypatch, **how):
+    """What comes of training in runs of steps and in a job a step, with the number of their jobs."""
+    from varve.plans import training
+    from varve.session import shuffle_width
+
+    made = []
+    for products in (training.TASK_PRODUCTS, 0):
+        jobs = []
+        monkeypatch.setattr(training, "TASK_PRODUCTS", products)
+        monkeypatch.setattr(training, "shuffle_width", lambda s, n: jobs.append(n) or shuffle_width(s, n))
+        run = train_softmax(examples, CLASSES, WIDTH, **how)
+        made.append((by_key(run.params, "param", "pos"), by_key(run.progress, "epoch", "batch"), len(jobs)))
+    return made
+
+
+@pytest.mark.parametrize("sync", ["gather", "allreduce"])
+def test_exact_runs_of_steps_equal_a_job_a_step(examples, monkeypatch, sync):
+    how = {"shards": 2, "global_batch": 10, "sync": sync, "exact": True, "report_every": 4}
+    runs, steps = trained(examples, monkeypatch, **how)
+    assert runs[:2] == steps[:2]
+    assert (runs[2], steps[2]) == (2, 6)

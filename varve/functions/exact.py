@@ -10,6 +10,7 @@ Bits below ``2**LOW_BIT`` are cut off each value, so sums of values above ``2**(
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from decimal import Decimal
 from functools import lru_cache
@@ -54,14 +55,29 @@ def limbs(value: Column) -> list[Column]:
 
 def limb_arrays(values: np.ndarray) -> np.ndarray:
     """The same of an array of finite numbers, along a new first axis."""
-    size, sign = np.abs(values), np.sign(values).astype(np.int64)
+    rest, sign = np.abs(values), np.sign(values).astype(np.int64)
     out = np.empty((LIMBS, *values.shape), np.int64)
-    for i in range(LIMBS):
-        part = size if i == LIMBS - 1 else np.fmod(size, _place(i + 1))
-        out[i] = np.floor(part / _place(i)).astype(np.int64) * sign
+    for i in reversed(range(LIMBS)):
+        # both products are by a power of two, and what is taken off are leading bits, so all is exact; a remainder takes far longer
+        part = np.floor(rest * (1 / _place(i)))
+        rest = rest - part * _place(i)
+        out[i] = part.astype(np.int64) * sign
     return out
 
 
+def nearest(sums: np.ndarray) -> np.ndarray:
+    """:func:`from_limbs` of an array of summed limbs along its first axis."""
+    whole = sum(limb * (1 << LIMB_BITS * i) for i, limb in enumerate(sums.astype(object)))
+    return np.array([math.ldexp(float(n), LOW_BIT) for n in whole], np.float64)
+
+
+def exact_sums_by(values: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """:func:`exact_sum` of an array's finite values, by their group's number."""
+    held = np.zeros((groups, LIMBS), np.int64)
+    np.add.at(held, group, limb_arrays(values).T)
+    return nearest(held.T)
+
+
 def from_limbs(sums: list[Column]) -> Column:
     """The double nearest to the number that summed limbs stand for, ties to even.
 
