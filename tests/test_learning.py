@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
@@ -325,3 +326,46 @@ def test_exact_runs_of_steps_equal_a_job_a_step(examples, monkeypatch, sync):
     runs, steps = trained(examples, monkeypatch, **how)
     assert runs[:2] == steps[:2]
     assert (runs[2], steps[2]) == (2, 6)
+
+
+def test_progress_of_runs_equals_that_of_a_job_a_step(examples, monkeypatch):
+    how = {"shards": 2, "global_batch": 8, "epochs": 2, "report_every": 3}
+    runs, steps = trained(examples, monkeypatch, **how)
+    # seven steps an epoch: the last to report is one, and no run goes into the next epoch
+    assert list(runs[1]) == [(e, b) for e in (0, 1) for b in (0, 3, 6)]
+    alike(runs[0], steps[0], False)
+    alike(runs[1], steps[1], False)
+    assert (runs[2], steps[2]) == (2, 14)
+
+
+def test_runs_of_steps_follow_each_other_and_end_with_a_report():
+    from varve.plans.training import step_runs
+
+    assert list(step_runs(7, 3, 5)) == [(0, 1), (1, 4), (4, 6), (6, 7)]
+    assert list(step_runs(0, 3, 5)) == []
+    for steps, most, every in ((40, 7, 3), (41, 1, 20), (100, 78, 3), (57, 19, 20)):
+        runs = list(step_runs(steps, most, every))
+        assert [s for first, end in runs for s in range(first, end)] == list(range(steps))
+        assert max(end - first for first, end in runs) <= most
+
+
+def test_a_run_takes_batches_in_any_pieces_and_misses_none(data):
+    from varve.plans import training
+
+    x, y = data[0][:48], data[1][:48]
+    columns = {"batch": np.arange(48) // 8, "shard": np.arange(48, dtype=np.int32) % 2, "features": x.tolist(), "label": y}
+    rows = pa.table(columns).combine_chunks()
+    model = gradients.LinearModel.zeros(CLASSES, WIDTH)
+    state = model.to_rows().append_column("velocity", pa.array([0.0] * 15))
+
+    def run(table, size, end=6):
+        made = training._run(state, model, 0, end, 3, 2, "allreduce", True, 0.1, 0.9, 1e-4)(table.to_batches(size))
+        return pa.Table.from_batches(list(made)).to_pylist()
+
+    whole = run(rows, 48)
+    assert len(whole) == 15 + 2 * 2 and {r["step"] for r in whole if r["value"] is None} == {0, 3}
+    for size in (1, 3, 8, 13):
+        assert run(rows, size) == whole
+    for cut, end in ((rows.slice(8), 6), (rows.slice(0, 40), 6), (pa.concat_tables([rows.slice(0, 8), rows.slice(16)]), 6), (rows, 5)):
+        with pytest.raises(ValueError, match="is missing"):
+            run(cut, 48, end)
