@@ -369,3 +369,25 @@ def test_a_run_takes_batches_in_any_pieces_and_misses_none(data):
     for cut, end in ((rows.slice(8), 6), (rows.slice(0, 40), 6), (pa.concat_tables([rows.slice(0, 8), rows.slice(16)]), 6), (rows, 5)):
         with pytest.raises(ValueError, match="is missing"):
             run(cut, 48, end)
+
+
+def test_report_lines_of_runs(spark, examples, data, monkeypatch):
+    from varve.plans import training
+    from varve.session import shuffle_width
+
+    jobs = []
+    monkeypatch.setattr(training, "shuffle_width", lambda s, n: jobs.append(n) or shuffle_width(s, n))
+    run = train_softmax(examples, CLASSES, WIDTH, shards=2, global_batch=6, report_every=2)
+    assert len(jobs) == 1  # nine steps
+    rows, model = sharding.assign_batches(examples, 2, 6).collect(), gradients.LinearModel.zeros(CLASSES, WIDTH)
+    velocity, lines = [np.zeros((CLASSES, WIDTH)), np.zeros(CLASSES)], []
+    for step in range(9):
+        ids = [r["id"] for r in rows if r["batch"] == step]
+        x, y = data[0][ids], data[1][ids]
+        if step % 2 == 0:
+            loss = gradients._errors(model.scores(x), y)[1].mean()
+            lines.append(f"Train Epoch: 0 [{step * len(ids)}/53 ({100 * step / 9:.0f}%)]\tLoss: {loss:.6f}")
+        grown = zip(velocity, gradient(model, x, y), (model.weight, model.bias))
+        velocity = [0.9 * v + g + 1e-4 * w for v, g, w in grown]
+        model = gradients.LinearModel(model.weight - 0.1 * velocity[0], model.bias - 0.1 * velocity[1])
+    assert [r["line"] for r in progress_lines(run.progress.orderBy("batch")).collect()] == lines
